@@ -73,3 +73,55 @@ def gold_views(spark: SparkSession, sf_dir: str, as_of: str = GOLD_AS_OF):
 @register("gold_commercial_summary")
 def q_gold_commercial_summary(spark, sf_dir):
     return report(gold_views(spark, sf_dir)[2])
+
+
+# ------------------------------------------------------------------- silver
+
+from .functions.parsing import json_field  # noqa: E402
+from .operators import silver  # noqa: E402
+from .operators.dedupe import dedupe_by_source_event  # noqa: E402
+
+
+@register("silver_dedupe_events")
+def q_silver_dedupe_events(spark, sf_dir):
+    return report(dedupe_by_source_event(A.events_as_bronze(spark, sf_dir)))
+
+
+@register("payload_json_field")
+def q_payload_json_field(spark, sf_dir):
+    b = A.events_as_bronze(spark, sf_dir)
+    return report(b.select("source_event_id", "source_page", "commit_version", json_field("payload", "k").alias("k")))
+
+
+@register("silver_orders")
+def q_silver_orders(spark, sf_dir):
+    return report(silver.silver_orders(A.orders_as_bronze(spark, sf_dir)))
+
+
+@register("silver_rejects")
+def q_silver_rejects(spark, sf_dir):
+    rej = silver.silver_order_rejects(A.orders_as_bronze(spark, sf_dir, defects=True))
+    return report(rej.select("source_event_id", "source_page", silver.REJECT))
+
+
+@register("silver_customers")
+def q_silver_customers(spark, sf_dir):
+    return report(silver.silver_customers(A.customers_as_bronze(spark, sf_dir)))
+
+
+@register("customer_value_fanout")
+def q_customer_value_fanout(spark, sf_dir):
+    """V1 over customers whose grain is not enforced: the join fans out."""
+    return report(gold.customer_value(A.orders_as_silver(spark, sf_dir), A.events_as_customers(spark, sf_dir)))
+
+
+@register("customer_value_grain_enforced")
+def q_customer_value_grain_enforced(spark, sf_dir):
+    from .operators.dedupe import keep_latest
+
+    cust = keep_latest(
+        A.events_as_customers(spark, sf_dir),
+        ["customer_id"],
+        (F.col("source_updated_at").desc_nulls_last(), F.col("source_event_id").desc_nulls_last()),
+    )
+    return report(gold.customer_value(A.orders_as_silver(spark, sf_dir), cust))

@@ -53,3 +53,101 @@ SELECT cv.market, COUNT(DISTINCT cv.customer_id) AS customers,
        CAST(MAX(last_30_days.revenue_last_30_days) AS DOUBLE) AS revenue_last_30_days
 FROM cv CROSS JOIN last_30_days
 GROUP BY cv.market"""
+
+EV = """ev AS (
+  SELECT CAST(event_id AS VARCHAR) AS source_event_id, ts AS source_updated_at, 'RUN-0187' AS ingestion_run_id,
+         CAST(floor(event_id / 250) AS INTEGER) + 1 AS source_page, props AS payload FROM events)"""
+
+BRONZE_EV = f"""{EV},
+ev_max AS (SELECT MAX(source_page) AS m FROM ev),
+bronze AS (
+  SELECT ev.*, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at, CAST(source_page - 1 AS BIGINT) AS commit_version FROM ev
+  UNION ALL
+  SELECT ev.*, TIMESTAMP '2024-02-01 01:00:00' AS ingested_at,
+         CAST(ev_max.m + CASE source_page WHEN 3 THEN 0 WHEN 7 THEN 1 END AS BIGINT) AS commit_version
+  FROM ev, ev_max WHERE source_page IN (3, 7))"""
+
+W1_ORDER = """ORDER BY source_updated_at DESC NULLS LAST, ingested_at DESC NULLS LAST,
+  ingestion_run_id DESC NULLS LAST, source_page DESC NULLS LAST, payload ASC NULLS LAST"""
+
+SQL["silver_dedupe_events"] = f"""
+WITH {BRONZE_EV}
+SELECT * FROM bronze QUALIFY row_number() OVER (PARTITION BY source_event_id {W1_ORDER}) = 1"""
+
+SQL["payload_json_field"] = f"""
+WITH {BRONZE_EV}
+SELECT source_event_id, source_page, commit_version, json_extract_string(payload, '$.k') AS k FROM bronze"""
+
+
+def _orders_bronze(defects: bool) -> str:
+    date_text = "strftime(o_orderdate, '%Y-%m-%d')"
+    amount_text = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
+    if defects:
+        date_text = f"CASE WHEN o_orderpriority = '5-LOW' THEN strftime(o_orderdate, '%Y-%-m-%-d') ELSE {date_text} END"
+        amount_text = (
+            f"CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' "
+            f"THEN {amount_text} || '5' ELSE {amount_text} END"
+        )
+    return f"""od AS (
+  SELECT 'ord-' || CAST(o_orderkey AS VARCHAR) AS source_event_id,
+         CAST(o_orderdate AS TIMESTAMP) + INTERVAL 12 HOUR AS source_updated_at,
+         TIMESTAMP '2024-02-01 00:00:00' AS ingested_at, 'RUN-0187' AS ingestion_run_id,
+         CAST(floor(o_orderkey / 1000) AS INTEGER) + 1 AS source_page,
+         CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+         {date_text} AS date_text,
+         CASE o_orderpriority WHEN '1-URGENT' THEN upper(st) WHEN '2-HIGH' THEN upper(substr(st, 1, 1)) || substr(st, 2)
+              ELSE st END AS status_text,
+         {amount_text} AS amount_text, o_orderstatus
+  FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'open' ELSE 'cancelled' END AS st
+        FROM orders) o),
+ob AS (
+  SELECT source_event_id, source_updated_at, ingested_at, ingestion_run_id, source_page, order_id, customer_id,
+         date_text, status_text, amount_text FROM od
+  UNION ALL
+  SELECT source_event_id, source_updated_at + INTERVAL 1 DAY, ingested_at + INTERVAL 1 DAY, ingestion_run_id,
+         source_page, order_id, customer_id, date_text, 'completed', amount_text FROM od WHERE o_orderstatus = 'O'),
+okeep AS (
+  SELECT * FROM ob QUALIFY row_number() OVER (PARTITION BY source_event_id ORDER BY source_updated_at DESC,
+    ingested_at DESC, ingestion_run_id DESC, source_page DESC) = 1)"""
+
+
+SQL["silver_orders"] = f"""
+WITH {_orders_bronze(False)}
+SELECT order_id, customer_id, CAST(date_text AS DATE) AS order_date, lower(status_text) AS order_status,
+       CAST(CAST(amount_text AS DECIMAL(18,2)) AS DOUBLE) AS net_amount, source_updated_at, ingestion_run_id
+FROM okeep"""
+
+SQL["silver_rejects"] = f"""
+WITH {_orders_bronze(True)},
+r AS (
+  SELECT source_event_id, source_page,
+         CASE WHEN NOT COALESCE(regexp_full_match(date_text, '\\d{{4}}-\\d{{2}}-\\d{{2}}')
+                                AND TRY_CAST(date_text AS DATE) IS NOT NULL, false) THEN 'bad_order_date'
+              WHEN NOT COALESCE(TRY_CAST(amount_text AS DECIMAL(18,2)) = TRY_CAST(amount_text AS DECIMAL(38,18)), false)
+                   THEN 'bad_net_amount' END AS reject_reason
+  FROM okeep)
+SELECT * FROM r WHERE reject_reason IS NOT NULL"""
+
+SQL["silver_customers"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_mktsegment AS market,
+       TIMESTAMP '2024-01-15 00:00:00' AS source_updated_at, 'RUN-0187' AS ingestion_run_id
+FROM customer"""
+
+EVC = """evc AS (SELECT CAST(user_id AS VARCHAR) AS customer_id, event_type AS market, ts AS source_updated_at,
+                      CAST(event_id AS VARCHAR) AS source_event_id FROM events)"""
+
+CV_OVER = """SELECT c.customer_id, c.market,
+       MIN(o.order_date) AS first_order_date, MAX(o.order_date) AS latest_order_date,
+       CAST(SUM(o.net_amount) AS DOUBLE) AS lifetime_net_revenue, COUNT(DISTINCT o.order_id) AS completed_orders
+FROM {c} AS c LEFT JOIN so AS o ON c.customer_id = o.customer_id AND o.order_status = 'completed'
+GROUP BY c.customer_id, c.market"""
+
+SQL["customer_value_fanout"] = f"""
+WITH {SO}, {EVC}
+{CV_OVER.format(c="evc")}"""
+
+SQL["customer_value_grain_enforced"] = f"""
+WITH {SO}, {EVC},
+latest AS (SELECT * FROM evc QUALIFY row_number() OVER (PARTITION BY customer_id
+           ORDER BY source_updated_at DESC NULLS LAST, source_event_id DESC NULLS LAST) = 1)
+{CV_OVER.format(c="latest")}"""
