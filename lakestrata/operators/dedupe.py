@@ -15,13 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ENVELOPE_ORDER = (
-    F.col("source_updated_at").desc_nulls_last(),
-    F.col("ingested_at").desc_nulls_last(),
-    F.col("ingestion_run_id").desc_nulls_last(),
-    F.col("source_page").desc_nulls_last(),
-    F.col("payload").asc_nulls_last(),
-)
+def envelope_order() -> tuple[Column, ...]:
+    return (
+        F.col("source_updated_at").desc_nulls_last(),
+        F.col("ingested_at").desc_nulls_last(),
+        F.col("ingestion_run_id").desc_nulls_last(),
+        F.col("source_page").desc_nulls_last(),
+        F.col("payload").asc_nulls_last(),
+    )
 
 
 def keep_latest(df: DataFrame, keys: list[str] | tuple[str, ...], order: tuple[Column, ...]) -> DataFrame:
@@ -31,4 +32,4 @@ def keep_latest(df: DataFrame, keys: list[str] | tuple[str, ...], order: tuple[C
 
 
 def dedupe_by_source_event(bronze: DataFrame) -> DataFrame:
-    return keep_latest(bronze, ["source_event_id"], ENVELOPE_ORDER)
+    return keep_latest(bronze, ["source_event_id"], envelope_order())
