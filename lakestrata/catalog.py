@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,3 +125,84 @@ def q_customer_value_grain_enforced(spark, sf_dir):
         (F.col("source_updated_at").desc_nulls_last(), F.col("source_event_id").desc_nulls_last()),
     )
     return report(gold.customer_value(A.orders_as_silver(spark, sf_dir), cust))
+
+
+# ------------------------------------------------------------------- ingest
+
+from .operators import history  # noqa: E402
+from .operators import validation as V  # noqa: E402
+
+LANDING_INGEST_TIME = "2024-02-01 00:00:00"
+PROGRESS_CUTOFF = "2024-01-16 00:00:00"
+
+
+@register("bronze_envelope")
+def q_bronze_envelope(spark, sf_dir):
+    landing = A.events_as_landing(spark, sf_dir)
+    return report(V.envelope(landing, A.RUN_ID, LANDING_INGEST_TIME))
+
+
+@register("page_validation")
+def q_page_validation(spark, sf_dir):
+    return report(V.page_validation(A.events_as_landing(spark, sf_dir)))
+
+
+@register("committable_pages")
+def q_committable_pages(spark, sf_dir):
+    return report(V.committable_pages(V.page_validation(A.events_as_landing(spark, sf_dir))))
+
+
+def _progress_from_events(spark, sf_dir):
+    """Progress of an earlier run RUN-A that ingested the pages whose events
+    all precede PROGRESS_CUTOFF."""
+    ev = A.read(spark, sf_dir, "events")
+    return (
+        ev.groupBy(A.event_page())
+        .agg(F.max("ts").alias("_last"))
+        .where(F.col("_last") < F.lit(PROGRESS_CUTOFF).cast("timestamp_ntz"))
+        .select(
+            F.lit("RUN-A").alias("run_id"),
+            "source_page",
+            F.lit(True).alias("complete"),
+            (F.col("source_page") - 1).cast("long").alias("commit_version"),
+        )
+    )
+
+
+@register("pending_pages")
+def q_pending_pages(spark, sf_dir):
+    pages = A.events_as_landing(spark, sf_dir).select("source_page").distinct()
+    progress = _progress_from_events(spark, sf_dir)
+    return report(
+        V.pending_pages(pages, progress, "RUN-A").unionByName(V.pending_pages(pages, progress, "RUN-B"))
+    )
+
+
+@register("commit_history")
+def q_commit_history(spark, sf_dir):
+    h = history.commit_history(A.events_as_bronze(spark, sf_dir))
+    per_page = Window.partitionBy("ingestion_run_id", "source_page")
+    return report(h.withColumn("commits_for_page", F.count(F.lit(1)).over(per_page)))
+
+
+@register("bronze_replay_report")
+def q_bronze_replay_report(spark, sf_dir):
+    return report(history.replay_report(A.events_as_bronze(spark, sf_dir)))
+
+
+@register("replayed_events")
+def q_replayed_events(spark, sf_dir):
+    r = history.replayed_events(A.events_as_bronze(spark, sf_dir))
+    return report(
+        r.select(
+            "source_event_id",
+            "deliveries",
+            F.array_join(F.col("commit_versions").cast("array<string>"), ",").alias("commit_versions"),
+            F.array_join(F.col("source_pages").cast("array<string>"), ",").alias("source_pages"),
+        )
+    )
+
+
+@register("ingest_summary")
+def q_ingest_summary(spark, sf_dir):
+    return report(history.ingest_summary(A.events_as_bronze(spark, sf_dir)))

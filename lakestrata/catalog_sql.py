@@ -151,3 +151,77 @@ WITH {SO}, {EVC},
 latest AS (SELECT * FROM evc QUALIFY row_number() OVER (PARTITION BY customer_id
            ORDER BY source_updated_at DESC NULLS LAST, source_event_id DESC NULLS LAST) = 1)
 {CV_OVER.format(c="latest")}"""
+
+LANDING = """land AS (
+  SELECT CAST(floor(event_id / 250) AS INTEGER) + 1 AS source_page, event_id, ts,
+         CASE WHEN event_type = 'error' AND value < 1.0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS rec_event_id,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS rec_updated_at,
+         CAST(user_id AS VARCHAR) AS rec_user_id, event_type, CAST(value AS VARCHAR) AS rec_value
+  FROM events)"""
+
+VALIDATION = """val AS (
+  SELECT source_page, COUNT(*) AS records,
+         COUNT(*) FILTER (WHERE COALESCE(rec_event_id, '') = '') AS missing_event_id,
+         COUNT(*) FILTER (WHERE COALESCE(rec_updated_at, '') = '') AS missing_updated_at,
+         CAST(0 AS BIGINT) AS bad_updated_at
+  FROM land GROUP BY source_page)"""
+
+SQL["bronze_envelope"] = f"""
+WITH {LANDING}
+SELECT rec_event_id AS source_event_id, ts AS source_updated_at, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at,
+       'RUN-0187' AS ingestion_run_id, source_page,
+       '{{"event_id":"' || rec_event_id || '","updated_at":"' || rec_updated_at || '","user_id":"' || rec_user_id
+       || '","event_type":"' || event_type || '","value":"' || rec_value || '"}}' AS payload
+FROM land"""
+
+SQL["page_validation"] = f"""
+WITH {LANDING}, {VALIDATION}
+SELECT *, (missing_event_id = 0 AND missing_updated_at = 0 AND bad_updated_at = 0) AS is_valid FROM val"""
+
+SQL["committable_pages"] = f"""
+WITH {LANDING}, {VALIDATION},
+v AS (SELECT source_page, (missing_event_id = 0 AND missing_updated_at = 0 AND bad_updated_at = 0) AS is_valid FROM val),
+first_bad AS (SELECT MIN(source_page) AS p FROM v WHERE NOT is_valid)
+SELECT source_page, is_valid, COALESCE(source_page < (SELECT p FROM first_bad), true) AS committable FROM v"""
+
+SQL["pending_pages"] = f"""
+WITH {LANDING},
+pages AS (SELECT DISTINCT source_page FROM land),
+done AS (SELECT source_page FROM land GROUP BY source_page HAVING MAX(ts) < TIMESTAMP '2024-01-16 00:00:00')
+SELECT source_page, 'RUN-A' AS run_id FROM pages WHERE source_page NOT IN (SELECT source_page FROM done)
+UNION ALL
+SELECT source_page, 'RUN-B' AS run_id FROM pages"""
+
+SQL["commit_history"] = f"""
+WITH {BRONZE_EV},
+h AS (SELECT commit_version, ingestion_run_id, source_page, COUNT(*) AS rows, MIN(ingested_at) AS ingested_at
+      FROM bronze GROUP BY ALL)
+SELECT *, COUNT(*) OVER (PARTITION BY ingestion_run_id, source_page) AS commits_for_page FROM h"""
+
+SQL["bronze_replay_report"] = f"""
+WITH {BRONZE_EV}
+SELECT source_page, COUNT(*) AS rows, COUNT(DISTINCT source_event_id) AS distinct_events,
+       COUNT(DISTINCT commit_version) AS commits, COUNT(*) - COUNT(DISTINCT source_event_id) AS duplicate_rows
+FROM bronze GROUP BY source_page"""
+
+SQL["replayed_events"] = f"""
+WITH {BRONZE_EV}
+SELECT source_event_id, COUNT(*) AS deliveries,
+       array_to_string(list_sort(list(DISTINCT commit_version)), ',') AS commit_versions,
+       array_to_string(list_sort(list(DISTINCT source_page)), ',') AS source_pages
+FROM bronze GROUP BY source_event_id HAVING COUNT(*) > 1"""
+
+SQL["ingest_summary"] = f"""
+WITH {BRONZE_EV},
+pg AS (SELECT DISTINCT ingestion_run_id, source_page FROM bronze),
+isl AS (SELECT ingestion_run_id, source_page,
+               source_page - row_number() OVER (PARTITION BY ingestion_run_id ORDER BY source_page) AS island FROM pg),
+rng AS (SELECT ingestion_run_id, MIN(source_page) AS lo, MAX(source_page) AS hi, COUNT(*) AS n FROM isl GROUP BY ALL),
+txt AS (SELECT ingestion_run_id,
+               string_agg(CASE WHEN lo = hi THEN CAST(lo AS VARCHAR) ELSE CAST(lo AS VARCHAR) || '-' || CAST(hi AS VARCHAR) END,
+                          ',' ORDER BY lo) AS pages_appended,
+               CAST(SUM(n) AS BIGINT) AS page_count
+        FROM rng GROUP BY ingestion_run_id),
+per_run AS (SELECT ingestion_run_id, MIN(commit_version) AS first_version, MAX(commit_version) AS last_version,
+                   COUNT(DISTINCT commit_version) AS commits, COUNT(*) AS rows_appended FROM bronze GROUP BY ALL)
+SELECT per_run.*, txt.pages_appended, txt.page_count FROM per_run JOIN txt USING (ingestion_run_id)"""
