@@ -206,3 +206,58 @@ def q_replayed_events(spark, sf_dir):
 @register("ingest_summary")
 def q_ingest_summary(spark, sf_dir):
     return report(history.ingest_summary(A.events_as_bronze(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ quality
+
+from .contracts import FEED_CONTRACTS  # noqa: E402
+from .operators import quality as Q  # noqa: E402
+
+
+@register("contract_classification")
+def q_contract_classification(spark, sf_dir):
+    observed = {c.name: A.read(spark, sf_dir, c.name.split(".", 1)[1]) for c in FEED_CONTRACTS}
+    return report(Q.classify(Q.contract_columns(spark, FEED_CONTRACTS), Q.observed_columns(spark, observed)))
+
+
+def _bronze_with_null_payloads(spark, sf_dir):
+    """Events Bronze where error events arrive without a payload."""
+    b = A.events_as_bronze(spark, sf_dir)
+    ev = A.read(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("source_event_id"), "event_type")
+    return b.join(ev, "source_event_id").select(
+        *[c for c in b.columns if c != "payload"],
+        F.when(F.col("event_type") == "error", F.lit(None).cast("string")).otherwise(F.col("payload")).alias("payload"),
+    )
+
+
+@register("null_audit")
+def q_null_audit(spark, sf_dir):
+    return report(Q.null_counts(_bronze_with_null_payloads(spark, sf_dir), "orders_raw"))
+
+
+@register("grain_violations")
+def q_grain_violations(spark, sf_dir):
+    return report(Q.grain_violations(A.events_as_customers(spark, sf_dir), ["customer_id"]))
+
+
+def signed_event_orders(spark, sf_dir):
+    """Events as completed orders whose amount is the value, and -3 x value for
+    error events (refunds), so some days end with negative revenue."""
+    ev = A.read(spark, sf_dir, "events")
+    amount = F.col("value").cast("decimal(18,2)")
+    return ev.select(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.col("ts").cast("date").alias("order_date"),
+        F.lit("completed").alias("order_status"),
+        F.when(F.col("event_type") == "error", amount * F.lit(-3)).otherwise(amount).cast("decimal(18,2)").alias(
+            "net_amount"
+        ),
+    )
+
+
+@register("constraint_violations")
+def q_constraint_violations(spark, sf_dir):
+    orders = signed_event_orders(spark, sf_dir)
+    dr = gold.daily_revenue(gold.calendar_from(orders, "order_date"), orders)
+    return report(Q.constraint_violations(dr, F.col("gross_revenue") >= 0))

@@ -225,3 +225,95 @@ txt AS (SELECT ingestion_run_id,
 per_run AS (SELECT ingestion_run_id, MIN(commit_version) AS first_version, MAX(commit_version) AS last_version,
                    COUNT(DISTINCT commit_version) AS commits, COUNT(*) AS rows_appended FROM bronze GROUP BY ALL)
 SELECT per_run.*, txt.pages_appended, txt.page_count FROM per_run JOIN txt USING (ingestion_run_id)"""
+
+# Observed driver-table columns for the feed contracts (name, DuckDB type).
+FEED_TABLE_COLUMNS = {
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+}
+
+
+def _feed_expected() -> str:
+    from .contracts import FEED_CONTRACTS
+
+    rows = ",\n  ".join(
+        f"('{c.name}', '{col.name}', '{col.dtype.simpleString()}', {str(col.nullable).lower()})"
+        for c in FEED_CONTRACTS
+        for col in c.columns
+    )
+    return f"expected(table_name, column_name, data_type, nullable) AS (VALUES\n  {rows})"
+
+
+def _feed_nulls() -> str:
+    parts = [
+        f"SELECT 'feed.{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS n FROM {t}"
+        for t, cols in FEED_TABLE_COLUMNS.items()
+        for c in cols
+    ]
+    return "obs_nulls AS (\n  " + "\n  UNION ALL ".join(parts) + ")"
+
+
+_TABLES_IN = ", ".join(f"'{t}'" for t in FEED_TABLE_COLUMNS)
+
+SQL["contract_classification"] = f"""
+WITH {_feed_expected()},
+obs_meta AS (
+  SELECT 'feed.' || table_name AS table_name, column_name,
+         CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+              WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
+              ELSE lower(data_type) END AS data_type
+  FROM information_schema.columns WHERE table_name IN ({_TABLES_IN})),
+{_feed_nulls()},
+observed AS (SELECT m.table_name, m.column_name, m.data_type, n.n > 0 AS nullable
+             FROM obs_meta m JOIN obs_nulls n ON m.table_name = n.table_name AND m.column_name = n.column_name),
+j AS (
+  SELECT COALESCE(e.table_name, o.table_name) AS table_name, COALESCE(e.column_name, o.column_name) AS column_name,
+         e.data_type AS e_type, e.nullable AS e_null, o.data_type AS o_type, o.nullable AS o_null
+  FROM expected e FULL OUTER JOIN observed o ON e.table_name = o.table_name AND e.column_name = o.column_name
+  WHERE COALESCE(e.table_name, o.table_name) IN (SELECT table_name FROM expected)),
+per AS (
+  SELECT table_name,
+    COALESCE(array_to_string(list_sort(list(column_name) FILTER (WHERE e_type IS NULL)), ','), '') AS added,
+    COALESCE(array_to_string(list_sort(list(column_name) FILTER (WHERE o_type IS NULL)), ','), '') AS removed,
+    COALESCE(array_to_string(list_sort(list(column_name || ':' || e_type || '>' || o_type)
+             FILTER (WHERE e_type IS NOT NULL AND o_type IS NOT NULL AND e_type <> o_type)), ','), '') AS retyped,
+    COALESCE(array_to_string(list_sort(list(column_name)
+             FILTER (WHERE o_type IS NOT NULL AND NOT e_null AND o_null)), ','), '') AS loosened
+  FROM j GROUP BY table_name)
+SELECT table_name,
+       CASE WHEN removed <> '' OR retyped <> '' OR loosened <> '' THEN 'breaking'
+            WHEN added <> '' THEN 'additive' ELSE 'none' END AS kind,
+       added, removed, retyped, loosened
+FROM per"""
+
+SQL["null_audit"] = f"""
+WITH {BRONZE_EV},
+b AS (SELECT bronze.* REPLACE (CASE WHEN e.event_type = 'error' THEN NULL ELSE bronze.payload END AS payload)
+      FROM bronze JOIN events e ON bronze.source_event_id = CAST(e.event_id AS VARCHAR))
+SELECT 'orders_raw' AS table_name, column_name, null_count, (SELECT COUNT(*) FROM b) AS rows FROM (
+  SELECT 'source_event_id' AS column_name, COUNT(*) - COUNT(source_event_id) AS null_count FROM b
+  UNION ALL SELECT 'source_updated_at', COUNT(*) - COUNT(source_updated_at) FROM b
+  UNION ALL SELECT 'ingestion_run_id', COUNT(*) - COUNT(ingestion_run_id) FROM b
+  UNION ALL SELECT 'source_page', COUNT(*) - COUNT(source_page) FROM b
+  UNION ALL SELECT 'ingested_at', COUNT(*) - COUNT(ingested_at) FROM b
+  UNION ALL SELECT 'commit_version', COUNT(*) - COUNT(commit_version) FROM b
+  UNION ALL SELECT 'payload', COUNT(*) - COUNT(payload) FROM b)"""
+
+SQL["grain_violations"] = """
+SELECT CAST(user_id AS VARCHAR) AS customer_id, COUNT(*) AS rows FROM events GROUP BY 1 HAVING COUNT(*) > 1"""
+
+SQL["constraint_violations"] = """
+WITH eo AS (
+  SELECT CAST(event_id AS VARCHAR) AS order_id, CAST(ts AS DATE) AS order_date,
+         CAST(CASE WHEN event_type = 'error' THEN CAST(value AS DECIMAL(18,2)) * -3 ELSE CAST(value AS DECIMAL(18,2)) END
+              AS DECIMAL(18,2)) AS net_amount
+  FROM events),
+cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS calendar_date
+        FROM (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM eo) b WHERE lo IS NOT NULL),
+dr AS (SELECT d.calendar_date, COUNT(DISTINCT o.order_id) AS order_count, COALESCE(SUM(o.net_amount), 0) AS gross_revenue
+       FROM cal d LEFT JOIN eo o ON o.order_date = d.calendar_date GROUP BY d.calendar_date)
+SELECT calendar_date, order_count, CAST(gross_revenue AS DOUBLE) AS gross_revenue FROM dr WHERE NOT (gross_revenue >= 0)"""
