@@ -261,3 +261,115 @@ def q_constraint_violations(spark, sf_dir):
     orders = signed_event_orders(spark, sf_dir)
     dr = gold.daily_revenue(gold.calendar_from(orders, "order_date"), orders)
     return report(Q.constraint_violations(dr, F.col("gross_revenue") >= 0))
+
+
+# ------------------------------------------------------------------ refresh
+
+from .plans import refresh as R  # noqa: E402
+
+INCREMENTAL_CUTOFF = "2001-01-01"
+LATE_COMPLETION_FROM = "2000-07-01"
+
+
+def old_orders_snapshot(spark, sf_dir):
+    """Silver orders as they stood on INCREMENTAL_CUTOFF: later orders not yet
+    there, and orders completed since LATE_COMPLETION_FROM still open."""
+    o = A.orders_as_silver(spark, sf_dir).where(F.col("order_date") < F.lit(INCREMENTAL_CUTOFF).cast("date"))
+    late = (F.col("order_date") >= F.lit(LATE_COMPLETION_FROM).cast("date")) & (F.col("order_status") == "completed")
+    return o.withColumn("order_status", F.when(late, F.lit("open")).otherwise(F.col("order_status")))
+
+
+@register("customer_value_incremental")
+def q_customer_value_incremental(spark, sf_dir):
+    """V6/V7: incremental customer_value from the old snapshot's view plus the
+    change set; the oracle is the FULL view over the new snapshot."""
+    old_o, new_o = old_orders_snapshot(spark, sf_dir), A.orders_as_silver(spark, sf_dir)
+    customers = A.customers_as_silver(spark, sf_dir)
+    old_view = gold.customer_value(old_o, customers)
+    affected = R.affected_customers(R.order_changes(old_o, new_o))
+    return report(R.incremental_customer_value(old_view, new_o, customers, affected))
+
+
+def source_version_log(spark, sf_dir):
+    """(tick, table_name, version): one tick per day of ``events``.  silver.orders
+    moves on days where an events page completes, silver.customers on days a
+    new user appears, silver.calendar never; version = commit days before the tick."""
+    ev = A.read(spark, sf_dir, "events")
+    ticks = gold.calendar_from(ev.select(F.col("ts").cast("date").alias("d")), "d").select(
+        F.col("calendar_date").alias("tick")
+    )
+    order_days = ev.groupBy(A.event_page()).agg(F.max("ts").cast("date").alias("tick")).select("tick").distinct()
+    cust_days = ev.groupBy("user_id").agg(F.min("ts").cast("date").alias("tick")).select("tick").distinct()
+    w = Window.partitionBy("table_name").orderBy("tick").rowsBetween(Window.unboundedPreceding, -1)
+
+    def log(name, days):
+        flagged = ticks.join(days.withColumn("_c", F.lit(1)), "tick", "left").select(
+            "tick", F.lit(name).alias("table_name"), F.coalesce(F.col("_c"), F.lit(0)).alias("_c")
+        )
+        return flagged.withColumn("version", F.coalesce(F.sum("_c").over(w), F.lit(0)).cast("long")).drop("_c")
+
+    static = ticks.select("tick", F.lit("silver.calendar").alias("table_name"), F.lit(0).cast("long").alias("version"))
+    return log("silver.orders", order_days).unionByName(log("silver.customers", cust_days)).unionByName(static)
+
+
+@register("refresh_decision")
+def q_refresh_decision(spark, sf_dir):
+    return report(R.refresh_decisions(source_version_log(spark, sf_dir)))
+
+
+@register("schema_merge_append")
+def q_schema_merge_append(spark, sf_dir):
+    """Append a batch carrying an extra nullable column, read merged."""
+    from .session import scratch_dir
+    from .sources.bronze import BronzeTable
+
+    table = BronzeTable(spark, scratch_dir(spark, "schema-merge"))
+    bronze = A.events_as_bronze(spark, sf_dir)
+    table.append(bronze.where(F.col("ingested_at") == F.lit(A.FIRST_INGEST).cast("timestamp")))
+    table.append(
+        bronze.where(F.col("ingested_at") > F.lit(A.FIRST_INGEST).cast("timestamp")).withColumn(
+            "source_region", json_field("payload", "k")
+        )
+    )
+    merged = table.read()
+    return report(
+        merged.groupBy("commit_version").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count("source_region").alias("region_rows"),
+            F.max("source_region").alias("max_region"),
+        )
+    )
+
+
+@register("streaming_bronze_counts")
+def q_streaming_bronze_counts(spark, sf_dir):
+    """Stream the landed events pages into Bronze, crash once after a
+    commit, restart from the streaming checkpoint; Silver (dedupe) per page."""
+    from .plans.ingest import CheckpointWriteInterrupted
+    from .session import scratch_dir
+    from .sources.bronze import BronzeTable
+    from .sources.landing import write_pages
+    from .streaming.bronze_stream import run_to_completion, start_bronze_stream
+
+    landing, root = scratch_dir(spark, "stream-landing"), scratch_dir(spark, "stream-bronze")
+    ckpt = scratch_dir(spark, "stream-ckpt")
+    write_pages(A.events_as_landing(spark, sf_dir, defects=False).repartition("source_page"), landing)
+    table = BronzeTable(spark, root)
+    crashed = []
+
+    def crash_once(page, version):
+        if page == 7 and not crashed:
+            crashed.append(page)
+            raise CheckpointWriteInterrupted("simulated crash after commit")
+
+    try:
+        run_to_completion(start_bronze_stream(spark, landing, table, A.RUN_ID, ckpt, crash_once, max_files_per_trigger=64))
+    except Exception:
+        pass
+    run_to_completion(start_bronze_stream(spark, landing, table, A.RUN_ID, ckpt, max_files_per_trigger=64))
+    deduped = dedupe_by_source_event(table.read())
+    return report(
+        deduped.groupBy("source_page").agg(
+            F.count(F.lit(1)).alias("events"), F.min("source_updated_at").alias("first_update")
+        )
+    )

@@ -100,13 +100,14 @@ def iso_utc(ts_col) -> "F.Column":
     return F.date_format(ts_col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def events_as_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_as_landing(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFrame:
     """Landed JSON-lines records for ``events``: (source_page, value).
 
-    A record loses its ``event_id`` (empty string) when it is an ``error``
-    event worth less than 1.0: the malformed-source case for page validation."""
+    With ``defects`` a record loses its ``event_id`` (empty string) when it is
+    an ``error`` event worth less than 1.0: the malformed-source case for
+    page validation."""
     ev = read(spark, sf_dir, "events")
-    blank = (F.col("event_type") == "error") & (F.col("value") < 1.0)
+    blank = (F.col("event_type") == "error") & (F.col("value") < 1.0) & F.lit(defects)
     record = F.struct(
         F.when(blank, F.lit("")).otherwise(F.col("event_id").cast("string")).alias("event_id"),
         iso_utc(F.col("ts")).alias("updated_at"),
