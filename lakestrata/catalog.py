@@ -373,3 +373,89 @@ def q_streaming_bronze_counts(spark, sf_dir):
             F.count(F.lit(1)).alias("events"), F.min("source_updated_at").alias("first_update")
         )
     )
+
+
+# -------------------------------------------------------------------- runs
+
+from .plans import runs as RUNS  # noqa: E402
+
+
+def manifests_from_events(spark, sf_dir):
+    """One ingest run per day of ``events``.  Status follows the day's first
+    event type; a run commits the pages that complete that day (0 when
+    none), and versions accumulate over earlier runs (one row per run, so an
+    ordered window over the whole manifest table is fine)."""
+    ev = A.read(spark, sf_dir, "events")
+    page_done = ev.groupBy(A.event_page()).agg(F.max("ts").cast("date").alias("day"))
+    completions = page_done.groupBy("day").agg(F.count(F.lit(1)).alias("_pages"))
+    days = ev.groupBy(F.col("ts").cast("date").alias("day")).agg(
+        F.min_by("event_type", "ts").alias("_first"), F.count(F.lit(1)).alias("rows_appended")
+    )
+    status = (
+        F.when(F.col("_first").isin("purchase", "click"), F.lit("ok"))
+        .when(F.col("_first") == "view", F.lit("validation_error: record missing event_id"))
+        .when(F.col("_first") == "signup", F.lit("checkpoint_write_interrupted: simulated crash after commit"))
+        .otherwise(F.lit("error: unparsable updated_at"))
+    )
+    appended = F.when(
+        F.col("status").startswith("error:") | F.col("status").startswith("validation_error:"), F.lit(0)
+    ).otherwise(F.coalesce(F.col("_pages"), F.lit(0)))
+    m = (
+        days.join(completions, "day", "left")
+        .withColumn("status", status)
+        .withColumn("_commits", appended.cast("long"))
+    )
+    w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_commits").over(w), F.lit(0)).cast("long")
+    return m.select(
+        F.concat(F.lit("RUN-"), F.date_format("day", "yyyyMMdd")).alias("run_id"),
+        F.col("day").cast("timestamp").alias("finished_at"),
+        "status",
+        "rows_appended",
+        before.alias("version_before"),
+        (before + F.col("_commits")).alias("version_after"),
+    )
+
+
+@register("manifest_gate")
+def q_manifest_gate(spark, sf_dir):
+    g = RUNS.gate(manifests_from_events(spark, sf_dir))
+    return report(g.select("run_id", "status", "action", "version_before", "version_after", "gated"))
+
+
+@register("failure_owner")
+def q_failure_owner(spark, sf_dir):
+    """Runtime failures from the run manifests plus logic failures from
+    daily_revenue refreshes that broke the CHECK, counted per owner."""
+    runs = manifests_from_events(spark, sf_dir).select("status")
+    orders = signed_event_orders(spark, sf_dir)
+    dr = gold.daily_revenue(gold.calendar_from(orders, "order_date"), orders)
+    refresh = Q.constraint_violations(dr, F.col("gross_revenue") >= 0).select(
+        F.lit("constraint_violation: non_negative_revenue").alias("status")
+    )
+    failures = runs.unionByName(refresh).select(RUNS.failure_owner("status").alias("owner"), "status")
+    return report(
+        failures.where(F.col("owner").isNotNull())
+        .groupBy("owner", F.split("status", ":").getItem(0).alias("status_kind"))
+        .agg(F.count(F.lit(1)).alias("failures"))
+    )
+
+
+@register("image_pin_audit")
+def q_image_pin_audit(spark, sf_dir):
+    """Every event as a submitted run with an image reference."""
+    ev = A.read(spark, sf_dir, "events")
+    digest = F.sha2(F.col("props"), 256)
+    image = (
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit("lakehouse/ingest@sha256:"), digest))
+        .when(F.col("event_type") == "view", F.lit("lakehouse/ingest:latest"))
+        .when(F.col("event_type") == "click", F.lit("lakehouse/ingest:v1.4.2"))
+        .when(F.col("event_type") == "signup", F.lit("lakehouse/ingest"))
+        .otherwise(F.concat(F.lit("lakehouse/ingest@sha256:"), F.upper(digest)))
+    )
+    runs = ev.select(
+        F.concat(F.lit("RUN-"), F.col("event_id").cast("string")).alias("run_id"),
+        image.alias("image"),
+        F.upper(F.substring(F.md5("props"), 1, 6)).alias("git_commit"),
+    )
+    return report(runs.withColumn("pinned", RUNS.image_pinned("image")))

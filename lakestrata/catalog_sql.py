@@ -363,3 +363,64 @@ FROM bronze GROUP BY commit_version"""
 SQL["streaming_bronze_counts"] = """
 SELECT CAST(floor(event_id / 250) AS INTEGER) + 1 AS source_page, COUNT(*) AS events, MIN(ts) AS first_update
 FROM events GROUP BY 1"""
+
+MANIFESTS = """page_done AS (SELECT CAST(MAX(ts) AS DATE) AS day FROM events GROUP BY CAST(floor(event_id / 250) AS INTEGER)),
+completions AS (SELECT day, COUNT(*) AS pages FROM page_done GROUP BY day),
+days AS (SELECT CAST(ts AS DATE) AS day, arg_min(event_type, ts) AS first_type, COUNT(*) AS rows_appended
+         FROM events GROUP BY 1),
+m0 AS (
+  SELECT d.day, d.rows_appended, c.pages,
+         CASE WHEN first_type IN ('purchase', 'click') THEN 'ok'
+              WHEN first_type = 'view' THEN 'validation_error: record missing event_id'
+              WHEN first_type = 'signup' THEN 'checkpoint_write_interrupted: simulated crash after commit'
+              ELSE 'error: unparsable updated_at' END AS status
+  FROM days d LEFT JOIN completions c ON d.day = c.day),
+m1 AS (SELECT *, CAST(CASE WHEN status LIKE 'error:%' OR status LIKE 'validation_error:%' THEN 0
+                           ELSE COALESCE(pages, 0) END AS BIGINT) AS commits FROM m0),
+manifests AS (
+  SELECT 'RUN-' || strftime(day, '%Y%m%d') AS run_id, CAST(day AS TIMESTAMP) AS finished_at, status, rows_appended,
+         CAST(COALESCE(SUM(commits) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+           AS version_before,
+         CAST(COALESCE(SUM(commits) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + commits
+              AS BIGINT) AS version_after
+  FROM m1)"""
+
+SQL["manifest_gate"] = f"""
+WITH {MANIFESTS},
+a AS (SELECT *, CASE WHEN status = 'ok' THEN 'proceed'
+                     WHEN status LIKE 'validation_error:%' OR status LIKE 'schema_contract_violation:%' THEN 'fail'
+                     WHEN status LIKE 'checkpoint_write_interrupted:%' THEN 'resubmit' ELSE 'inspect' END AS action
+      FROM manifests)
+SELECT run_id, status, action, version_before, version_after,
+       action = 'proceed' AND version_after IS NOT NULL AND version_after > COALESCE(
+         MAX(CASE WHEN action = 'proceed' THEN version_after END)
+           OVER (ORDER BY finished_at, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS gated
+FROM a"""
+
+SQL["failure_owner"] = f"""
+WITH {MANIFESTS},
+eo AS (SELECT CAST(event_id AS VARCHAR) AS order_id, CAST(ts AS DATE) AS order_date,
+              CAST(CASE WHEN event_type = 'error' THEN CAST(value AS DECIMAL(18,2)) * -3
+                        ELSE CAST(value AS DECIMAL(18,2)) END AS DECIMAL(18,2)) AS net_amount FROM events),
+cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS calendar_date
+        FROM (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM eo) b WHERE lo IS NOT NULL),
+dr AS (SELECT d.calendar_date, COALESCE(SUM(o.net_amount), 0) AS gross_revenue
+       FROM cal d LEFT JOIN eo o ON o.order_date = d.calendar_date GROUP BY d.calendar_date),
+st AS (SELECT status FROM manifests
+       UNION ALL SELECT 'constraint_violation: non_negative_revenue' FROM dr WHERE NOT (gross_revenue >= 0)),
+f AS (SELECT CASE WHEN status = 'ok' THEN NULL WHEN status LIKE 'schema_contract_violation:%' THEN 'table'
+                  WHEN status LIKE 'constraint_violation:%' OR status LIKE 'refresh_error:%' THEN 'logic'
+                  ELSE 'runtime' END AS owner, split_part(status, ':', 1) AS status_kind FROM st)
+SELECT owner, status_kind, COUNT(*) AS failures FROM f WHERE owner IS NOT NULL GROUP BY ALL"""
+
+SQL["image_pin_audit"] = """
+WITH r AS (
+  SELECT 'RUN-' || CAST(event_id AS VARCHAR) AS run_id,
+         CASE event_type WHEN 'purchase' THEN 'lakehouse/ingest@sha256:' || sha256(props)
+                         WHEN 'view' THEN 'lakehouse/ingest:latest'
+                         WHEN 'click' THEN 'lakehouse/ingest:v1.4.2'
+                         WHEN 'signup' THEN 'lakehouse/ingest'
+                         ELSE 'lakehouse/ingest@sha256:' || upper(sha256(props)) END AS image,
+         upper(substr(md5(props), 1, 6)) AS git_commit
+  FROM events)
+SELECT *, COALESCE(regexp_full_match(image, '[a-z0-9.\\-/:]+@sha256:[a-f0-9]{64}'), false) AS pinned FROM r"""
