@@ -22,11 +22,22 @@ def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+CORRUPT = "_corrupt_record"
+
+
 def json_struct(text: Column | str, ddl: str) -> Column:
     """parse JSON text into a struct with an explicit schema.
 
-    Malformed text gives a NULL struct (not an error); callers must check."""
-    return F.from_json(col_of(text), ddl)
+    Malformed text does not raise: its fields come back NULL and the raw text
+    lands in the extra ``_corrupt_record`` field (NULL text gives a NULL
+    struct).  Use :func:`well_formed` on the result."""
+    return F.from_json(col_of(text), f"{ddl}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def well_formed(parsed: Column | str) -> Column:
+    """True when a :func:`json_struct` result came from a parsable JSON object."""
+    p = col_of(parsed)
+    return p.isNotNull() & p.getField(CORRUPT).isNull()
 
 
 def json_field(text: Column | str, field: str) -> Column:

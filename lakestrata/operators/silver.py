@@ -17,6 +17,7 @@ from ..functions.parsing import (
     json_struct,
     present,
     strict_date,
+    well_formed,
     strict_decimal,
 )
 from .dedupe import dedupe_by_source_event, keep_latest
@@ -48,7 +49,7 @@ def parse_orders(bronze: DataFrame) -> DataFrame:
     )
     reason = _first_failure(
         [
-            (F.col("_p").isNotNull(), "malformed_json"),
+            (well_formed("_p"), "malformed_json"),
             (F.col("_p.order_id").isNotNull(), "missing_order_id"),
             (F.col("_p.customer_id").isNotNull(), "missing_customer_id"),
             (F.col("_date").isNotNull(), "bad_order_date"),
@@ -79,7 +80,7 @@ def parse_customers(bronze: DataFrame) -> DataFrame:
     )
     reason = _first_failure(
         [
-            (F.col("_p").isNotNull(), "malformed_json"),
+            (well_formed("_p"), "malformed_json"),
             (F.col("_p.customer_id").isNotNull(), "missing_customer_id"),
             (F.col("_p.market").isNotNull(), "missing_market"),
         ]
