@@ -25,8 +25,17 @@ GOLD_AS_OF = "2001-08-01"
 
 
 def register(name: str):
+    """Register a query; it runs with the session time zone pinned to UTC,
+    which the pipeline's timestamp semantics assume."""
+
     def wrap(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
 
     return wrap
