@@ -201,15 +201,7 @@ def q_bronze_replay_report(spark, sf_dir):
 
 @register("replayed_events")
 def q_replayed_events(spark, sf_dir):
-    r = history.replayed_events(A.events_as_bronze(spark, sf_dir))
-    return report(
-        r.select(
-            "source_event_id",
-            "deliveries",
-            F.array_join(F.col("commit_versions").cast("array<string>"), ",").alias("commit_versions"),
-            F.array_join(F.col("source_pages").cast("array<string>"), ",").alias("source_pages"),
-        )
-    )
+    return report(history.replayed_events(A.events_as_bronze(spark, sf_dir)))
 
 
 @register("ingest_summary")

@@ -207,8 +207,8 @@ FROM bronze GROUP BY source_page"""
 SQL["replayed_events"] = f"""
 WITH {BRONZE_EV}
 SELECT source_event_id, COUNT(*) AS deliveries,
-       array_to_string(list_sort(list(DISTINCT commit_version)), ',') AS commit_versions,
-       array_to_string(list_sort(list(DISTINCT source_page)), ',') AS source_pages
+       COUNT(DISTINCT commit_version) AS commits, MIN(commit_version) AS first_commit, MAX(commit_version) AS last_commit,
+       COUNT(DISTINCT source_page) AS pages, MIN(source_page) AS first_page, MAX(source_page) AS last_page
 FROM bronze GROUP BY source_event_id HAVING COUNT(*) > 1"""
 
 SQL["ingest_summary"] = f"""

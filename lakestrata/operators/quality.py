@@ -38,38 +38,52 @@ def contract_columns(spark: SparkSession, contracts: Iterable[TableContract]) ->
     return spark.createDataFrame(rows, COLUMN_META)
 
 
-def null_counts(df: DataFrame, table_name: str) -> DataFrame:
-    """Q4: (table_name, column_name, null_count, rows) in a single scan of ``df``."""
-    names = df.columns
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def column_profile(df: DataFrame, table_name: str) -> DataFrame:
+    """(table_name, column_name, data_type, null_count, rows) in a single scan.
+
+    One global aggregate (partial counts per task, one row shuffled per
+    task), then ``stack`` turns its one row into one row per column."""
+    fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("_rows")] + [
-        F.count_if(F.col(f"`{n}`").isNull()).alias(f"_n{i}") for i, n in enumerate(names)
+        F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}") for i, f in enumerate(fields)
     ]
-    pairs = ", ".join(f"'{n.replace(chr(39), chr(39) * 2)}', _n{i}" for i, n in enumerate(names))
+    triples = ", ".join(
+        f"{_sql_str(f.name)}, {_sql_str(f.dataType.simpleString())}, _n{i}" for i, f in enumerate(fields)
+    )
     return df.agg(*aggs).select(
         F.lit(table_name).alias("table_name"),
-        F.expr(f"stack({len(names)}, {pairs}) AS (column_name, null_count)"),
+        F.expr(f"stack({len(fields)}, {triples}) AS (column_name, data_type, null_count)"),
         F.col("_rows").alias("rows"),
     )
 
 
+def null_counts(df: DataFrame, table_name: str) -> DataFrame:
+    """Q4: (table_name, column_name, null_count, rows) in a single scan of ``df``."""
+    return column_profile(df, table_name).drop("data_type")
+
+
 def observed_columns(
     spark: SparkSession, tables: Mapping[str, DataFrame], nullability: str = "data"
 ) -> DataFrame:
     """Observed (table, column, type, nullable) for each named DataFrame.
 
-    ``nullability="data"`` runs :func:`null_counts` (one scan per table);
-    ``"schema"`` trusts the schema flag and reads no data."""
+    ``nullability="data"`` profiles each table in one scan (a column is
+    nullable when it holds a NULL); ``"schema"`` trusts the schema flag and
+    reads no data."""
     out = None
     for name, df in tables.items():
-        meta = spark.createDataFrame(
-            [(name, f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields], COLUMN_META
-        )
         if nullability == "data":
-            counts = null_counts(df, name).select("table_name", "column_name", (F.col("null_count") > 0).alias("_has_null"))
-            meta = meta.drop("nullable").join(counts, ["table_name", "column_name"]).withColumnRenamed(
-                "_has_null", "nullable"
+            meta = column_profile(df, name).select(
+                "table_name", "column_name", "data_type", (F.col("null_count") > 0).alias("nullable")
+            )
+        else:
+            meta = spark.createDataFrame(
+                [(name, f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields], COLUMN_META
             )
-        meta = meta.select(*COLUMN_META.names)
         out = meta if out is None else out.unionByName(meta)
     if out is None:
         return spark.createDataFrame([], COLUMN_META)
