@@ -76,8 +76,13 @@ class VersionedTable:
         checks: dict[str, Column] | None = None,
         inputs: dict | None = None,
         mode: str = "error",
+        gate=None,
     ) -> int:
-        """Write a new version, check during the write, publish if clean."""
+        """Write a new version, check during the write, publish if clean.
+
+        ``gate`` is an optional callable run after the write and before the
+        publish; it returns ``{name: count}`` of failures gathered elsewhere
+        (e.g. an Observation on an upstream DataFrame)."""
         checks = checks or {}
         obs = Observation(f"checks_{datetime.now(timezone.utc).strftime('%H%M%S%f')}")
         metrics = [F.count(F.lit(1)).alias("_rows")] + [
@@ -87,6 +92,8 @@ class VersionedTable:
         df.observe(obs, *metrics).write.mode(mode).parquet(f"{self.root}/v={version}")
         got = obs.get
         failed = {k: int(got[k]) for k in checks if int(got[k]) > 0}
+        if gate is not None:
+            failed.update({k: int(v) for k, v in gate().items() if int(v) > 0})
         if failed:
             raise ConstraintViolation(f"{self.root} v={version} not published; violations: {failed}")
         row = (version, datetime.now(timezone.utc), int(got["_rows"]), json.dumps(inputs or {}, sort_keys=True))
