@@ -66,6 +66,24 @@ def envelope(landing: DataFrame, run_id: str, ingested_at: datetime | str) -> Da
     )
 
 
+def envelope_with_flags(landing: DataFrame, run_id: str, ingested_at: datetime | str) -> DataFrame:
+    """P3 plus the P1 flags of each record, from ONE parse of the record text:
+    ``_missing_id``, ``_missing_ts`` and ``_bad_ts`` (present but unparsable)."""
+    r = _envelope_fields(landing)
+    ts = iso_timestamp("_r.updated_at")
+    return r.select(
+        F.col("_r.event_id").alias("source_event_id"),
+        ts.alias("source_updated_at"),
+        F.lit(ingested_at).cast("timestamp").alias("ingested_at"),
+        F.lit(run_id).alias("ingestion_run_id"),
+        F.col("source_page").cast("int").alias("source_page"),
+        F.col("value").alias("payload"),
+        (~present("_r.event_id")).alias("_missing_id"),
+        (~present("_r.updated_at")).alias("_missing_ts"),
+        (present("_r.updated_at") & ts.isNull()).alias("_bad_ts"),
+    )
+
+
 def pending_pages(pages: DataFrame, progress: DataFrame, run_id: str) -> DataFrame:
     """Pages of ``pages`` not complete for ``run_id`` (another run re-appends all)."""
     done = progress.where((F.col("run_id") == run_id) & F.col("complete")).select("source_page")

@@ -3,13 +3,15 @@
 Layout::
 
     <root>/batch=<b>/commit_version=<v>/part-*.parquet   one dir per write job
-    <root>/batch=<b>/_SUCCESS                            written on job commit
+    <root>/batch=<b>/_COMMITTED                          written by the driver last
     <root>/_progress/                                    (run_id, page) progress rows
 
 A write job appends any number of pages; each page becomes its own commit
 version, so the commit identity travels with the rows and history is an
-aggregation over the data.  Readers only see batches whose ``_SUCCESS``
-exists; a half-written batch is ignored.  The next batch and version
+aggregation over the data.  Readers only see batches whose ``_COMMITTED``
+marker exists: a batch whose job died, or whose checks failed, is ignored.
+Between the write and the marker the ingest may drop version directories
+(pages at or after the first invalid page).  The next batch and version
 numbers are max + 1 over what is on storage, chosen when the write starts.
 One writer per table is assumed: this is not a transaction log.
 """
@@ -25,6 +27,8 @@ from pyspark.sql import types as T
 from ..contracts import BRONZE_ORDERS_RAW
 from . import fs
 
+COMMIT_MARKER = "_COMMITTED"
+
 PROGRESS_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),
@@ -54,7 +58,10 @@ class BronzeTable:
         return sorted(b for b in (_num(n, "batch") for n in fs.list_dirs(self.spark, self.root)) if b is not None)
 
     def committed_batches(self) -> list[int]:
-        return [b for b in self._batches() if fs.exists(self.spark, f"{self.root}/batch={b}/_SUCCESS")]
+        return [b for b in self._batches() if fs.exists(self.spark, f"{self.batch_path(b)}/{COMMIT_MARKER}")]
+
+    def batch_path(self, batch: int) -> str:
+        return f"{self.root}/batch={batch}"
 
     def committed_versions(self) -> list[int]:
         out: list[int] = []
@@ -85,17 +92,34 @@ class BronzeTable:
         return self.read().where(F.col("commit_version") > F.lit(version))
 
     # ------------------------------------------------------------ write
-    def append(self, rows: DataFrame) -> int:
-        """S3: append rows that already carry ``commit_version``; returns the batch number.
+    def write_batch(self, rows: DataFrame) -> int:
+        """S3, first half: write rows that already carry ``commit_version`` into
+        a new, not yet visible batch directory; returns the batch number.
 
         No shuffle: landed files already hold whole pages, so each task
         writes one file per page it read."""
         batch = self.next_batch()
-        (
-            rows.write.mode("error")
-            .partitionBy("commit_version")
-            .parquet(f"{self.root}/batch={batch}")
-        )
+        rows.write.mode("error").partitionBy("commit_version").parquet(self.batch_path(batch))
+        return batch
+
+    def drop_versions(self, batch: int, versions: list[int]) -> None:
+        """Remove version directories of an uncommitted batch."""
+        for v in versions:
+            fs.delete(self.spark, f"{self.batch_path(batch)}/commit_version={v}")
+
+    def commit_batch(self, batch: int) -> None:
+        """S3, second half: make the batch visible."""
+        fs.touch(self.spark, f"{self.batch_path(batch)}/{COMMIT_MARKER}")
+
+    def rows_per_version(self, batch: int) -> dict[int, int]:
+        """Row count per commit version of one batch (Parquet footers; no column is read)."""
+        df = self.spark.read.parquet(self.batch_path(batch))
+        return {int(r.commit_version): int(r["count"]) for r in df.groupBy("commit_version").count().collect()}
+
+    def append(self, rows: DataFrame) -> int:
+        """S3: write and commit in one step; returns the batch number."""
+        batch = self.write_batch(rows)
+        self.commit_batch(batch)
         return batch
 
     # --------------------------------------------------------- progress

@@ -28,3 +28,9 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)

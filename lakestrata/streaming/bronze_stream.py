@@ -59,18 +59,26 @@ def start_bronze_stream(
     checkpoint = checkpoint or scratch_dir(spark, "bronze-stream-ckpt")
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        pages = batch
-        if idempotent:
-            written = table.read().where(F.col("ingestion_run_id") == run_id).select("source_page").distinct()
-            pages = batch.join(written, "source_page", "left_anti")
-        ingest(
-            batch.sparkSession,
-            pages,
-            table,
-            run_id,
-            after_commit=after_commit,
-            max_pages_per_batch=max_pages_per_batch,
-        )
+        # The micro-batch is bounded by maxFilesPerTrigger; persisting it lets
+        # the page list and the write share one read of the landed files.
+        batch = batch.persist()
+        try:
+            page_list = [r.source_page for r in batch.select("source_page").distinct().collect()]
+            if idempotent:
+                written = table.read().where(F.col("ingestion_run_id") == run_id).select("source_page").distinct()
+                already = {r.source_page for r in written.collect()}
+                page_list = [p for p in page_list if p not in already]
+            ingest(
+                batch.sparkSession,
+                batch,
+                table,
+                run_id,
+                after_commit=after_commit,
+                max_pages_per_batch=max_pages_per_batch,
+                pages=page_list,
+            )
+        finally:
+            batch.unpersist()
 
     writer = landing_stream(spark, landing, max_files_per_trigger).writeStream.foreachBatch(each_batch).option(
         "checkpointLocation", checkpoint
