@@ -3,6 +3,7 @@
 Layout::
 
     <root>/batch=<b>/commit_version=<v>/part-*.parquet   one dir per write job
+    <root>/batch=<b>/_pages/                             (version, page, run, rows) of the batch
     <root>/batch=<b>/_COMMITTED                          written by the driver last
     <root>/_progress/                                    (run_id, page) progress rows
 
@@ -39,6 +40,16 @@ PROGRESS_SCHEMA = T.StructType(
 )
 
 
+PAGE_LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("commit_version", T.LongType(), False),
+        T.StructField("source_page", T.IntegerType(), False),
+        T.StructField("ingestion_run_id", T.StringType(), False),
+        T.StructField("rows", T.LongType(), False),
+    ]
+)
+
+
 def _num(name: str, key: str) -> int | None:
     if name.startswith(key + "="):
         try:
@@ -107,6 +118,25 @@ class BronzeTable:
         for v in versions:
             fs.delete(self.spark, f"{self.batch_path(batch)}/commit_version={v}")
 
+    def write_page_log(self, batch: int, rows: list[tuple[int, int, str, int]]) -> None:
+        """Record (commit_version, source_page, ingestion_run_id, rows) of a batch
+        before it is committed: a tiny commit log read instead of the data."""
+        self.spark.createDataFrame(rows, PAGE_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.batch_path(batch)}/_pages"
+        )
+
+    def commit_log(self) -> DataFrame:
+        """S8 without scanning data: one row per commit of committed batches
+        written by the ingest (batches written by plain ``append`` have none)."""
+        paths = [
+            f"{self.batch_path(b)}/_pages"
+            for b in self.committed_batches()
+            if fs.exists(self.spark, f"{self.batch_path(b)}/_pages")
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], PAGE_LOG_SCHEMA)
+        return self.spark.read.schema(PAGE_LOG_SCHEMA).parquet(*paths)
+
     def commit_batch(self, batch: int) -> None:
         """S3, second half: make the batch visible."""
         fs.touch(self.spark, f"{self.batch_path(batch)}/{COMMIT_MARKER}")

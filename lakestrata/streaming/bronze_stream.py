@@ -12,9 +12,9 @@ re-delivered and the pages without progress are appended again.  Commit
 versions are max + 1 over the table, never the micro-batch id (a retried
 micro-batch keeps its id, and two commits of one page must stay two).
 
-``idempotent=True`` skips pages already written for this run by looking at
-the table itself instead of the progress rows, so a retry does not
-duplicate (I4).
+``idempotent=True`` skips pages already committed for this run according
+to the table's own commit log (written before the batch becomes visible)
+instead of the progress rows, so a retry does not duplicate (I4).
 """
 
 from __future__ import annotations
@@ -65,8 +65,8 @@ def start_bronze_stream(
         try:
             page_list = [r.source_page for r in batch.select("source_page").distinct().collect()]
             if idempotent:
-                written = table.read().where(F.col("ingestion_run_id") == run_id).select("source_page").distinct()
-                already = {r.source_page for r in written.collect()}
+                log = table.commit_log().where(F.col("ingestion_run_id") == run_id)
+                already = {r.source_page for r in log.select("source_page").distinct().collect()}
                 page_list = [p for p in page_list if p not in already]
             ingest(
                 batch.sparkSession,

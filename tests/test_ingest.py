@@ -137,3 +137,17 @@ def test_incomplete_batch_is_invisible(spark, workdir, run_id):
     assert table.version() == 0
     assert table.read().count() == 4
     assert table.next_batch() == 2
+
+
+def test_ingest_folder_lists_pages_without_scanning(spark, workdir, run_id):
+    from lakestrata.plans.ingest import ingest_folder
+
+    landing = f"{workdir}/landing"
+    write_pages(source_records(spark, pages=4, page_size=3, start_page=5), landing)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    res = ingest_folder(spark, landing, table, run_id, max_pages_per_batch=3)
+    assert res.pages_appended == [5, 6, 7, 8] and res.rows_appended == 12 and len(res.batches) == 2
+    log = {(r.commit_version, r.source_page, r.rows) for r in table.commit_log().collect()}
+    assert log == {(0, 5, 3), (1, 6, 3), (2, 7, 3), (3, 8, 3)}
+    hist = {(r.commit_version, r.source_page, r.rows) for r in commit_history(table.read()).collect()}
+    assert hist == log
