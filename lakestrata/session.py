@@ -30,14 +30,20 @@ DEFAULT_CONF = {
 def get_spark(
     master: str | None = None,
     app_name: str = "lakestrata",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
+    """Session with the pipeline's defaults.
+
+    ``shuffle_partitions`` is only set when given (tests: the core count);
+    on a cluster keep the cluster's value, sized so a shuffle partition is
+    ~100-200 MB at the target scale, and let AQE coalesce small ones."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -74,16 +74,24 @@ class BronzeTable:
     def batch_path(self, batch: int) -> str:
         return f"{self.root}/batch={batch}"
 
+    def versions_in(self, batch: int) -> list[int]:
+        names = fs.list_dirs(self.spark, self.batch_path(batch))
+        return sorted(v for v in (_num(n, "commit_version") for n in names) if v is not None)
+
     def committed_versions(self) -> list[int]:
-        out: list[int] = []
-        for b in self.committed_batches():
-            out += [v for v in (_num(n, "commit_version") for n in fs.list_dirs(self.spark, f"{self.root}/batch={b}")) if v is not None]
-        return sorted(out)
+        """Every committed version (lists each committed batch; for audits)."""
+        return sorted(v for b in self.committed_batches() for v in self.versions_in(b))
 
     def version(self) -> int | None:
-        """Latest committed version, None when the table does not exist."""
-        vs = self.committed_versions()
-        return vs[-1] if vs else None
+        """Latest committed version, None when the table does not exist.
+
+        Versions grow with batches, so only the newest committed batch is
+        listed: the cost does not grow with the number of pages ever written."""
+        for b in reversed(self.committed_batches()):
+            vs = self.versions_in(b)
+            if vs:
+                return vs[-1]
+        return None
 
     def next_batch(self) -> int:
         bs = self._batches()

@@ -32,7 +32,7 @@ from ..sources.bronze import BronzeTable
 PAGE_FROM_PATH = r"source_page=(\d+)"
 
 
-def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1) -> DataFrame:
+def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming (source_page, value) over ``<landing>/source_page=<p>/*`` files."""
     raw = (
         spark.readStream.format("text")
@@ -51,7 +51,7 @@ def start_bronze_stream(
     run_id: str,
     checkpoint: str | None = None,
     after_commit: Callable[[int, int], None] | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int = 1000,
     max_pages_per_batch: int = 10_000,
     idempotent: bool = False,
     available_now: bool = True,

@@ -17,6 +17,7 @@ def spark():
     s = get_spark(
         "local[*]",
         app_name="lakestrata-tests",
+        shuffle_partitions=8,
         extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lakestrata-test-ckpt-")},
     )
     yield s

@@ -99,7 +99,7 @@ if __name__ == "__main__":
     from lakestrata.session import get_spark
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_spark("local[8]")
+    spark = get_spark("local[8]", shuffle_partitions=8)
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in res.items() if v is False]
     print("FAILED:", bad if bad else "none")

@@ -23,12 +23,12 @@ def test_stream_ghost_retry_then_restart(spark, workdir, run_id):
         if page == 42:
             raise CheckpointWriteInterrupted("crash after commit, before progress")
 
-    q = start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, after_commit=crash)
+    q = start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, after_commit=crash, max_files_per_trigger=1)
     with pytest.raises(Exception):
         run_to_completion(q)
     assert table.version() == 1
 
-    run_to_completion(start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt))
+    run_to_completion(start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, max_files_per_trigger=1))
     rows = table.read()
     assert rows.count() == 20
     assert rows.select("source_event_id").distinct().count() == 15
@@ -47,7 +47,11 @@ def test_stream_idempotent_mode_does_not_duplicate(spark, workdir, run_id):
 
     with pytest.raises(Exception):
         run_to_completion(
-            start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, after_commit=crash, idempotent=True)
+            start_bronze_stream(
+                spark, landing, table, run_id, checkpoint=ckpt, after_commit=crash, idempotent=True, max_files_per_trigger=1
+            )
         )
-    run_to_completion(start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, idempotent=True))
+    run_to_completion(
+        start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, idempotent=True, max_files_per_trigger=1)
+    )
     assert table.read().count() == 15
