@@ -89,8 +89,14 @@ class BronzeTable:
         listed: the cost does not grow with the number of pages ever written."""
         for b in reversed(self.committed_batches()):
             vs = self.versions_in(b)
+            log = f"{self.batch_path(b)}/_pages"
+            if fs.exists(self.spark, log):
+                # an empty page has a version in the log but no directory
+                top = self.spark.read.schema(PAGE_LOG_SCHEMA).parquet(log).agg(F.max("commit_version")).first()[0]
+                if top is not None:
+                    vs = vs + [int(top)]
             if vs:
-                return vs[-1]
+                return max(vs)
         return None
 
     def next_batch(self) -> int:

@@ -64,10 +64,6 @@ def start_bronze_stream(
         batch = batch.persist()
         try:
             page_list = [r.source_page for r in batch.select("source_page").distinct().collect()]
-            if idempotent:
-                log = table.commit_log().where(F.col("ingestion_run_id") == run_id)
-                already = {r.source_page for r in log.select("source_page").distinct().collect()}
-                page_list = [p for p in page_list if p not in already]
             ingest(
                 batch.sparkSession,
                 batch,
@@ -76,6 +72,7 @@ def start_bronze_stream(
                 after_commit=after_commit,
                 max_pages_per_batch=max_pages_per_batch,
                 pages=page_list,
+                idempotent=idempotent,
             )
         finally:
             batch.unpersist()

@@ -72,3 +72,10 @@ def test_dedupe_prefers_newest_update_then_ingest(spark):
     kept = {r.source_event_id: r.payload for r in dedupe_by_source_event(_bronze(spark, rows)).collect()}
     assert kept == {"e1": "new-update", "e2": "replay", "e3": "has-ts"}
     assert dedupe_by_source_event(_bronze(spark, [])).count() == 0
+
+
+def test_sorted_key_json_keeps_nulls(spark):
+    from lakestrata.functions.parsing import sorted_key_json
+
+    df = spark.createDataFrame([("x", None, "1")], "updated_at string, event_id string, amount string")
+    assert df.select(sorted_key_json(*df.columns).alias("j")).first().j == '{"amount":"1","event_id":null,"updated_at":"x"}'

@@ -151,3 +151,61 @@ def test_ingest_folder_lists_pages_without_scanning(spark, workdir, run_id):
     assert log == {(0, 5, 3), (1, 6, 3), (2, 7, 3), (3, 8, 3)}
     hist = {(r.commit_version, r.source_page, r.rows) for r in commit_history(table.read()).collect()}
     assert hist == log
+
+
+def test_idempotent_batch_retry_does_not_duplicate(spark, workdir, run_id):
+    pages = _land(spark, workdir, pages=3, page_size=5, start_page=41)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    with pytest.raises(IngestError):
+        ingest(spark, pages, table, run_id, after_commit=crash_on(42), max_pages_per_batch=1, idempotent=True)
+    res = ingest(spark, pages, table, run_id, max_pages_per_batch=1, idempotent=True)
+    assert res.pages_skipped == [41, 42] and res.pages_appended == [43]
+    assert table.read().count() == 15
+
+
+def test_empty_landed_page_keeps_versions_consistent(spark, workdir, run_id):
+    import os
+
+    landing = f"{workdir}/landing"
+    write_pages(source_records(spark, pages=2, page_size=3, start_page=1), landing)
+    os.makedirs(f"{landing}/source_page=3", exist_ok=True)
+    open(f"{landing}/source_page=3/part-empty.txt", "w").close()
+    from lakestrata.plans.ingest import ingest_folder
+
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    res = ingest_folder(spark, landing, table, run_id)
+    assert res.pages_appended == [1, 2, 3] and res.rows_appended == 6
+    assert table.version() == 2  # the empty page holds version 2 without rows
+    write_pages(source_records(spark, pages=1, page_size=3, start_page=4), landing)
+    res2 = ingest_folder(spark, landing, table, run_id)
+    assert res2.pages_appended == [4] and res2.first_version == 3
+
+
+def test_schema_merge_append_and_second_reader(spark, workdir, run_id):
+    """An append with an extra nullable column; old rows read NULL in it,
+    and a plain Parquet reader sees every row."""
+    pages = _land(spark, workdir, pages=1, page_size=20, start_page=41)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    ingest(spark, pages, table, run_id)
+    assert spark.read.parquet(f"{workdir}/bronze/batch=0").count() == 20
+    extra = table.read().limit(5).withColumn("source_region", F.lit(None).cast("string")).withColumn(
+        "commit_version", F.lit(1).cast("long")
+    )
+    table.append(extra.drop("batch"))
+    merged = table.read()
+    assert "source_region" in merged.columns and merged.count() == 25
+    assert merged.where(F.col("source_region").isNotNull()).count() == 0
+
+
+def test_legacy_append_is_a_breaking_schema(spark, workdir, run_id):
+    from lakestrata.contracts import BRONZE_ORDERS_RAW
+    from lakestrata.operators.quality import check_schema
+    from lakestrata.plans.ingest import legacy_append
+
+    landing = f"{workdir}/landing"
+    write_pages(source_records(spark, pages=2, page_size=3), landing)
+    legacy = legacy_append(spark, landing, f"{workdir}/legacy", run_id)
+    assert legacy.count() == 6
+    r = check_schema(spark, BRONZE_ORDERS_RAW, legacy, nullability="ignore").first()
+    assert r.kind == "breaking"
+    assert "source_updated_at:timestamp>string" in r.retyped and "source_page:int>bigint" in r.retyped
