@@ -4,7 +4,7 @@ V4  refresh_gold          customer_value and daily_revenue, then commercial_summ
 V5  skip                  a view whose input versions equal those recorded at
                           its last publish is not recomputed
 V6  incremental_customer_value  recompute only affected customers
-V7  order_changes         change set between two Silver snapshots
+V7  changed_rows          change set between two Silver snapshots (exceptAll both ways)
 Q5  daily_revenue is published only if ``gross_revenue >= 0`` holds
 """
 
@@ -31,7 +31,7 @@ REFRESH_ORDER = tuple(VIEW_INPUTS)
 @dataclass
 class RefreshOutcome:
     view: str
-    decision: str  # "refresh" | "skip"
+    decision: str  # "refresh" | "incremental" | "skip"
     version: int | None
 
 
@@ -39,12 +39,18 @@ def refresh_gold(
     spark: SparkSession,
     tables: dict[str, VersionedTable],
     as_of: date | str | None = None,
+    incremental: bool = False,
 ) -> list[RefreshOutcome]:
     """Refresh the three gold views in dependency order.
 
     ``tables`` maps every name in VIEW_INPUTS (sources and views) to its
-    VersionedTable.  A ConstraintViolation from daily_revenue stops the run
-    before commercial_summary, and leaves the old daily_revenue published."""
+    VersionedTable.  With ``incremental``, customer_value and daily_revenue
+    recompute only the keys touched by the change set between the source
+    versions recorded at their last publish and the current ones (V6/V7);
+    a view without a previous version, or whose calendar moved, is
+    refreshed in full.  commercial_summary (one row per market) is always
+    full.  A ConstraintViolation from daily_revenue stops the run before
+    commercial_summary and leaves the old daily_revenue published."""
     outcomes = []
     for view in REFRESH_ORDER:
         inputs = {name: tables[name].version() for name in VIEW_INPUTS[view]}
@@ -53,47 +59,95 @@ def refresh_gold(
             outcomes.append(RefreshOutcome(view, "skip", current[0]))
             continue
         src = {name: tables[name].read() for name in VIEW_INPUTS[view]}
+        old = current[1] if current is not None else None
         checks = None
+        decision = "refresh"
         if view == "gold.customer_value":
-            df = gold.customer_value(src["silver.orders"], src["silver.customers"])
+            if incremental and old is not None and None not in old.values():
+                affected = _affected_customers(tables, old)
+                df = incremental_customer_value(
+                    tables[view].read(current[0]), src["silver.orders"], src["silver.customers"], affected
+                )
+                decision = "incremental"
+            else:
+                df = gold.customer_value(src["silver.orders"], src["silver.customers"])
         elif view == "gold.daily_revenue":
-            df = gold.daily_revenue(src["silver.calendar"], src["silver.orders"])
             checks = {"non_negative_revenue": F.col("gross_revenue") >= 0}
+            if (
+                incremental
+                and old is not None
+                and old.get("silver.calendar") == inputs["silver.calendar"]
+                and old.get("silver.orders") is not None
+            ):
+                days = _affected_days(tables, old)
+                df = incremental_daily_revenue(
+                    tables[view].read(current[0]), src["silver.calendar"], src["silver.orders"], days
+                )
+                decision = "incremental"
+            else:
+                df = gold.daily_revenue(src["silver.calendar"], src["silver.orders"])
         else:
             as_of_val = None if as_of is None else str(as_of)
             df = gold.commercial_summary(src["gold.customer_value"], src["gold.daily_revenue"], as_of_val)
         version = tables[view].publish(df, checks=checks, inputs=inputs)
-        outcomes.append(RefreshOutcome(view, "refresh", version))
+        outcomes.append(RefreshOutcome(view, decision, version))
     return outcomes
 
 
-def order_changes(old: DataFrame, new: DataFrame, key: str = "order_id") -> DataFrame:
-    """V7: rows inserted, deleted or changed between two snapshots (null-safe compare).
+def _orders_change_set(tables: dict[str, VersionedTable], old: dict) -> DataFrame:
+    t = tables["silver.orders"]
+    return order_changes(t.read(old["silver.orders"]), t.read())
 
-    Output: key, change ('insert' | 'delete' | 'update'), old and new customer_id."""
-    cols = [c for c in new.columns if c != key]
-    o = old.select(key, F.struct(*cols).alias("_o"))
-    n = new.select(key, F.struct(*cols).alias("_n"))
-    j = o.join(n, key, "full_outer")
-    change = (
-        F.when(F.col("_o").isNull(), F.lit("insert"))
-        .when(F.col("_n").isNull(), F.lit("delete"))
-        .when(~F.col("_o").eqNullSafe(F.col("_n")), F.lit("update"))
+
+def _affected_customers(tables: dict[str, VersionedTable], old: dict) -> DataFrame:
+    changed_orders = _orders_change_set(tables, old)
+    c = tables["silver.customers"]
+    before, after = c.read(old["silver.customers"]), c.read()
+    changed_customers = changed_rows(before, after).select("customer_id")
+    return affected_customers(changed_orders, changed_customers)
+
+
+def _affected_days(tables: dict[str, VersionedTable], old: dict) -> DataFrame:
+    """Order dates touched by a changed order row, old and new date alike."""
+    changes = _orders_change_set(tables, old)
+    return changes.select(F.col("order_date").alias("calendar_date")).where(F.col("calendar_date").isNotNull()).distinct()
+
+
+def incremental_daily_revenue(
+    old_view: DataFrame, calendar: DataFrame, new_orders: DataFrame, affected_days: DataFrame
+) -> DataFrame:
+    """V6 for daily_revenue: old rows of untouched days + recomputed touched days
+    (valid while the calendar itself is unchanged)."""
+    keep = old_view.join(affected_days, "calendar_date", "left_anti")
+    redo = gold.daily_revenue(
+        calendar.join(affected_days, "calendar_date", "left_semi"),
+        new_orders.join(affected_days.withColumnRenamed("calendar_date", "order_date"), "order_date", "left_semi"),
+    )
+    return keep.unionByName(redo)
+
+
+def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
+    """V7: rows present in one snapshot and not (as often) in the other, with
+    ``side`` = 'old' | 'new'.  An update shows up once on each side.
+
+    ``exceptAll`` is an aggregation over whole rows (partial counts
+    map-side), so duplicated keys never pair up as they would in a join on
+    the key, and identical hot rows collapse before the shuffle."""
+    return old.exceptAll(new).withColumn("side", F.lit("old")).unionByName(
+        new.exceptAll(old).withColumn("side", F.lit("new"))
     )
-    return j.select(
-        key,
-        change.alias("change"),
-        F.col("_o.customer_id").alias("old_customer_id"),
-        F.col("_n.customer_id").alias("new_customer_id"),
-    ).where(F.col("change").isNotNull())
+
+
+def order_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Changed order rows with their customer: (order_id, side, customer_id, order_date)."""
+    return changed_rows(old, new).select("order_id", "side", "customer_id", "order_date")
 
 
 def affected_customers(order_change_set: DataFrame, customer_change_set: DataFrame | None = None) -> DataFrame:
-    """Customers whose gold.customer_value rows may change: the old AND the new
-    customer of every changed order, plus changed customers."""
-    keys = order_change_set.select(F.col("old_customer_id").alias("customer_id")).unionByName(
-        order_change_set.select(F.col("new_customer_id").alias("customer_id"))
-    )
+    """Customers whose gold.customer_value rows may change: the customer of every
+    changed order row on either side (old and new customer of a moved order),
+    plus changed customers."""
+    keys = order_change_set.select("customer_id")
     if customer_change_set is not None:
         keys = keys.unionByName(customer_change_set.select("customer_id"))
     return keys.where(F.col("customer_id").isNotNull()).distinct()
