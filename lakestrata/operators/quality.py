@@ -105,10 +105,11 @@ def classify(expected: DataFrame, observed: DataFrame) -> DataFrame:
     )
     o = observed.select(
         "table_name", "column_name", F.col("data_type").alias("o_type"), F.col("nullable").alias("o_null")
-    ).join(expected.select("table_name").distinct(), "table_name", "left_semi")
+    )
     j = e.join(o, ["table_name", "column_name"], "full_outer")
     flagged = j.select(
         "table_name",
+        F.col("e_type").isNotNull().alias("_expected"),
         F.when(F.col("e_type").isNull(), F.col("column_name")).alias("_added"),
         F.when(F.col("o_type").isNull(), F.col("column_name")).alias("_removed"),
         F.when(
@@ -119,7 +120,10 @@ def classify(expected: DataFrame, observed: DataFrame) -> DataFrame:
             F.col("o_type").isNotNull() & ~F.col("e_null") & F.col("o_null"), F.col("column_name")
         ).alias("_loosened"),
     )
+    # only tables that have a contract are classified (a per-table flag
+    # instead of a semi join, whose key would be a folded literal per table)
     per_table = flagged.groupBy("table_name").agg(
+        F.max(F.col("_expected").cast("int")).alias("_has_contract"),
         _joined(F.collect_list("_added")).alias("added"),
         _joined(F.collect_list("_removed")).alias("removed"),
         _joined(F.collect_list("_retyped")).alias("retyped"),
@@ -127,7 +131,9 @@ def classify(expected: DataFrame, observed: DataFrame) -> DataFrame:
     )
     breaking = (F.col("removed") != "") | (F.col("retyped") != "") | (F.col("loosened") != "")
     kind = F.when(breaking, F.lit("breaking")).when(F.col("added") != "", F.lit("additive")).otherwise(F.lit("none"))
-    return per_table.select("table_name", kind.alias("kind"), "added", "removed", "retyped", "loosened")
+    return per_table.where(F.col("_has_contract") == 1).select(
+        "table_name", kind.alias("kind"), "added", "removed", "retyped", "loosened"
+    )
 
 
 def raise_if_breaking(classification: DataFrame) -> None:

@@ -15,10 +15,9 @@ from ..functions.parsing import (
     CUSTOMER_FIELDS,
     ORDER_FIELDS,
     json_struct,
-    present,
     strict_date,
-    well_formed,
     strict_decimal,
+    well_formed,
 )
 from .dedupe import dedupe_by_source_event, keep_latest
 
