@@ -177,6 +177,21 @@ class BronzeTable:
             return self.spark.createDataFrame([], PROGRESS_SCHEMA)
         return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.progress_path)
 
+    def is_complete(self, run_id: str, page: int) -> bool:
+        """S10 lookup: has ``page`` a complete progress row for ``run_id``."""
+        hit = self.progress().where((F.col("run_id") == run_id) & (F.col("source_page") == page) & F.col("complete"))
+        return bool(hit.limit(1).count())
+
+    def version_for(self, run_id: str, page: int) -> int | None:
+        """S10 lookup: the commit version recorded with the page's progress row."""
+        r = (
+            self.progress()
+            .where((F.col("run_id") == run_id) & (F.col("source_page") == page))
+            .agg(F.max("commit_version"))
+            .first()
+        )
+        return None if r[0] is None else int(r[0])
+
     def mark_complete(self, rows: DataFrame) -> None:
         rows.select(*[F.col(f.name).cast(f.dataType) for f in PROGRESS_SCHEMA.fields]).coalesce(1).write.mode(
             "append"

@@ -45,3 +45,28 @@ def test_manifest_written_on_every_outcome_and_gate(spark, workdir, run_id):
 
     g = RUNS.gate(spark.read.parquet(mpath)).orderBy("finished_at").collect()
     assert [(r.action, r.gated) for r in g] == [("resubmit", False), ("proceed", True), ("proceed", False)]
+
+
+def test_exit_codes(spark):
+    statuses = ["ok", "validation_error: x", "schema_contract_violation: x", "checkpoint_write_interrupted: x", "error: x"]
+    df = spark.createDataFrame([(s,) for s in statuses], "status string")
+    assert [r.c for r in df.select(RUNS.exit_code("status").alias("c")).collect()] == [0, 2, 3, 4, 1]
+
+
+def test_chained_run_reports_silver_contract_violation(spark, workdir, run_id):
+    """Ingest succeeds, the Silver step fails its input contract; the
+    manifest still lists the appended pages and carries the status."""
+    from lakestrata.plans.silver import prepare_orders
+
+    landing = f"{workdir}/landing"
+    write_pages(source_records(spark, pages=2, page_size=3), landing)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+
+    def silver_step(t):
+        prepare_orders(spark, t.read().drop("payload"))
+
+    m = RUNS.run_ingest(spark, read_pages(spark, landing), table, run_id, f"{workdir}/m", prepare_silver=silver_step)
+    assert m["status"].startswith("schema_contract_violation:") and "payload" in m["status"]
+    assert m["pages_appended"] == [1, 2] and m["version_after"] == 1
+    assert table.is_complete(run_id, 1) and table.version_for(run_id, 2) == 1
+    assert not table.is_complete("RUN-OTHER", 1)
