@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def _check_input(spark: SparkSession, contract: TableContract, bronze: DataFrame
 
 def _prepare(spark, bronze, silver, input_contract, output_contract, parse) -> DataFrame:
     _check_input(spark, input_contract, bronze)
-    obs = Observation("silver_rejects")
+    obs = Observation(f"silver_rejects_{uuid.uuid4().hex}")
     parsed = parse(dedupe_by_source_event(bronze)).observe(obs, F.count_if(F.col(REJECT).isNotNull()).alias("rejects"))
     good = parsed.where(F.col(REJECT).isNull()).select(*output_contract.names)
     if silver is not None:

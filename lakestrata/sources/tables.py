@@ -15,6 +15,7 @@ leaves the previous version as the published one.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -84,7 +85,7 @@ class VersionedTable:
         publish; it returns ``{name: count}`` of failures gathered elsewhere
         (e.g. an Observation on an upstream DataFrame)."""
         checks = checks or {}
-        obs = Observation(f"checks_{datetime.now(timezone.utc).strftime('%H%M%S%f')}")
+        obs = Observation(f"checks_{uuid.uuid4().hex}")
         metrics = [F.count(F.lit(1)).alias("_rows")] + [
             F.count_if(~F.coalesce(cond, F.lit(True))).alias(name) for name, cond in checks.items()
         ]
