@@ -15,7 +15,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .contracts import FEED_CONTRACTS
+from .functions.parsing import json_field
 from .operators import gold
+from .operators import history
+from .operators import quality as Q
+from .operators import silver
+from .operators import validation as V
+from .operators.dedupe import dedupe_by_source_event
+from .plans import refresh as R
+from .plans import runs as RUNS
 from .sources import adapters as A
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -86,10 +95,6 @@ def q_gold_commercial_summary(spark, sf_dir):
 
 # ------------------------------------------------------------------- silver
 
-from .functions.parsing import json_field  # noqa: E402
-from .operators import silver  # noqa: E402
-from .operators.dedupe import dedupe_by_source_event  # noqa: E402
-
 
 @register("silver_dedupe_events")
 def q_silver_dedupe_events(spark, sf_dir):
@@ -138,8 +143,6 @@ def q_customer_value_grain_enforced(spark, sf_dir):
 
 # ------------------------------------------------------------------- ingest
 
-from .operators import history  # noqa: E402
-from .operators import validation as V  # noqa: E402
 
 LANDING_INGEST_TIME = "2024-02-01 00:00:00"
 PROGRESS_CUTOFF = "2024-01-16 00:00:00"
@@ -211,9 +214,6 @@ def q_ingest_summary(spark, sf_dir):
 
 # ------------------------------------------------------------------ quality
 
-from .contracts import FEED_CONTRACTS  # noqa: E402
-from .operators import quality as Q  # noqa: E402
-
 
 @register("contract_classification")
 def q_contract_classification(spark, sf_dir):
@@ -266,7 +266,6 @@ def q_constraint_violations(spark, sf_dir):
 
 # ------------------------------------------------------------------ refresh
 
-from .plans import refresh as R  # noqa: E402
 
 INCREMENTAL_CUTOFF = "2001-01-01"
 LATE_COMPLETION_FROM = "2000-07-01"
@@ -378,8 +377,6 @@ def q_streaming_bronze_counts(spark, sf_dir):
 
 # -------------------------------------------------------------------- runs
 
-from .plans import runs as RUNS  # noqa: E402
-
 
 def manifests_from_events(spark, sf_dir):
     """One ingest run per day of ``events``.  Status follows the day's first
