@@ -45,3 +45,40 @@ def test_rejects_block_publish(spark, workdir):
     with pytest.raises(ConstraintViolation, match="rejects"):
         prepare_orders(spark, bad, silver)
     assert silver.version() is None
+
+
+def test_incremental_silver_equals_full_rebuild(spark, workdir):
+    from lakestrata.operators.silver import silver_orders
+    from lakestrata.plans.silver import prepare_incremental
+
+    landing = f"{workdir}/landing"
+    write_pages(source_records(spark, pages=3, page_size=5, start_page=1), landing)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    ingest(spark, read_pages(spark, landing), table, "RUN-0187")
+    silver = VersionedTable(spark, f"{workdir}/silver")
+    assert prepare_incremental(spark, table, silver).count() == 15
+
+    # a later run re-delivers page 2 with newer timestamps and new amounts,
+    # replays page 3 unchanged, and delivers a new page 4
+    upd = f"{workdir}/landing2"
+    recs = source_records(spark, pages=3, page_size=5, start_page=2).withColumn(
+        "value",
+        F.when(
+            F.col("source_page") == 2,
+            F.regexp_replace(
+                F.regexp_replace("value", '"updated_at":"2026-09-01T', '"updated_at":"2026-09-03T'),
+                '"net_amount":"[^"]*"',
+                '"net_amount":"1.00"',
+            ),
+        ).otherwise(F.col("value")),
+    )
+    write_pages(recs, upd)
+    ingest(spark, read_pages(spark, upd), table, "RUN-0188")
+    inc = prepare_incremental(spark, table, silver)
+    full = silver_orders(table.read())
+    assert inc.count() == full.count() == 20
+    assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+    assert inc.where(F.col("net_amount") == 1).count() == 5
+    before = silver.version()
+    prepare_incremental(spark, table, silver)  # nothing new: no new version
+    assert silver.version() == before
