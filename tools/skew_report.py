@@ -58,6 +58,16 @@ def main() -> None:
         "order_status",
         "net_amount",
     )
+    hot_day = orders.join(raw, "order_id").select(
+        "order_id",
+        "customer_id",
+        F.when(F.col("o_orderstatus") == "F", F.lit("1998-08-02").cast("date")).otherwise(F.col("order_date")).alias(
+            "order_date"
+        ),
+        "order_status",
+        "net_amount",
+    )
+    calendar = gold.calendar_from(orders, "order_date")
     customers = A.customers_as_silver(spark, sf).unionByName(
         spark.range(1).select(F.lit("HOT").alias("customer_id"), F.lit("HOUSEHOLD").alias("market"))
     )
@@ -79,6 +89,7 @@ def main() -> None:
     jobs = [
         ("gold.customer_value, hot customer", lambda: gold.customer_value(hot_orders, customers)),
         ("naive join-then-group, hot customer", lambda: naive_customer_value(hot_orders, customers)),
+        ("gold.daily_revenue, hot day", lambda: gold.daily_revenue(calendar, hot_day)),
         ("grain_violations, hot customer", lambda: grain_violations(hot_orders, ["customer_id"])),
         ("dedupe_by_source_event, hot event", lambda: dedupe_by_source_event(hot_bronze)),
         ("replay_report, hot event", lambda: replay_report(hot_bronze)),
