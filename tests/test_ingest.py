@@ -209,3 +209,17 @@ def test_legacy_append_is_a_breaking_schema(spark, workdir, run_id):
     r = check_schema(spark, BRONZE_ORDERS_RAW, legacy, nullability="ignore").first()
     assert r.kind == "breaking"
     assert "source_updated_at:timestamp>string" in r.retyped and "source_page:int>bigint" in r.retyped
+
+
+def test_second_engine_reads_bronze(spark, workdir, run_id):
+    """Another engine (DuckDB) reads the committed Bronze files directly."""
+    import duckdb
+
+    pages = _land(spark, workdir, pages=1, page_size=20, start_page=41)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    ingest(spark, pages, table, run_id)
+    n, versions = duckdb.sql(
+        f"SELECT COUNT(*), COUNT(DISTINCT commit_version) FROM read_parquet("
+        f"'{workdir}/bronze/batch=*/commit_version=*/*.parquet', hive_partitioning = true)"
+    ).fetchall()[0]
+    assert (n, versions) == (20, 1)
