@@ -457,3 +457,42 @@ def q_image_pin_audit(spark, sf_dir):
         F.upper(F.substring(F.md5("props"), 1, 6)).alias("git_commit"),
     )
     return report(runs.withColumn("pinned", RUNS.image_pinned("image")))
+
+
+@register("silver_orders_incremental")
+def q_silver_orders_incremental(spark, sf_dir):
+    """Silver built incrementally: first deliveries committed and folded in,
+    then the later updates committed and folded in; equals the full Silver."""
+    from .plans.silver import prepare_incremental
+    from .session import scratch_dir
+    from .sources.bronze import BronzeTable
+    from .sources.tables import VersionedTable
+
+    bronze = A.orders_as_bronze(spark, sf_dir)
+    first_ingest = F.lit(A.FIRST_INGEST).cast("timestamp")
+    table = BronzeTable(spark, scratch_dir(spark, "inc-silver-bronze"))
+    silver = VersionedTable(spark, scratch_dir(spark, "inc-silver"))
+    table.append(bronze.where(F.col("ingested_at") == first_ingest).withColumn("commit_version", F.lit(0).cast("long")))
+    prepare_incremental(spark, table, silver)
+    table.append(bronze.where(F.col("ingested_at") > first_ingest).withColumn("commit_version", F.lit(1).cast("long")))
+    return report(prepare_incremental(spark, table, silver))
+
+
+@register("gold_refresh_incremental")
+def q_gold_refresh_incremental(spark, sf_dir):
+    """refresh_gold over published tables: full on the old orders snapshot,
+    then incremental after the new snapshot is published; customer_value."""
+    from .session import scratch_dir
+    from .sources.tables import VersionedTable
+
+    old_o, new_o = old_orders_snapshot(spark, sf_dir), A.orders_as_silver(spark, sf_dir)
+    root = scratch_dir(spark, "inc-gold")
+    t = {n: VersionedTable(spark, f"{root}/{n}") for n in list(R.VIEW_INPUTS) + ["silver.orders", "silver.customers", "silver.calendar"]}
+    t["silver.orders"].publish(old_o)
+    t["silver.customers"].publish(A.customers_as_silver(spark, sf_dir))
+    t["silver.calendar"].publish(gold.calendar_from(new_o, "order_date"))
+    R.refresh_gold(spark, t, as_of=GOLD_AS_OF)
+    t["silver.orders"].publish(new_o)
+    out = R.refresh_gold(spark, t, as_of=GOLD_AS_OF, incremental=True)
+    assert out[0].decision == "incremental", out
+    return report(t["gold.customer_value"].read())

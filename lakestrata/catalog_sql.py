@@ -424,3 +424,6 @@ WITH r AS (
          upper(substr(md5(props), 1, 6)) AS git_commit
   FROM events)
 SELECT *, COALESCE(regexp_full_match(image, '[a-z0-9.\\-/:]+@sha256:[a-f0-9]{64}'), false) AS pinned FROM r"""
+
+SQL["silver_orders_incremental"] = SQL["silver_orders"]
+SQL["gold_refresh_incremental"] = SQL["gold_customer_value"]
