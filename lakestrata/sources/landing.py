@@ -28,6 +28,15 @@ def read_pages(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.text(landing).select("value", F.col("source_page").cast("int").alias("source_page"))
 
 
+def read_page_dirs(spark: SparkSession, landing: str, pages: list[int]) -> DataFrame:
+    """(value, source_page) of the given page directories only (no listing of the rest)."""
+    if not pages:
+        return spark.createDataFrame([], "value string, source_page int")
+    paths = [f"{landing}/source_page={p}" for p in pages]
+    df = spark.read.option("basePath", landing).text(paths)
+    return df.select("value", F.col("source_page").cast("int").alias("source_page"))
+
+
 def write_pages(records: DataFrame, landing: str, mode: str = "append") -> None:
     """Land (source_page, value) rows as one directory per page."""
     records.select("source_page", "value").write.mode(mode).partitionBy("source_page").text(landing)
