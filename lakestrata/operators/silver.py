@@ -40,6 +40,7 @@ def parse_orders(bronze: DataFrame) -> DataFrame:
         "payload",
         p.alias("_p"),
         "source_updated_at",
+        "ingested_at",
         "ingestion_run_id",
     ).select(
         "*",
@@ -64,6 +65,7 @@ def parse_orders(bronze: DataFrame) -> DataFrame:
         F.col("_amount").alias("net_amount"),
         "source_updated_at",
         "ingestion_run_id",
+        "ingested_at",
         "source_event_id",
         "source_page",
         "payload",
@@ -75,7 +77,7 @@ def parse_customers(bronze: DataFrame) -> DataFrame:
     """P5: typed customer columns + ``reject_reason``."""
     p = json_struct("payload", CUSTOMER_FIELDS)
     parsed = bronze.select(
-        "source_event_id", "source_page", "payload", p.alias("_p"), "source_updated_at", "ingestion_run_id"
+        "source_event_id", "source_page", "payload", p.alias("_p"), "source_updated_at", "ingested_at", "ingestion_run_id"
     )
     reason = _first_failure(
         [
@@ -89,6 +91,7 @@ def parse_customers(bronze: DataFrame) -> DataFrame:
         F.col("_p.market").alias("market"),
         "source_updated_at",
         "ingestion_run_id",
+        "ingested_at",
         "source_event_id",
         "source_page",
         "payload",

@@ -8,15 +8,17 @@
 3. write the good rows as a new Silver version while an Observation counts
    the rejects in the same pass; publish only if there are none.
 
-``prepare_incremental`` gives the same Silver table without re-sorting all
-of Bronze on every run.  It keeps the deduplicated envelope rows (the
-current winner of every source event) as a versioned side table
-``<silver>/_winners``.  A run reads only the Bronze commits newer than the
-ones already folded in (partition-pruned on ``commit_version``), takes the
-previous winners of just the touched event ids, re-decides those with the
-same ordering, and keeps every other winner as is.  The result equals a full
-dedupe because the winner over all deliveries is the winner over (previous
-winner, new deliveries).
+``prepare_incremental`` gives the same Silver rows without re-sorting all
+of Bronze on every run.  Its table stores, next to the contract columns, the
+envelope columns the dedupe order needs (``ingested_at``, ``source_page``,
+``payload``, ``source_event_id``; extra columns are "additive" under the
+contract), so every published row is the current winner of its event.  A
+run reads only the Bronze commits newer than the ones already folded in
+(partition-pruned on ``commit_version``), re-decides and re-parses just the
+touched event ids together with their previous winners, keeps every other
+row as is, and writes one new version.  The result equals a full rebuild
+because the winner over all deliveries is the winner over (previous winner,
+new deliveries).
 """
 
 from __future__ import annotations
@@ -67,35 +69,36 @@ def prepare_incremental(
     silver: VersionedTable,
     dataset: str = "orders",
 ) -> DataFrame:
-    """Silver refresh from the Bronze commits not yet folded in (see module doc)."""
+    """Silver refresh from the Bronze commits not yet folded in (see module doc).
+
+    Returns the contract columns of the published version."""
     input_contract, output_contract, parse = (
         (BRONZE_ORDERS_RAW, SILVER_ORDERS, parse_orders)
         if dataset == "orders"
         else (BRONZE_CUSTOMERS_RAW, SILVER_CUSTOMERS, parse_customers)
     )
-    state = VersionedTable(spark, f"{silver.root}/_winners")
+    stored = output_contract.names + [c for c in ENVELOPE if c not in output_contract.names]
     bronze_version = bronze.version()
-    current = state.current()
+    current = silver.current()
     if current is not None and current[1].get("bronze") == bronze_version:
-        return silver.read()
+        return silver.read().select(*output_contract.names)
+    kept = None
     if current is None or current[1].get("bronze") is None:
         full = bronze.read()
         _check_input(spark, input_contract, full)
-        winners = dedupe_by_source_event(full.select(*ENVELOPE))
+        parsed = parse(dedupe_by_source_event(full.select(*ENVELOPE)))
     else:
         new = bronze.read_since(current[1]["bronze"])
         _check_input(spark, input_contract, new)
         new = new.select(*ENVELOPE)
         touched = new.select("source_event_id").distinct()
-        previous = state.read(current[0])
-        kept = previous.join(touched, "source_event_id", "left_anti")
-        redecided = dedupe_by_source_event(
-            previous.join(touched, "source_event_id", "left_semi").unionByName(new)
-        )
-        winners = kept.unionByName(redecided)
-    state.publish(winners, inputs={"bronze": bronze_version})
+        previous = silver.read(current[0])
+        kept = previous.join(touched, "source_event_id", "left_anti").select(*stored)
+        contenders = previous.join(touched, "source_event_id", "left_semi").select(*ENVELOPE).unionByName(new)
+        parsed = parse(dedupe_by_source_event(contenders))
     obs = Observation(f"silver_rejects_{uuid.uuid4().hex}")
-    parsed = parse(state.read()).observe(obs, F.count_if(F.col(REJECT).isNotNull()).alias("rejects"))
-    good = parsed.where(F.col(REJECT).isNull()).select(*output_contract.names)
-    silver.publish(good, gate=lambda: {"rejects": obs.get["rejects"]}, inputs={"bronze": bronze_version})
-    return silver.read()
+    checked = parsed.observe(obs, F.count_if(F.col(REJECT).isNotNull()).alias("rejects"))
+    good = checked.where(F.col(REJECT).isNull()).select(*stored)
+    out = good if kept is None else kept.unionByName(good)
+    silver.publish(out, gate=lambda: {"rejects": obs.get["rejects"]}, inputs={"bronze": bronze_version})
+    return silver.read().select(*output_contract.names)

@@ -223,3 +223,21 @@ def test_second_engine_reads_bronze(spark, workdir, run_id):
         f"'{workdir}/bronze/batch=*/commit_version=*/*.parquet', hive_partitioning = true)"
     ).fetchall()[0]
     assert (n, versions) == (20, 1)
+
+
+def test_ingest_folder_never_reads_completed_pages(spark, workdir, run_id):
+    import glob
+
+    from lakestrata.plans.ingest import ingest_folder
+
+    landing = f"{workdir}/landing"
+    write_pages(source_records(spark, pages=2, page_size=3, start_page=1), landing)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    assert ingest_folder(spark, landing, table, run_id).pages_appended == [1, 2]
+    for f in glob.glob(f"{landing}/source_page=1/*.txt"):
+        with open(f, "w") as fh:
+            fh.write("not json at all\n")
+    write_pages(source_records(spark, pages=1, page_size=3, start_page=3), landing)
+    res = ingest_folder(spark, landing, table, run_id)
+    assert res.pages_skipped == [1, 2] and res.pages_appended == [3]
+    assert table.read().count() == 9

@@ -82,3 +82,4 @@ def test_incremental_silver_equals_full_rebuild(spark, workdir):
     before = silver.version()
     prepare_incremental(spark, table, silver)  # nothing new: no new version
     assert silver.version() == before
+    assert set(silver.read().columns) >= {"ingested_at", "payload", "source_page"}  # envelope kept for the next run
