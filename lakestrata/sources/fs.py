@@ -34,3 +34,36 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a temporary name, then rename it into place,
+    so a reader never sees a half-written file."""
+    jvm = spark.sparkContext._jvm
+    fs, target = _fs(spark, path)
+    tmp = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".tmp-{target.getName()}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(tmp, target):
+        raise IOError(f"could not publish {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path`` (empty when it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())

@@ -3,7 +3,10 @@
 Layout::
 
     <root>/v=<n>/part-*.parquet     one directory per refresh
-    <root>/_published/              pointer rows (version, published_at, inputs)
+    <root>/_published/v=<n>.json    one pointer per published version (version,
+                                    published_at, rows, inputs), written
+                                    atomically; the current version is found
+                                    by listing this folder (no Spark job)
 
 A refresh writes a new version directory while the current one stays
 readable (Spark cannot overwrite a path it is reading), counts CHECK
@@ -31,7 +34,7 @@ POINTER_SCHEMA = T.StructType(
         T.StructField("version", T.LongType(), False),
         T.StructField("published_at", T.TimestampType(), False),
         T.StructField("rows", T.LongType(), False),
-        T.StructField("inputs", T.StringType(), True),
+        T.StructField("inputs", T.MapType(T.StringType(), T.LongType()), True),
     ]
 )
 
@@ -46,16 +49,22 @@ class VersionedTable:
         return f"{self.root}/_published"
 
     def pointers(self) -> DataFrame:
-        if not fs.exists(self.spark, self.pointer_path):
+        """Every published version as a DataFrame (for audits)."""
+        if not fs.list_files(self.spark, self.pointer_path):
             return self.spark.createDataFrame([], POINTER_SCHEMA)
-        return self.spark.read.schema(POINTER_SCHEMA).parquet(self.pointer_path)
+        return self.spark.read.schema(POINTER_SCHEMA).json(f"{self.pointer_path}/v=*.json")
+
+    def _published_versions(self) -> list[int]:
+        names = fs.list_files(self.spark, self.pointer_path)
+        return sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
 
     def current(self) -> tuple[int, dict] | None:
-        """Latest published (version, inputs); one row reaches the driver."""
-        r = self.pointers().orderBy(F.col("version").desc()).limit(1).collect()
-        if not r:
+        """Latest published (version, inputs): one listing and one small read."""
+        vs = self._published_versions()
+        if not vs:
             return None
-        return int(r[0].version), json.loads(r[0].inputs or "{}")
+        doc = json.loads(fs.read_text(self.spark, f"{self.pointer_path}/v={vs[-1]}.json"))
+        return int(doc["version"]), doc.get("inputs") or {}
 
     def version(self) -> int | None:
         cur = self.current()
@@ -97,6 +106,11 @@ class VersionedTable:
             failed.update({k: int(v) for k, v in gate().items() if int(v) > 0})
         if failed:
             raise ConstraintViolation(f"{self.root} v={version} not published; violations: {failed}")
-        row = (version, datetime.now(timezone.utc), int(got["_rows"]), json.dumps(inputs or {}, sort_keys=True))
-        self.spark.createDataFrame([row], POINTER_SCHEMA).coalesce(1).write.mode("append").parquet(self.pointer_path)
+        doc = {
+            "version": version,
+            "published_at": datetime.now(timezone.utc).isoformat(),
+            "rows": int(got["_rows"]),
+            "inputs": inputs or {},
+        }
+        fs.write_text_atomic(self.spark, f"{self.pointer_path}/v={version}.json", json.dumps(doc, sort_keys=True))
         return version

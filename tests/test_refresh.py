@@ -107,3 +107,17 @@ def test_incremental_refresh_equals_full_refresh(spark, workdir):
         a, b = results["incremental"][v], results["full"][v]
         assert a.count() == b.count()
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, v
+
+
+def test_publish_pointers_are_atomic_files(spark, workdir):
+    import os
+
+    t = VersionedTable(spark, f"{workdir}/t")
+    assert t.current() is None and t.pointers().count() == 0
+    t.publish(spark.range(3), inputs={"silver.orders": 4})
+    t.publish(spark.range(5), inputs={"silver.orders": 5})
+    assert t.current() == (1, {"silver.orders": 5})
+    rows = {r.version: (r.rows, r.inputs["silver.orders"]) for r in t.pointers().collect()}
+    assert rows == {0: (3, 4), 1: (5, 5)}
+    assert not [n for n in os.listdir(f"{workdir}/t/_published") if n.startswith(".tmp")]
+    assert t.read(0).count() == 3 and t.read().count() == 5
