@@ -19,6 +19,7 @@ One writer per table is assumed: this is not a transaction log.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,13 +89,11 @@ class BronzeTable:
         Versions grow with batches, so only the newest committed batch is
         listed: the cost does not grow with the number of pages ever written."""
         for b in reversed(self.committed_batches()):
+            marker = json.loads(fs.read_text(self.spark, f"{self.batch_path(b)}/{COMMIT_MARKER}") or "{}")
             vs = self.versions_in(b)
-            log = f"{self.batch_path(b)}/_pages"
-            if fs.exists(self.spark, log):
-                # an empty page has a version in the log but no directory
-                top = self.spark.read.schema(PAGE_LOG_SCHEMA).parquet(log).agg(F.max("commit_version")).first()[0]
-                if top is not None:
-                    vs = vs + [int(top)]
+            if marker.get("last_version") is not None:
+                # an empty page holds a version without a directory
+                vs = vs + [int(marker["last_version"])]
             if vs:
                 return max(vs)
         return None
@@ -151,9 +150,11 @@ class BronzeTable:
             return self.spark.createDataFrame([], PAGE_LOG_SCHEMA)
         return self.spark.read.schema(PAGE_LOG_SCHEMA).parquet(*paths)
 
-    def commit_batch(self, batch: int) -> None:
-        """S3, second half: make the batch visible."""
-        fs.touch(self.spark, f"{self.batch_path(batch)}/{COMMIT_MARKER}")
+    def commit_batch(self, batch: int, last_version: int | None = None) -> None:
+        """S3, second half: make the batch visible.  The marker records the
+        batch's last version, so ``version()`` needs no Spark job."""
+        doc = {} if last_version is None else {"last_version": int(last_version)}
+        fs.write_text_atomic(self.spark, f"{self.batch_path(batch)}/{COMMIT_MARKER}", json.dumps(doc))
 
     def rows_per_version(self, batch: int) -> dict[int, int]:
         """Row count per commit version of one batch (Parquet footers; no column is read)."""
