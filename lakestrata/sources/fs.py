@@ -25,11 +25,6 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.create(p, True).close()
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
