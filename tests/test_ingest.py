@@ -241,3 +241,30 @@ def test_ingest_folder_never_reads_completed_pages(spark, workdir, run_id):
     res = ingest_folder(spark, landing, table, run_id)
     assert res.pages_skipped == [1, 2] and res.pages_appended == [3]
     assert table.read().count() == 9
+
+
+def test_bad_page_in_second_chunk(spark, workdir, run_id):
+    """Chunks of 2 pages: chunk 1 (pages 1-2) commits; in chunk 2 page 3 is
+    committed and page 4, holding the bad record, and everything after it is not."""
+    landing = f"{workdir}/landing"
+    recs = source_records(spark, pages=5, page_size=2, start_page=1).withColumn(
+        "value",
+        F.when(
+            (F.col("source_page") == 4) & F.col("value").contains("evt-000004-0001"),
+            F.regexp_replace("value", '"updated_at":"[^"]*"', '"updated_at":""'),
+        ).otherwise(F.col("value")),
+    )
+    write_pages(recs, landing)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    with pytest.raises(IngestError) as err:
+        ingest(spark, read_pages(spark, landing), table, run_id, max_pages_per_batch=2)
+    assert isinstance(err.value.cause, SourcePayloadError) and "updated_at" in str(err.value)
+    assert err.value.result.pages_appended == [1, 2, 3]
+    assert sorted(r.source_page for r in table.read().select("source_page").distinct().collect()) == [1, 2, 3]
+    assert table.version() == 2
+    # after the source is fixed, the retry appends 4 and 5 only
+    fixed = f"{workdir}/landing-fixed"
+    write_pages(source_records(spark, pages=5, page_size=2, start_page=1), fixed)
+    again = ingest(spark, read_pages(spark, fixed), table, run_id, max_pages_per_batch=2)
+    assert again.pages_skipped == [1, 2, 3] and again.pages_appended == [4, 5]
+    assert table.read().count() == 10

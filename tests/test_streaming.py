@@ -55,3 +55,19 @@ def test_stream_idempotent_mode_does_not_duplicate(spark, workdir, run_id):
         start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, idempotent=True, max_files_per_trigger=1)
     )
     assert table.read().count() == 15
+
+
+def test_stream_stops_on_invalid_page(spark, workdir, run_id):
+    landing, ckpt = f"{workdir}/landing", f"{workdir}/ckpt"
+    recs = source_records(spark, pages=3, page_size=3, start_page=1).withColumn(
+        "value",
+        F.when(F.col("source_page") == 2, F.regexp_replace("value", '"event_id":"[^"]*"', '"event_id":""')).otherwise(
+            F.col("value")
+        ),
+    )
+    write_pages(recs.repartition("source_page"), landing)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    with pytest.raises(Exception) as err:
+        run_to_completion(start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, max_files_per_trigger=1))
+    assert "missing event_id" in str(err.value)
+    assert sorted(r.source_page for r in table.read().select("source_page").distinct().collect()) == [1]
