@@ -79,3 +79,20 @@ def test_sorted_key_json_keeps_nulls(spark):
 
     df = spark.createDataFrame([("x", None, "1")], "updated_at string, event_id string, amount string")
     assert df.select(sorted_key_json(*df.columns).alias("j")).first().j == '{"amount":"1","event_id":null,"updated_at":"x"}'
+
+
+def test_dedupe_full_timestamp_tie_is_deterministic(spark):
+    from datetime import datetime
+
+    t = datetime(2026, 9, 1, 8)
+    rows = [
+        ("e1", t, t, "RUN-1", 1, '{"v":"b"}'),
+        ("e1", t, t, "RUN-1", 2, '{"v":"a"}'),  # later page wins the tie
+        ("e2", t, t, "RUN-1", 1, '{"v":"b"}'),
+        ("e2", t, t, "RUN-1", 1, '{"v":"a"}'),  # same page: smaller payload wins
+    ]
+    for _ in range(2):  # independent of input order / partitioning
+        df = _bronze(spark, rows).repartition(3)
+        kept = {r.source_event_id: r.payload for r in dedupe_by_source_event(df).collect()}
+        assert kept == {"e1": '{"v":"a"}', "e2": '{"v":"a"}'}
+        rows.reverse()

@@ -83,3 +83,14 @@ def test_incremental_silver_equals_full_rebuild(spark, workdir):
     prepare_incremental(spark, table, silver)  # nothing new: no new version
     assert silver.version() == before
     assert set(silver.read().columns) >= {"ingested_at", "payload", "source_page"}  # envelope kept for the next run
+
+
+def test_empty_bronze_gives_empty_silver(spark, workdir):
+    from lakestrata.plans.silver import prepare_incremental
+
+    table = BronzeTable(spark, f"{workdir}/empty-bronze")
+    assert table.version() is None and table.read().count() == 0
+    assert prepare_orders(spark, table.read()).count() == 0
+    silver = VersionedTable(spark, f"{workdir}/silver")
+    assert prepare_incremental(spark, table, silver).count() == 0
+    assert silver.version() == 0
