@@ -96,3 +96,13 @@ def test_dedupe_full_timestamp_tie_is_deterministic(spark):
         kept = {r.source_event_id: r.payload for r in dedupe_by_source_event(df).collect()}
         assert kept == {"e1": '{"v":"a"}', "e2": '{"v":"a"}'}
         rows.reverse()
+
+
+def test_page_ranges_compact_gaps(spark):
+    from lakestrata.operators.history import page_ranges
+
+    df = spark.createDataFrame(
+        [("r1", p) for p in (1, 2, 3, 5, 7, 8, 8)] + [("r2", 4)], "ingestion_run_id string, source_page int"
+    )
+    got = {r.ingestion_run_id: (r.pages, r.page_count) for r in page_ranges(df, ["ingestion_run_id"]).collect()}
+    assert got == {"r1": ("1-3,5,7-8", 6), "r2": ("4", 1)}
