@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir, table_path
 from .bpe import bpe_encode_decode
 from .ngram_jaccard import ngram_jaccard_join
+from .pii import digest_spans, find_pii
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
+from .topk_search import topk_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,10 +45,27 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search(_table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5, scale=256)
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(_table(spark, sf_dir, "documents"))
+    base = "filter(spans, y -> y.rank < 4)"
+    return found.select(
+        "doc_id",
+        *(F.expr(f"cast(size(filter(spans, y -> y.kind = '{k}')) as long)").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")),
+        F.sha2(F.expr(digest_spans(base)), 256).alias("base_sha256"),
+        F.expr(digest_spans("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bpe_encode_decode": op2_bpe_encode_decode,
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
+    "op5_topk_search": op5_topk_search,
+    "op7_pii": op7_pii,
 }
 SQL: dict[str, str] = {}
