@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir, table_path
 from .bpe import bpe_encode_decode
+from .decontaminate import find_leaks
+from .importance import importance_resample
 from .ngram_jaccard import ngram_jaccard_join
 from .pii import digest_spans, find_pii
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
 from .topk_search import topk_search
+from .warc import derivatives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +52,19 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search(_table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5, scale=256)
 
 
+def op6_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", "log_weight")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derivatives(_table(spark, sf_dir, "pages")).drop("block")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(_table(spark, sf_dir, "documents"))
     base = "filter(spans, y -> y.rank < 4)"
@@ -66,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
     "op5_topk_search": op5_topk_search,
+    "op6_importance_resample": op6_importance_resample,
     "op7_pii": op7_pii,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_warc_derivatives": op9_warc_derivatives,
 }
 SQL: dict[str, str] = {}
