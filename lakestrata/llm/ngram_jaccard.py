@@ -50,13 +50,18 @@ MAX_ROUNDS = 4
 def _members(n: int):
     def run(batches):
         for batch in batches:
-            ids, pos = batch.column("doc_id"), 0
+            ids = batch.column("doc_id")
             for i, j, data, off in K.slices(batch.column("text")):
                 sets, b = K.shingle_sets(data, off, n)
                 keys = K.set_keys(sets, b)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(np.diff(b).astype(np.int64)), pa.array(as_long(keys))],
-                    names=["doc_id", "n_shingles", "set_key"],
+                    [
+                        ids.slice(i, j - i),
+                        batch.column("text_hash").slice(i, j - i),
+                        pa.array(np.diff(b).astype(np.int64)),
+                        pa.array(as_long(keys)),
+                    ],
+                    names=["doc_id", "text_hash", "n_shingles", "set_key"],
                 )
 
     return run
@@ -182,13 +187,18 @@ def ngram_jaccard_join(
     rare_limit: int = RARE_LIMIT,
     max_rounds: int = MAX_ROUNDS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, set_key (see the module)."""
+    """One row per document: doc_id, text_hash, n_shingles, component_id, class (see the module).
+
+    ``class`` names the component also where ids are null; it is null without words."""
     num, den = threshold
     spark = ship(docs.sparkSession)
     docs = columns(docs, doc_id=id_col, text=text_col)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     members = stored(
-        docs.mapInArrow(_members(n), f"doc_id {id_type}, n_shingles long, set_key long"), "op1-members"
+        docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+            _members(n), f"doc_id {id_type}, text_hash long, n_shingles long, set_key long"
+        ),
+        "op1-members",
     )
 
     links, todo, common = None, None, None
@@ -258,5 +268,20 @@ def ngram_jaccard_join(
     )
     least = m.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"))
     return m.join(least, "class", "left").select(
-        "doc_id", "n_shingles", F.expr("if(class is null, doc_id, least_id)").alias("component_id"), "set_key"
+        "doc_id", "text_hash", "n_shingles", F.expr("if(class is null, doc_id, least_id)").alias("component_id"), "class"
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs without near copies: of each component the row of the least id.
+
+    A null id stands after all others; rows equal in id and text are one row;
+    documents without words are copies of nothing and stay."""
+    classes = ngram_jaccard_join(docs, id_col, text_col, **how)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    chosen = classes.where("class is not null").groupBy("class").agg(F.min(row).alias("row")).select("row.doc_id", "row.text_hash")
+    alone = classes.where("class is null").select("doc_id", "text_hash").distinct()
+    chosen = chosen.unionAll(alone).select(F.col("doc_id").alias("chosen id"), F.col("text_hash").alias("chosen text"))
+    hashed = docs.withColumn("text hash", F.xxhash64(docs[text_col].cast("string")))
+    kept = hashed.join(chosen, hashed[id_col].eqNullSafe(chosen["chosen id"]) & (hashed["text hash"] == chosen["chosen text"]), "left_semi")
+    return kept.dropDuplicates([id_col, "text hash"]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -14,6 +14,7 @@ from .decontaminate import find_leaks
 from .importance import importance_resample
 from .ngram_jaccard import ngram_jaccard_join
 from .pii import digest_spans, find_pii
+from .run_length_index import drop_repeats
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
 from .topk_search import topk_search
@@ -76,6 +77,16 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.expr("aggregate(spans, 0L, (s, x) -> s + x.end - x.start)").alias("n_removed"),
+        F.expr("cast(size(spans) as long)").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bpe_encode_decode": op2_bpe_encode_decode,
@@ -86,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_decontaminate": op8_decontaminate,
     "op9_warc_derivatives": op9_warc_derivatives,
+    "op10_run_length_dedup": op10_run_length_dedup,
 }
 SQL: dict[str, str] = {}
