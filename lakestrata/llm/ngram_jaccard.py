@@ -12,12 +12,15 @@ first, tokens of the frequent class last.
   shingle never meet;
 * candidates are verified on the whole sets.
 
-The index runs in rounds.  Round 0 knows no frequent token.  A token that
-more than ``rare_limit`` different components hold becomes frequent, and only
-the sets that hold such a token in their prefix are indexed again under the
-new order; a pair that round 0 could have missed has all its shared prefix
-tokens frequent, so both its sets are indexed again.  The last round pairs
-whatever is left, so nothing is dropped.
+The index runs in rounds.  Round 0 knows no frequent token; it links copies to
+the least set of their entries and finds the tokens that more than
+``rare_limit`` different components hold.  These are the frequent class of
+round 1, which indexes every set and pairs them.  Should tokens further back
+turn out frequent, the sets that hold them are indexed once more, unless
+pairing them at once makes few rows; a pair that a
+round could have missed has all its shared single entries frequent, so both
+its sets are indexed again.  Common combinations are always paired, and the
+last round pairs whatever is left, so nothing is dropped.
 
 Groups of copies: equal sets are one set from the start.  In every round each
 set is first checked against the least set of its index entries (one row per
@@ -44,31 +47,43 @@ from .shared import as_long, bit_filter, columns, components, in_filter, ship, s
 U64 = np.uint64
 COMMON_BITS = 1 << 25
 RARE_LIMIT = 24
-MAX_ROUNDS = 4
+MAX_ROUNDS = 3
+CELL_PAIRS = 2000
+#: hash values at which every set's number of smaller tokens is kept, up to 20/64 of all values
+CUTS = np.arange(1, 21, dtype=U64) << U64(58)
 
 
-def _members(n: int):
+def _members(n: int, num: int, den: int):
+    """Size and key of each document's set; ranks: tokens up to each of CUTS; cut: the CUTS inside the prefix."""
+
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id")
             for i, j, data, off in K.slices(batch.column("text")):
                 sets, b = K.shingle_sets(data, off, n)
                 keys = K.set_keys(sets, b)
+                ranks, cut = np.zeros((j - i, len(CUTS)), np.int32), np.zeros(j - i, np.int32)
+                for r in np.flatnonzero(np.diff(b)).tolist():
+                    h = sets[b[r] : b[r + 1]]
+                    ranks[r] = np.searchsorted(h, CUTS, "right")
+                    cut[r] = np.searchsorted(CUTS, h[len(h) - -(-num * len(h) // den)], "right")
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(i, j - i),
                         batch.column("text_hash").slice(i, j - i),
                         pa.array(np.diff(b).astype(np.int64)),
                         pa.array(as_long(keys)),
+                        pa.array(cut),
+                        pa.FixedSizeListArray.from_arrays(pa.array(ranks.ravel()), len(CUTS)).cast(pa.list_(pa.int32())),
                     ],
-                    names=["doc_id", "text_hash", "n_shingles", "set_key"],
+                    names=["doc_id", "text_hash", "n_shingles", "set_key", "cut", "ranks"],
                 )
 
     return run
 
 
 def _index(n: int, num: int, den: int, todo, common):
-    """Index entries of each distinct set: (token, set_key, n)."""
+    """Index entries of each distinct set: (token, set_key, size << 1 | whether a combination)."""
     todo_v = todo.value if todo is not None else None
     common_v = common.value if common is not None else None
 
@@ -81,7 +96,7 @@ def _index(n: int, num: int, den: int, todo, common):
                 want = np.diff(b) > 0
                 if todo_v is not None:
                     want &= in_filter(todo_v, keys)
-                toks, lens, rows = [], [], []
+                toks, lens, rows, meta = [], [], [], []
                 flag = in_filter(common_v, sets) if common_v is not None else None
                 for r in np.flatnonzero(want).tolist():
                     key = int(keys[r])
@@ -93,6 +108,7 @@ def _index(n: int, num: int, den: int, todo, common):
                     p = size - -(-num * size // den) + 1
                     if flag is None:
                         toks.append(h[:p])
+                        meta.append(np.full(p, size << 1))
                     else:
                         f = flag[b[r] : b[r + 1]]
                         q = min(size, p + 1)
@@ -100,22 +116,23 @@ def _index(n: int, num: int, den: int, todo, common):
                         toks.append(rare)
                         lens.append(len(rare))
                         rows.append(r)
+                        meta.append(np.full(len(rare), size << 1))
                         hot = h[f][: q - len(rare)]
                         x, y = np.triu_indices(len(hot), 1)
                         toks.append(K.mix(hot[x] * U64(K._LANES[20]) + hot[y] * U64(K._LANES[21])))
                     lens.append(len(toks[-1]))
                     rows.append(r)
+                    if flag is not None:
+                        meta.append(np.full(len(toks[-1]), (size << 1) + 1))
                 if not toks:
                     continue
-                rows, lens = np.array(rows), np.array(lens)
-                size = np.diff(b)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(as_long(np.concatenate(toks))),
-                        pa.array(as_long(np.repeat(keys[rows], lens))),
-                        pa.array(np.repeat(size[rows], lens).astype(np.int32)),
+                        pa.array(as_long(np.repeat(keys[np.array(rows)], np.array(lens)))),
+                        pa.array(np.concatenate(meta).astype(np.int64)),
                     ],
-                    names=["token", "set_key", "n"],
+                    names=["token", "set_key", "meta"],
                 )
 
     return run
@@ -146,36 +163,75 @@ def _wanted_sets(n: int, wanted):
 
 
 def _similar(num: int, den: int):
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            keep = []
-            for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                if len(s) > len(t):
-                    s, t = t, s
-                if den * len(s) < num * len(t):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(t, s)
-                both = int(np.count_nonzero(t[np.minimum(at, len(t) - 1)] == s))
-                keep.append(den * both >= num * (len(s) + len(t) - both))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def run(sets: pa.Table, pairs: pa.Table) -> pa.Table:
+        tokens = {k: np.frombuffer(t.as_buffer(), U64) for k, t in zip(sets["set_key"].to_pylist(), sets["tokens"], strict=True)}
+        keep = []
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
+            s, t = tokens[a], tokens[b]
+            if len(s) > len(t):
+                s, t = t, s
+            if den * len(s) < num * len(t):
+                keep.append(False)
+                continue
+            at = np.searchsorted(t, s)
+            both = int(np.count_nonzero(t[np.minimum(at, len(t) - 1)] == s))
+            keep.append(den * both >= num * (len(s) + len(t) - both))
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
+    """The pairs (a, b) whose whole sets reach the threshold.
+
+    Pairs are dealt to cells by a, and a set goes to a cell once, however many
+    of the cell's pairs hold it.  There are enough cells for a cell to hold
+    some thousand sets."""
     spark = docs.sparkSession
     pairs = stored(pairs.select("a", "b"), f"{name}-pairs")
-    nodes = pairs.select(F.col("a").alias("k")).unionAll(pairs.select("b")).distinct()
+    cells = max(16, pairs.count() // CELL_PAIRS)
+    pairs = pairs.withColumn("cell", F.expr(f"pmod(xxhash64(a), {cells})"))
+    nodes = pairs.select("cell", F.explode(F.array("a", "b")).alias("k")).distinct().selectExpr("cell + 0 as cell", "k")
     wanted = spark.sparkContext.broadcast(bit_filter(nodes, "k"))
     sets = docs.select("text").mapInArrow(_wanted_sets(n, wanted), "set_key long, tokens binary")
-    sets = sets.join(nodes, sets["set_key"] == nodes["k"], "left_semi").dropDuplicates(["set_key"])
-    with_b = pairs.join(sets.select(F.col("set_key").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = with_b.join(sets.select(F.col("set_key").alias("a"), F.col("tokens").alias("ta")), "a")
-    return stored(both.mapInArrow(_similar(num, den), "a long, b long"), f"{name}-links")
+    sets = sets.dropDuplicates(["set_key"]).join(nodes, F.col("set_key") == F.col("k")).select("cell", "set_key", "tokens")
+    similar = sets.groupBy("cell").cogroup(pairs.groupBy("cell")).applyInArrow(_similar(num, den), "a long, b long")
+    return stored(similar, f"{name}-links")
+
+
+def _candidates(
+    rare: DataFrame, often: DataFrame, held: DataFrame, stats: DataFrame, num: int, den: int, extended: int
+) -> DataFrame:
+    """Pairs of sets of different components that share entries, as far as the whole sets may reach the threshold.
+
+    Up to a hash value X inside both round-0 prefixes, two sets share only
+    what their entries show, but for tokens that were found frequent in any
+    round (``held``); beyond X at most the smaller number of tokens left.
+    Likewise, the prefixes of this round share what the entries show, frequent
+    tokens by their number of common combinations, but for those found
+    frequent in this round (``often``), and at most the rest of a set besides."""
+    left, right = (rare.selectExpr("token", "combo as combo_" + x, "set_key as " + x, "comp as c" + x, "n as n" + x) for x in "ab")
+    pairs = (
+        left.join(right, "token")
+        .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb)")
+        .groupBy("a", "b")
+        .agg(
+            F.count(F.when(~F.col("combo_a"), 1)).alias("c"), F.count(F.when(F.col("combo_a"), 1)).alias("cc"),
+            F.max("na").alias("na"), F.max("nb").alias("nb"),
+        )
+    )
+    for x in "ab":
+        pairs = pairs.join(stats.selectExpr("set_key as " + x, "cut as cut_" + x, "ranks as ranks_" + x), x)
+        for name, df in (("f", held), ("g", often)):
+            pairs = pairs.join(df.groupBy("set_key").agg(F.count("*").alias(name + x)).withColumnRenamed("set_key", x), x, "left")
+    at = "least(cut_a, cut_b)"
+    by_rank = f"if({at} = 0, least(na, nb), least(na - element_at(ranks_a, {at}), nb - element_at(ranks_b, {at})))"
+    hot = f"if(cc > 0, ceil((1 + sqrt(1 + 8 * cc)) / 2), {extended})"
+    by_prefix = f"{hot} + ceil({num} * greatest(na, nb) / {den}) - {1 + extended}"
+    return pairs.where(
+        f"c + least(least(coalesce(fa, 0), coalesce(fb, 0)) + {by_rank}, least(coalesce(ga, 0), coalesce(gb, 0)) + {by_prefix})"
+        f" >= ceil({num} * (na + nb) / {num + den})"
+    )
 
 
 def ngram_jaccard_join(
@@ -196,71 +252,61 @@ def ngram_jaccard_join(
     id_type = docs.schema["doc_id"].dataType.simpleString()
     members = stored(
         docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-            _members(n), f"doc_id {id_type}, text_hash long, n_shingles long, set_key long"
+            _members(n, num, den), f"doc_id {id_type}, text_hash long, n_shingles long, set_key long, cut int, ranks array<int>"
         ),
         "op1-members",
     )
 
-    links, todo, common = None, None, None
-    frequent_all = None
+    stats = members.where("n_shingles > 0").dropDuplicates(["set_key"]).select("set_key", "cut", "ranks")
+    todo, common, frequent, held = None, None, None, None
     for level in range(max_rounds):
-        rows = docs.select("text").mapInArrow(_index(n, num, den, todo, common), "token long, set_key long, n int")
+        rows = docs.select("text").mapInArrow(_index(n, num, den, todo, common), "token long, set_key long, meta long")
         # one shuffle by token; entries that only one set has end here
         span = rows.repartition("token").selectExpr(
-            "token", "set_key", "n", "min(set_key) over (partition by token) as lo", "max(set_key) over (partition by token) as hi"
+            "*", "min(set_key) over (partition by token) as lo", "max(set_key) over (partition by token) as hi"
         )
-        entries = stored(span.where("lo < hi").select("token", "set_key", "n", "lo").distinct(), "op1-entries")
-
-        # each set against the least set of its entries
-        p = F.expr(f"n - ceil({num} * n / {den}) + 1")
-        star = (
-            entries.where("set_key <> lo")
-            .groupBy(F.col("lo").alias("a"), F.col("set_key").alias("b"))
-            .agg(F.count("*").alias("c"), F.max(p).alias("p"))
-            .where("10 * c >= 3 * p")
+        entries = span.where("lo < hi").drop("hi").distinct().selectExpr(
+            "token", "set_key", "lo", "meta >> 1 as n", "(meta & 1) = 1 as combo"
         )
-        found = _verify(docs, star, n, num, den, "op1-star")
-        links = found if links is None else stored(links.unionAll(found), "op1-links")
+        entries = stored(entries, "op1-entries")
+
+        if level == 0:  # each set against the least set of its entries
+            p = F.expr(f"n - ceil({num} * n / {den}) + 1")
+            star = (
+                entries.where("set_key <> lo")
+                .groupBy(F.col("lo").alias("a"), F.col("set_key").alias("b"))
+                .agg(F.count("*").alias("c"), F.max(p).alias("p"))
+                .where("10 * c >= 3 * p")
+            )
+            links = _verify(docs, star, n, num, den, "op1-star")
 
         # the rest: entries that different components share
         comp = components(links, "op1-cc")
         e = entries.drop("lo").join(comp, entries["set_key"] == comp["node"], "left").select(
-            "token", "set_key", "n", F.coalesce("comp", "set_key").alias("comp")
+            "token", "set_key", "n", "combo", F.coalesce("comp", "set_key").alias("comp")
         )
         by_token = (
             e.groupBy("token", "comp").agg(F.lit(1).alias("x")).groupBy("token").agg(F.count("*").alias("comps")).where("comps > 1")
         )
         e = stored(e.join(by_token, "token"), "op1-shared")
-        last = level == max_rounds - 1
-        rare = e if last else e.where(F.col("comps") <= rare_limit)
-        left = rare.select("token", F.col("set_key").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-        right = rare.select("token", F.col("set_key").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
-        pairs = (
-            left.join(right, "token")
-            .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb)")
-            .groupBy("a", "b")
-            .agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-        )
-        often = e.where(F.col("comps") > rare_limit)
-        if level == 0:  # what two prefixes share bounds what the sets share
-            held = often.groupBy("set_key").agg(F.count("*").alias("f"))
-            pairs = (
-                pairs.join(held.select(F.col("set_key").alias("a"), F.col("f").alias("fa")), "a", "left")
-                .join(held.select(F.col("set_key").alias("b"), F.col("f").alias("fb")), "b", "left")
-                .where(
-                    f"c + least(coalesce(fa, 0), coalesce(fb, 0)) + ceil({num} * greatest(na, nb) / {den}) - 1"
-                    f" >= ceil({num} * (na + nb) / {num + den})"
-                )
-            )
-        links = stored(links.unionAll(_verify(docs, pairs, n, num, den, "op1-cross")), "op1-links")
+        often = e.where((F.col("comps") > rare_limit) & ~F.col("combo"))
+        # frequent entries are paired at once if that makes few rows, else demoted
+        cost = often.select("token", "comps").distinct().agg(F.coalesce(F.sum(F.expr("comps * comps / 2")), F.lit(0))).first()[0]
+        last = level == max_rounds - 1 or 16 * cost <= entries.count()
+        often = often.where(F.lit(False)) if last else often
+        seen = often.select("set_key", "token")
+        held = stored(seen if held is None else held.unionAll(seen).distinct(), "op1-held")
+        if level > 0 or last:
+            rare = e if last else e.where((F.col("comps") <= rare_limit) | F.col("combo"))
+            pairs = _candidates(rare, often, held, stats, num, den, int(common is not None))
+            links = stored(links.unionAll(_verify(docs, pairs, n, num, den, "op1-cross")), "op1-links")
         if last:
             break
         tokens = often.select("token").distinct()
-        frequent_all = stored(tokens if frequent_all is None else frequent_all.unionAll(tokens), "op1-frequent")
-        if often.isEmpty():
-            break
-        todo = spark.sparkContext.broadcast(bit_filter(often.select("set_key").distinct(), "set_key"))
-        common = spark.sparkContext.broadcast(bit_filter(frequent_all, "token", COMMON_BITS))
+        frequent = stored(tokens if frequent is None else frequent.unionAll(tokens), "op1-frequent")
+        if level > 0:  # round 1 indexes every set, later ones those that met a new frequent token
+            todo = spark.sparkContext.broadcast(bit_filter(often.select("set_key").distinct(), "set_key"))
+        common = spark.sparkContext.broadcast(bit_filter(frequent, "token", COMMON_BITS))
 
     comp = components(links, "op1-cc")
     m = members.join(comp, members["set_key"] == comp["node"], "left").withColumn(

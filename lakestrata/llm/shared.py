@@ -36,7 +36,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write to the shared scratch folder and read back."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffle files go when the write has ended
+    before = spark.conf.get(clean, "false")
+    spark.conf.set(clean, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(clean, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
