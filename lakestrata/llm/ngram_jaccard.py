@@ -48,7 +48,7 @@ U64 = np.uint64
 COMMON_BITS = 1 << 25
 RARE_LIMIT = 24
 MAX_ROUNDS = 3
-CELL_PAIRS = 2000
+CELL_PAIRS = 1000
 #: hash values at which every set's number of smaller tokens is kept, up to 20/64 of all values
 CUTS = np.arange(1, 21, dtype=U64) << U64(58)
 
@@ -90,7 +90,7 @@ def _index(n: int, num: int, den: int, todo, common):
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            for _, _, data, off in K.slices(batch.column("text"), 4 * K.SLICE_BYTES):
+            for _, _, data, off in K.slices(batch.column("text")):
                 sets, b = K.shingle_sets(data, off, n)
                 keys = K.set_keys(sets, b)
                 want = np.diff(b) > 0
