@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 ENVELOPE_FIELDS = "event_id string, updated_at string"
 ORDER_FIELDS = "order_id string, customer_id string, order_date string, status string, net_amount string"
 CUSTOMER_FIELDS = "customer_id string, market string"
+ISO_TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -52,8 +53,10 @@ def present(c: Column | str) -> Column:
 
 def iso_timestamp(c: Column | str) -> Column:
     """ISO-8601 text to a UTC instant; a trailing Z or an offset converts,
-    text without an offset is read as UTC (session zone).  Unparsable text gives NULL."""
-    return col_of(c).try_cast("timestamp")
+    text without an offset is read as UTC (session zone).  Text that is not a
+    full date with an optional time (a lone time, a year, a zone name) gives NULL."""
+    c = col_of(c)
+    return F.when(c.rlike(ISO_TIMESTAMP_PATTERN), c.try_cast("timestamp"))
 
 
 def strict_date(c: Column | str) -> Column:

@@ -52,8 +52,13 @@ def refresh_gold(
     full.  A ConstraintViolation from daily_revenue stops the run before
     commercial_summary and leaves the old daily_revenue published."""
     outcomes = []
+    if as_of is None:
+        spark_day = spark.range(1).select(F.current_date().alias("day")).first()
+        as_of = spark_day["day"]
     for view in REFRESH_ORDER:
         inputs = {name: tables[name].version() for name in VIEW_INPUTS[view]}
+        if view == "gold.commercial_summary":
+            inputs["as_of"] = str(as_of)  # the view moves with its day, not only with its tables
         current = tables[view].current()
         if current is not None and current[1] == inputs:
             outcomes.append(RefreshOutcome(view, "skip", current[0]))
@@ -87,8 +92,7 @@ def refresh_gold(
             else:
                 df = gold.daily_revenue(src["silver.calendar"], src["silver.orders"])
         else:
-            as_of_val = None if as_of is None else str(as_of)
-            df = gold.commercial_summary(src["gold.customer_value"], src["gold.daily_revenue"], as_of_val)
+            df = gold.commercial_summary(src["gold.customer_value"], src["gold.daily_revenue"], str(as_of))
         version = tables[view].publish(df, checks=checks, inputs=inputs)
         outcomes.append(RefreshOutcome(view, decision, version))
     return outcomes

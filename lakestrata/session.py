@@ -10,6 +10,7 @@ taken and registered.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,10 +56,13 @@ def get_spark(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set here only when the session has none (local tests)."""
+    Set here only when the session has none and runs in one process (local
+    tests); on a cluster a machine-local folder would lose data, so it raises."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
+    if not path and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

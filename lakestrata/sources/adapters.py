@@ -127,7 +127,7 @@ def _status_text() -> "F.Column":
     )
     return (
         F.when(F.col("o_orderpriority") == "1-URGENT", F.upper(base))
-        .when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.upper(F.substring(base, 1, 1)), F.substring(base, 2, 100)))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.initcap(base))
         .otherwise(base)
     )
 

@@ -19,8 +19,8 @@ One writer per table is assumed: this is not a transaction log.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..contracts import BRONZE_ORDERS_RAW
 from . import fs
 
-COMMIT_MARKER = "_COMMITTED"
+VISIBLE = "_visible"
 
 PROGRESS_SCHEMA = T.StructType(
     [
@@ -70,7 +70,7 @@ class BronzeTable:
         return sorted(b for b in (_num(n, "batch") for n in fs.list_dirs(self.spark, self.root)) if b is not None)
 
     def committed_batches(self) -> list[int]:
-        return [b for b in self._batches() if fs.exists(self.spark, f"{self.batch_path(b)}/{COMMIT_MARKER}")]
+        return [b for b in self._batches() if self.last_visible(b) is not None]
 
     def batch_path(self, batch: int) -> str:
         return f"{self.root}/batch={batch}"
@@ -84,20 +84,25 @@ class BronzeTable:
         return sorted(v for b in self.committed_batches() for v in self.versions_in(b))
 
     def version(self) -> int | None:
-        """Latest committed version, None when the table does not exist.
-
-        Versions grow with batches, so only the newest committed batch is
-        listed: the cost does not grow with the number of pages ever written."""
-        for b in reversed(self.committed_batches()):
-            marker = json.loads(fs.read_text(self.spark, f"{self.batch_path(b)}/{COMMIT_MARKER}") or "{}")
-            vs = self.versions_in(b)
-            if marker.get("last_version") is not None:
-                # an empty page holds a version without a directory
-                vs = vs + [int(marker["last_version"])]
-            if vs:
-                return max(vs)
+        """Latest visible version, None when the table does not exist.
+
+        Versions grow with batches: batches are looked at newest first, and
+        the first one with a visible version ends the search."""
+        for b in reversed(self._batches()):
+            last = self.last_visible(b)
+            if last is not None:
+                return last
         return None
 
+    def last_visible(self, batch: int) -> int | None:
+        """Newest visible version of a batch: the highest of its pointer files.
+
+        A pointer ``_visible/<version>`` makes all of the batch's versions up
+        to it visible; versions above it (written by the same job, but not
+        reached before a crash) are never read."""
+        vs = [int(n) for n in fs.list_files(self.spark, f"{self.batch_path(batch)}/{VISIBLE}") if n.isdigit()]
+        return max(vs) if vs else None
+
     def next_batch(self) -> int:
         bs = self._batches()
         return (bs[-1] + 1) if bs else 0
@@ -105,11 +110,17 @@ class BronzeTable:
     # ------------------------------------------------------------- read
     def read(self) -> DataFrame:
         """Full snapshot, contract columns + ``batch`` and ``commit_version``."""
-        paths = [f"{self.root}/batch={b}" for b in self.committed_batches()]
+        visible = {b: v for b in self._batches() if (v := self.last_visible(b)) is not None}
+        paths = [f"{self.root}/batch={b}" for b in visible]
         if not paths:
             schema = BRONZE_ORDERS_RAW.schema().add("batch", T.IntegerType()).add("commit_version", T.LongType())
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(*paths)
+        rows = self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(*paths)
+        # versions a crash left above the pointer; a batch that was reached whole needs no condition
+        for b, last in visible.items():
+            if any(v > last for v in self.versions_in(b)):
+                rows = rows.where(~((F.col("batch") == b) & (F.col("commit_version") > last)))
+        return rows
 
     def read_since(self, version: int) -> DataFrame:
         """V7 for Bronze: rows committed after ``version`` (partition-pruned)."""
@@ -141,20 +152,20 @@ class BronzeTable:
     def commit_log(self) -> DataFrame:
         """S8 without scanning data: one row per commit of committed batches
         written by the ingest (batches written by plain ``append`` have none)."""
-        paths = [
-            f"{self.batch_path(b)}/_pages"
-            for b in self.committed_batches()
-            if fs.exists(self.spark, f"{self.batch_path(b)}/_pages")
+        logs = [
+            self.spark.read.schema(PAGE_LOG_SCHEMA).parquet(f"{self.batch_path(b)}/_pages").where(F.col("commit_version") <= last)
+            for b in self._batches()
+            if (last := self.last_visible(b)) is not None and fs.exists(self.spark, f"{self.batch_path(b)}/_pages")
         ]
-        if not paths:
+        if not logs:
             return self.spark.createDataFrame([], PAGE_LOG_SCHEMA)
-        return self.spark.read.schema(PAGE_LOG_SCHEMA).parquet(*paths)
+        return reduce(DataFrame.unionAll, logs)
 
-    def commit_batch(self, batch: int, last_version: int | None = None) -> None:
-        """S3, second half: make the batch visible.  The marker records the
-        batch's last version, so ``version()`` needs no Spark job."""
-        doc = {} if last_version is None else {"last_version": int(last_version)}
-        fs.write_text_atomic(self.spark, f"{self.batch_path(batch)}/{COMMIT_MARKER}", json.dumps(doc))
+    def commit_batch(self, batch: int, last_version: int) -> None:
+        """S3, second half: make the batch visible up to a version (no Spark job).
+
+        Called again with a later version it moves the pointer on."""
+        fs.write_text_atomic(self.spark, f"{self.batch_path(batch)}/{VISIBLE}/{int(last_version)}", "")
 
     def rows_per_version(self, batch: int) -> dict[int, int]:
         """Row count per commit version of one batch (Parquet footers; no column is read)."""
@@ -162,9 +173,17 @@ class BronzeTable:
         return {int(r.commit_version): int(r["count"]) for r in df.groupBy("commit_version").count().collect()}
 
     def append(self, rows: DataFrame) -> int:
-        """S3: write and commit in one step; returns the batch number."""
+        """S3: write and commit in one step; returns the batch number.
+
+        Its versions must lie above the table's: a version once visible never changes."""
+        current = self.version()
         batch = self.write_batch(rows)
-        self.commit_batch(batch)
+        versions = self.versions_in(batch)
+        if versions and current is not None and versions[0] <= current:
+            fs.delete(self.spark, self.batch_path(batch))
+            raise ValueError(f"version {versions[0]} is not above the table's version {current}")
+        if versions:
+            self.commit_batch(batch, versions[-1])
         return batch
 
     # --------------------------------------------------------- progress

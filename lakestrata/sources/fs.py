@@ -32,18 +32,16 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file under a temporary name, then rename it into place,
-    so a reader never sees a half-written file."""
-    jvm = spark.sparkContext._jvm
+    """Create a small file; fails if it exists.
+
+    One ``create`` and ``close``: object stores show the file only when it is
+    closed, and a reader of a half-written one finds no JSON and waits."""
     fs, target = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".tmp-{target.getName()}")
-    out = fs.create(tmp, True)
+    out = fs.create(target, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if not fs.rename(tmp, target):
-        raise IOError(f"could not publish {path}")
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -1,9 +1,13 @@
 """I1-I4 as Structured Streaming: landed page files -> Bronze.
 
 ``readStream`` over the landing folder (text, one JSON record per line);
-the page number comes from the file path.  Each micro-batch runs the batch
-ingest (validate, envelope, append one commit version per page, hook,
-progress) inside ``foreachBatch``.
+the page number comes from the file path.  A micro-batch only announces
+pages: inside ``foreachBatch`` each announced page that is not complete is
+read whole from its directory and goes through the batch ingest (validate,
+envelope, append one commit version per page, hook, progress).  So it does
+not matter how a page's files fall into micro-batches.  Landing rule: a page's
+directory appears with all its files.  Records that land in a completed
+page later stop the stream with :class:`LateRecords`.
 
 Delivery is at-least-once and replay-visible, exactly like the batch path:
 if the hook raises after the append, the stream stops before the batch is
@@ -25,9 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.ingest import ingest
-from ..session import scratch_dir
+from ..plans.ingest import completed_pages, ingest
 from ..sources.bronze import BronzeTable
+from ..sources.landing import read_page_dirs
 
 PAGE_FROM_PATH = r"source_page=(\d+)"
 
@@ -44,6 +48,19 @@ def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     return raw.select(page.alias("source_page"), "value")
 
 
+class LateRecords(RuntimeError):
+    """Files arrived for a page that was already ingested."""
+
+
+def refuse_late_records(spark: SparkSession, landing: str, table: BronzeTable, run_id: str, pages: list[int]) -> None:
+    """Fail if a completed page now holds other than the records it was committed with."""
+    now = read_page_dirs(spark, landing, pages).groupBy("source_page").agg(F.count("*").alias("landed"))
+    log = table.commit_log().where(F.col("ingestion_run_id") == run_id).groupBy("source_page").agg(F.max_by("rows", "commit_version").alias("rows"))
+    late = [r.source_page for r in now.join(log, "source_page").where("landed <> rows").select("source_page").collect()]
+    if late:
+        raise LateRecords(f"run {run_id}: records landed after the ingest of pages {sorted(late)}")
+
+
 def start_bronze_stream(
     spark: SparkSession,
     landing: str,
@@ -56,26 +73,28 @@ def start_bronze_stream(
     idempotent: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
-    checkpoint = checkpoint or scratch_dir(spark, "bronze-stream-ckpt")
+    checkpoint = checkpoint or f"{table.root}/_stream/{run_id}"  # the same on a restart
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        # The micro-batch is bounded by maxFilesPerTrigger; persisting it lets
-        # the page list and the write share one read of the landed files.
-        batch = batch.persist()
-        try:
-            page_list = [r.source_page for r in batch.select("source_page").distinct().collect()]
+        # The micro-batch only announces pages (at most maxFilesPerTrigger); each is read whole from its directory.
+        session = batch.sparkSession
+        pages = sorted(r.source_page for r in batch.select("source_page").distinct().collect())
+        if not pages:
+            return
+        done = completed_pages(table, run_id, idempotent)
+        if again := [p for p in pages if p in done]:
+            refuse_late_records(session, landing, table, run_id, again)
+        if pending := [p for p in pages if p not in done]:
             ingest(
-                batch.sparkSession,
-                batch,
+                session,
+                read_page_dirs(session, landing, pending),
                 table,
                 run_id,
                 after_commit=after_commit,
                 max_pages_per_batch=max_pages_per_batch,
-                pages=page_list,
+                pages=pending,
                 idempotent=idempotent,
             )
-        finally:
-            batch.unpersist()
 
     writer = landing_stream(spark, landing, max_files_per_trigger).writeStream.foreachBatch(each_batch).option(
         "checkpointLocation", checkpoint

@@ -106,3 +106,12 @@ def test_page_ranges_compact_gaps(spark):
     )
     got = {r.ingestion_run_id: (r.pages, r.page_count) for r in page_ranges(df, ["ingestion_run_id"]).collect()}
     assert got == {"r1": ("1-3,5,7-8", 6), "r2": ("4", 1)}
+
+
+def test_iso_timestamp_needs_a_whole_date(spark):
+    bad = ["10:00", "T10:00:00", "2026", "2026-09", "2026-09-01 10:00:00 Europe/Copenhagen", "", "now"]
+    good = ["2026-09-01T10:00:00Z", "2026-09-01T12:00:00+02:00", "2026-09-01 10:00:00", "2026-09-01T10:00"]
+    df = spark.createDataFrame([(x,) for x in bad + good], "v string").select("v", iso_timestamp("v").alias("t"))
+    got = {r.v: r.t for r in df.collect()}
+    assert all(got[x] is None for x in bad)
+    assert len({got[x] for x in good}) == 1 and None not in {got[x] for x in good}

@@ -45,6 +45,9 @@ def test_refresh_order_skip_and_failed_check(spark, workdir):
     assert dr == {"2026-09-01": Decimal("10.00"), "2026-09-02": Decimal("0.00"), "2026-09-03": Decimal("0.00")}
 
     assert [o.decision for o in R.refresh_gold(spark, t, as_of="2026-09-03")] == ["skip"] * 3
+    # a later day changes the summary though no table moved
+    assert [o.decision for o in R.refresh_gold(spark, t, as_of="2027-06-10")] == ["skip", "skip", "refresh"]
+    assert [o.decision for o in R.refresh_gold(spark, t, as_of="2026-09-03")] == ["skip", "skip", "refresh"]
 
     # a refund day makes revenue negative: daily_revenue must not publish
     t["silver.orders"].publish(

@@ -70,3 +70,9 @@ def test_chained_run_reports_silver_contract_violation(spark, workdir, run_id):
     assert m["pages_appended"] == [1, 2] and m["version_after"] == 1
     assert table.is_complete(run_id, 1) and table.version_for(run_id, 2) == 1
     assert not table.is_complete("RUN-OTHER", 1)
+
+
+def test_gate_keeps_tables_apart(spark):
+    rows = [("a", "r1", "ok", 50, 1), ("b", "r2", "ok", 3, 2), ("a", "r3", "ok", 50, 3), ("b", "r4", "ok", 4, 4)]
+    df = spark.createDataFrame(rows, "table_uri string, run_id string, status string, version_after long, finished_at int")
+    assert {r.run_id: r.gated for r in RUNS.gate(df).collect()} == {"r1": True, "r2": True, "r3": False, "r4": True}

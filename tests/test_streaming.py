@@ -71,3 +71,26 @@ def test_stream_stops_on_invalid_page(spark, workdir, run_id):
         run_to_completion(start_bronze_stream(spark, landing, table, run_id, checkpoint=ckpt, max_files_per_trigger=1))
     assert "missing event_id" in str(err.value)
     assert sorted(r.source_page for r in table.read().select("source_page").distinct().collect()) == [1]
+
+
+@pytest.mark.parametrize("per_trigger", [1, 2, 100])
+def test_pages_of_several_files_are_whole_in_bronze(spark, workdir, run_id, per_trigger):
+    landing = f"{workdir}/landing"
+    records = source_records(spark, pages=2, page_size=30, start_page=1)
+    for k in range(3):  # three files a page
+        write_pages(records.where(F.abs(F.hash("value")) % 3 == k).coalesce(1), landing)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    run_to_completion(start_bronze_stream(spark, landing, table, run_id, max_files_per_trigger=per_trigger))
+    assert table.read().count() == 60
+    assert table.version() == 1
+
+
+def test_late_file_of_a_completed_page_stops_the_stream(spark, workdir, run_id):
+    landing = f"{workdir}/landing"
+    _land_one_file_per_page(spark, landing, pages=1, page_size=5, start_page=1)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    run_to_completion(start_bronze_stream(spark, landing, table, run_id))
+    _land_one_file_per_page(spark, landing, pages=1, page_size=2, start_page=1)
+    with pytest.raises(Exception, match="landed after the ingest"):
+        run_to_completion(start_bronze_stream(spark, landing, table, run_id))
+    assert table.read().count() == 5
