@@ -143,7 +143,7 @@ def test_topk_search(spark):
 def test_importance_resample(spark, empty):
     r = random.Random(2)
     rows, labels = [], []
-    for i in range(600):
+    for i in range(4000):  # the smoothing wants some dozens of documents per feature
         words = [r.choice(brute.WORDS) for _ in range(r.randint(20, 80))]
         kind = i % 10
         if kind == 0:
@@ -153,11 +153,11 @@ def test_importance_resample(spark, empty):
         rows.append((i, " ".join(words)))
         if i % 3 == 0:
             labels.append((i, int(kind != 0), int(kind == 1)))
-    rows += [(1000, None), (1001, "")]
+    rows += [(10_000, None), (10_001, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     kept = {x.doc_id for x in importance_resample(docs, marks).collect()}
-    assert kept == {i for i, _ in rows if i >= 1000 or i % 10 > 1}  # unlabelled ones too
+    assert kept == {i for i, _ in rows if i >= 10_000 or i % 10 > 1}  # unlabelled ones too
     assert importance_resample(docs, marks.where("false")).count() == len(rows)
     assert importance_resample(empty, marks).count() == 0
     scores = spark.createDataFrame([(float(x),) for x in [5, 1, 3, 3, 9, -2]], "s double")
