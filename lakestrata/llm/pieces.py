@@ -8,10 +8,11 @@ distinct piece once with the tokenizers library and joins the results.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 # Unicode white space as the tokenizers' patterns read \s (fixed values)
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -19,6 +20,10 @@ _split = re.compile(f"[{SPACES}]+").split
 _odd_space = re.compile(f" (?=[{SPACES}]|$)").search
 _chunks = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+").findall
 _controls = re.compile("[\x1c-\x1f]").search
+# letters, and ASCII signs and digits that never stand in one token with them; an apostrophe may ('s)
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_runs = re.compile(f" ?[{LETTERS}]+| ?[!-&(-@\\[-`{{-~]+|\n").findall
+_word = re.compile(f" ?[{LETTERS}]+").fullmatch
 
 
 @lru_cache(maxsize=4)
@@ -71,3 +76,66 @@ def space_led(text: str) -> list[str]:
     first, *rest = text.split(" ")
     out = [" " + p for p in rest]
     return [first, *out] if first else out
+
+
+@lru_cache(maxsize=4)
+def byte_level_split(path: str) -> Callable[[str], list[str]]:
+    """space_led between the special strings of the vocabulary, which end a text as its end does."""
+    special = sorted((t.content for t in tokenizer(path).get_added_tokens_decoder().values()), key=len, reverse=True)
+    if not special:
+        return space_led
+    cut = re.compile(f"({'|'.join(map(re.escape, special))})").split
+
+    def split(text):
+        parts = cut(text)
+        return space_led(text) if len(parts) == 1 else [p for s in parts for p in space_led(s)]
+
+    return split
+
+
+def runs(piece: str) -> list[str]:
+    """Parts of a space-led piece that the byte-level pattern never joins, or the piece itself.
+
+    Doubled line ends (one token) and what may be a special string stay whole."""
+    parts = _runs(piece)
+    if sum(map(len, parts)) != len(piece) or "\n\n" in piece or "<|" in piece:
+        return [piece]
+    return parts
+
+
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte: itself if it prints, else the next one from U+0100."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b != 173]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+@lru_cache(maxsize=4)
+def byte_level_memo(path: str) -> Memo:
+    """space-led piece -> its ids as little-endian unsigned 32-bit integers.
+
+    One memo per Python worker, which its later tasks go on using.  A word
+    is one run of letters, hence one token of the pattern, and goes straight
+    to the vocabulary's model; all else is encoded whole."""
+    tok = tokenizer(path)
+    model, chars = tok.model, _byte_chars()
+    by_model = isinstance(model, models.BPE) and tok.normalizer is None and isinstance(tok.pre_tokenizer, pre_tokenizers.ByteLevel)
+
+    def ids(words):
+        other = [w for w in words if not (by_model and _word(w))]
+        encoded = {w: e.ids for w, e in zip(other, tok.encode_batch_fast(other, add_special_tokens=False), strict=True)}
+        for w in words:
+            x = encoded.get(w)
+            if x is None:
+                x = [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(chars))]
+            yield array("I", x).tobytes()
+
+    words = Memo(ids, 400_000)
+
+    def make(pieces):
+        split = [runs(p) for p in pieces] if by_model else [[p] for p in pieces]
+        of = words.of(w for s in split for w in s)
+        for s in split:
+            yield of[s[0]] if len(s) == 1 else b"".join([of[w] for w in s])
+
+    return Memo(make)

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import Memo, space_led, tokenizer
+from .pieces import byte_level_memo, byte_level_split, tokenizer
 from .shared import columns, ship, stored
 
 MAGIC = b"LSTOKID1"
@@ -49,26 +49,16 @@ DICTIONARY_DOCS = 2000
 DICTIONARY_IDS = 4096
 
 
-def _memo(path: str) -> Memo:
-    tok = tokenizer(path)
-
-    def make(pieces):
-        for e in tok.encode_batch_fast(pieces, add_special_tokens=False):
-            yield np.array(e.ids, dtype="<u4").tobytes()
-
-    return Memo(make)
-
-
 def _encoded(batches, path: str, end_id: int, slice_chars: int = 1 << 20):
     """(doc_id, ids with the end id) of every row."""
-    memo, end = _memo(path), np.array([end_id], dtype="<u4").tobytes()
+    memo, cut, end = byte_level_memo(path), byte_level_split(path), np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         ids, texts, i = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), 0
         while i < len(texts):
             j, chars, split = i, 0, []
             while j < len(texts) and (j == i or chars + len(texts[j] or "") <= slice_chars):
                 chars += len(texts[j] or "")
-                split.append(space_led(texts[j] or ""))
+                split.append(cut(texts[j] or ""))
                 j += 1
             get = memo.of(p for s in split for p in s).__getitem__
             for doc_id, s in zip(ids[i:j], split, strict=True):

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
+from lakestrata.llm import pieces  # noqa: E402
 from lakestrata.llm.bpe import bpe_encode_decode, encode_long  # noqa: E402
 from lakestrata.llm.decontaminate import find_leaks  # noqa: E402
 from lakestrata.llm.importance import importance_resample, kth_largest  # noqa: E402
@@ -248,3 +249,14 @@ def test_drop_repeats(spark, hot):
 def test_hashes_are_of_whole_texts(docs):
     ids = bpe_encode_decode(docs, WORD_BPE).where("doc_id = 0").select(F.sha2("ids", 256).alias("h"), "ids").first()
     assert ids.h == hashlib.sha256(bytes(ids.ids)).hexdigest()
+
+
+def test_byte_level_pieces_keep_the_pattern():
+    tok, memo, rng = pieces.tokenizer(BYTE_BPE), pieces.byte_level_memo(BYTE_BPE), random.Random(5)
+    atoms = ["a", "Word", "é", "ß", "Ω", "²", "7", "'", "'s", ".", ",", "!", "\n", " ", "\t", "\xa0", "<|endoftext|>", "_", "字", "x\u0301", "\x1c"]
+    for _ in range(4000):
+        text = "".join(rng.choices(atoms, k=rng.randint(0, 9)))
+        parts = pieces.byte_level_split(BYTE_BPE)(text)
+        of = memo.of(parts)
+        got = np.frombuffer(b"".join(of[p] for p in parts), "<u4").tolist()
+        assert got == tok.encode(text, add_special_tokens=False).ids, repr(text)
