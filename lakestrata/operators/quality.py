@@ -136,17 +136,26 @@ def classify(expected: DataFrame, observed: DataFrame) -> DataFrame:
     )
 
 
+def breaking_columns(classification: DataFrame) -> DataFrame:
+    """Q2: one row (table_name, change, column_name) per column that breaks its contract.
+
+    ``column_name`` of a retyped column carries both types, as in :func:`classify`;
+    a comma within brackets is part of a decimal type."""
+    changes = F.array(
+        *(F.struct(F.lit(c).alias("change"), F.col(c).alias("names")) for c in ("loosened", "removed", "retyped"))
+    )
+    return (
+        classification.select("table_name", F.inline(changes))
+        .where(F.col("names") != "")
+        .select("table_name", "change", F.explode(F.split("names", r",(?![^(]*\))")).alias("column_name"))
+    )
+
+
 def raise_if_breaking(classification: DataFrame) -> None:
-    """Q2: raise naming the contract and the offending columns (one row per table reaches the driver)."""
-    for r in classification.where(F.col("kind") == "breaking").orderBy("table_name").collect():
-        parts = []
-        if r.removed:
-            parts.append(f"removed columns ({r.removed})")
-        if r.retyped:
-            parts.append(f"retyped columns ({r.retyped})")
-        if r.loosened:
-            parts.append(f"columns no longer guaranteed non-null ({r.loosened})")
-        raise SchemaContractViolation(f"breaking schema change against contract '{r.table_name}': {'; '.join(parts)}")
+    """Q2: raise with every offending column (metadata rows, at most one per contract column and change)."""
+    found = breaking_columns(classification).orderBy("table_name", "change", "column_name").collect()
+    if found:
+        raise SchemaContractViolation(", ".join(f"{r.table_name}.{r.column_name} {r.change}" for r in found))
 
 
 def check_schema(spark: SparkSession, contract: TableContract, df: DataFrame, nullability: str = "schema") -> DataFrame:

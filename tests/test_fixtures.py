@@ -9,7 +9,8 @@ from lakestrata.operators import gold
 from lakestrata.operators.silver import silver_customers, silver_orders
 from lakestrata.plans.ingest import ingest
 from lakestrata.sources.bronze import BronzeTable
-from lakestrata.sources.landing import read_pages, source_records, write_pages
+from lakestrata.sources.landing import read_pages, write_pages
+from tools.source_fixture import source_records
 
 
 @pytest.fixture(scope="module")

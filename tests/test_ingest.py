@@ -7,7 +7,8 @@ from lakestrata.operators.history import commit_history
 from lakestrata.operators.silver import silver_orders
 from lakestrata.plans.ingest import CheckpointWriteInterrupted, IngestError, SourcePayloadError, ingest
 from lakestrata.sources.bronze import BronzeTable
-from lakestrata.sources.landing import read_pages, source_records, write_pages
+from lakestrata.sources.landing import read_pages, write_pages
+from tools.source_fixture import source_records
 
 
 def crash_on(page_to_kill):

@@ -11,7 +11,8 @@ from lakestrata.operators.silver import silver_orders
 from lakestrata.plans.ingest import ingest
 from lakestrata.sources import adapters as A
 from lakestrata.sources.bronze import BronzeTable
-from lakestrata.sources.landing import read_pages, source_records, write_pages
+from lakestrata.sources.landing import read_pages, write_pages
+from tools.source_fixture import source_records
 
 from conftest import SF001
 

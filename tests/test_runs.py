@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from lakestrata.plans import runs as RUNS
 from lakestrata.plans.ingest import CheckpointWriteInterrupted
 from lakestrata.sources.bronze import BronzeTable
-from lakestrata.sources.landing import read_pages, source_records, write_pages
+from lakestrata.sources.landing import read_pages, write_pages
+from tools.source_fixture import source_records
 
 
 def test_image_pin_rule(spark):

@@ -7,7 +7,8 @@ from lakestrata.contracts import ConstraintViolation, SchemaContractViolation
 from lakestrata.plans.ingest import ingest
 from lakestrata.plans.silver import prepare_customers, prepare_orders
 from lakestrata.sources.bronze import BronzeTable
-from lakestrata.sources.landing import read_pages, source_records, write_pages
+from lakestrata.sources.landing import read_pages, write_pages
+from tools.source_fixture import source_records
 from lakestrata.sources.tables import VersionedTable
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from lakestrata.operators.silver import silver_orders
 from lakestrata.plans.ingest import CheckpointWriteInterrupted
 from lakestrata.sources.bronze import BronzeTable
-from lakestrata.sources.landing import source_records, write_pages
+from lakestrata.sources.landing import write_pages
+from tools.source_fixture import source_records
 from lakestrata.streaming.bronze_stream import run_to_completion, start_bronze_stream
 
 
