@@ -3,7 +3,7 @@
 Q1 classify            expected vs observed column metadata of many tables
                        at once: full outer join on (table, column), flags,
                        then one row per table with its severity
-Q2 raise_if_breaking   driver-side raise from the (one row per table) result
+Q2 breaking_columns, raise_if_breaking   offending columns as rows; raise from them
 Q4 null_counts         one pass, count_if(col IS NULL) for every column
 Q5 constraint_violations  rows failing a CHECK (NULL passes, as in SQL CHECK)
 Q6 grain_violations    keys of a declared grain that occur more than once
