@@ -9,6 +9,12 @@ slots are consistent: each value the item has in a slot kind stands for one
 value of the document, and the other way round.  Windows of nearly nothing
 but placeholders are not used.
 
+A document may hold several copies of an item, each with values of its own.
+The met windows of one copy stand at one distance from the item's, or at near
+ones where words were put in or left out.  Slots and share are therefore
+judged three ways: over the windows of each distance, of each band of near
+distances, and over all of the pair.  One way that holds makes the pair a leak.
+
 The document side is thinned by a fixed-size bit filter of the benchmark's
 window hashes before the join; the join itself is exact on the hash.
 
@@ -22,10 +28,13 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -161,6 +170,13 @@ def _windows(lengths: list[int], whole_below: int, filt):
     return run
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """left with the other columns of right; null keys are equal."""
+    right = right.select(*(F.col(c).alias("right " + c if c in keys else c) for c in right.columns))
+    same = [left[c].eqNullSafe(right["right " + c]) for c in keys]
+    return left.join(right, reduce(and_, same), how).drop(*("right " + c for c in keys))
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -191,29 +207,36 @@ def find_leaks(
         F.col("id").alias("doc_id"), "h", "place", "filled"
     )
     met = stored(d.join(b, "h"), "op8-met")
+    # the windows of one copy: of one distance, of a band of near distances, or all of the pair
+    pair = ["doc_id", "item_id"]
+    met = met.withColumn("shift", F.col("place") - F.col("item_place"))
+    by_shift = Window.partitionBy(*pair).orderBy("shift")
+    bands = met.select(*pair, "shift").distinct().withColumn("apart", F.col("shift") - F.lag("shift").over(by_shift) > window)
+    bands = bands.select(*pair, "shift", F.count(F.when(F.col("apart"), 1)).over(by_shift).alias("band"))
+    met = _joined(met, bands, [*pair, "shift"]).withColumn("copy", F.explode(F.expr("array('s' || shift, 'b' || band, 'all')")))
+    copy = [*pair, "copy"]
     # consistent slots: one document value for an item's value of a kind, and the other way round
-    pair = met.where("size(filled) > 0").select(
-        "doc_id", "item_id", F.explode(F.arrays_zip("kinds", "item_filled", "filled")).alias("s")
-    ).select("doc_id", "item_id", F.col("s.kinds").alias("kind"), F.col("s.item_filled").alias("x"), F.col("s.filled").alias("y"))
-    pair = pair.distinct()
+    slots = met.where("size(filled) > 0").select(*copy, F.explode(F.arrays_zip("kinds", "item_filled", "filled")).alias("s")).select(
+        *copy, F.col("s.kinds").alias("kind"), F.col("s.item_filled").alias("x"), F.col("s.filled").alias("y")
+    )
+    slots = slots.distinct()
     twice = (
-        pair.groupBy("doc_id", "item_id", "kind", "x").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "item_id")
-        .unionAll(pair.groupBy("doc_id", "item_id", "kind", "y").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "item_id"))
+        slots.groupBy(*copy, "kind", "x").agg(F.count("*").alias("n")).where("n > 1").select(*copy)
+        .unionAll(slots.groupBy(*copy, "kind", "y").agg(F.count("*").alias("n")).where("n > 1").select(*copy))
         .distinct().withColumn("clash", F.lit(True))
     )
-    leaks = (
-        met.groupBy("doc_id", "item_id", "h").agg(F.max(F.expr("filled = item_filled")).alias("same"))
-        .groupBy("doc_id", "item_id").agg(
+    copies = (
+        met.groupBy(*copy, "h").agg(F.max(F.expr("filled = item_filled")).alias("same"))
+        .groupBy(*copy).agg(
             F.count("*").alias("n_windows"), F.count(F.when(F.col("same"), 1)).alias("n_same"), F.min("same").alias("exact")
         )
     )
-    keys = lambda x, y: x["doc_id"].eqNullSafe(y["doc_id"]) & x["item_id"].eqNullSafe(y["item_id"])
-    out = leaks.alias("l").join(twice.alias("t"), keys(leaks, twice), "left").select("l.*", "t.clash")
-    out = out.alias("l").join(totals.alias("i"), F.expr("l.item_id <=> i.item_id")).select("l.*", "i.item_windows")
+    copies = _joined(copies, twice, copy, "left")
     # windows that agree word for word need no slot check
     used = F.when(F.col("clash").isNull(), F.col("n_windows")).otherwise(F.col("n_same"))
+    leaks = copies.groupBy(*pair).agg(F.max(used).alias("n_windows"), F.max(F.when(F.col("copy") == "all", F.col("exact"))).alias("exact"))
     return (
-        out.withColumn("n_windows", used).withColumn("share", F.col("n_windows") / F.col("item_windows"))
+        _joined(leaks, totals, ["item_id"]).withColumn("share", F.col("n_windows") / F.col("item_windows"))
         .where((F.col("n_windows") > 0) & (F.col("share") >= least_share))
         .select("doc_id", "item_id", "n_windows", "item_windows", "share", "exact")
     )

@@ -202,6 +202,19 @@ def test_decontaminate(spark, empty):
     assert find_leaks(empty, items).count() == 0 and find_leaks(docs, items.where("false")).count() == 0
 
 
+def test_decontaminate_copies_with_their_own_values(spark):
+    q = "Then 24 rolls go to Anna each day while 18 cakes go with Otto by cart and 7 pies stay for Emma as gifts at noon"
+    other = lambda *v: q.replace("24", v[0]).replace("18", v[1]).replace("Anna", v[2]).replace("7", v[3])
+    first, second = other("37", "99", "Berta", "5"), other("55", "61", "Clara", "8")
+    pad = " some filler words that stand between the one and the next passage of it. "
+    twin = "then 3 red hens lay eggs for the old farmer by the mill and so 4 red hens lay eggs for the old farmer by the mill"
+    items = spark.createDataFrame([(1, q), (2, twin)], "item_id long, text string")
+    edited = [x.replace("go with", "go along with") for x in (first, second)]
+    texts = [first + pad + second, edited[0] + pad + edited[1], first + pad * 50 + " ".join(second.split()[4:17]), pad + twin.replace("3", "8").replace("4", "9")]
+    got = {(r.doc_id, r.item_id): r.exact for r in find_leaks(_docs(spark, texts), items, least_share=0.2).collect()}
+    assert got == {(0, 1): False, (1, 1): False, (2, 1): False, (3, 2): False}
+
+
 def test_warc(spark, tmp_path):
     html = '<html lang="en"><head><title>A &amp; B</title><script>x</p></script></head><body><p>One<br>two <b>three</b></p><a href="/u">l</a><!-- c --></body>'
     assert plain_text(html) == "One\ntwo three\nl" and plain_text("<script>open") == "" and plain_text("1 < 2") == "1 < 2"
