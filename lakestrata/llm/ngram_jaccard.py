@@ -181,16 +181,27 @@ def _similar(num: int, den: int):
     return run
 
 
+def _dealt(pairs: DataFrame, cell_pairs: int) -> DataFrame:
+    """Pairs (a, b) with the cell they are verified in.
+
+    Cells are dealt by a.  An a with more than ``cell_pairs`` pairs has cells
+    of its own, as many as hold about ``cell_pairs`` of them, dealt by b."""
+    cells = max(16, pairs.count() // cell_pairs)
+    many = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > cell_pairs)
+    many = many.select(F.col("a").alias("many a"), F.ceil(F.col("n") / cell_pairs).alias("own"))
+    cell = f"if(own is null, pmod(xxhash64(a), {cells}), xxhash64(a, pmod(xxhash64(b), own)))"
+    return pairs.join(many, pairs["a"] == many["many a"], "left").select("a", "b", F.expr(cell).alias("cell"))
+
+
 def _verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, name: str) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold.
 
-    Pairs are dealt to cells by a, and a set goes to a cell once, however many
-    of the cell's pairs hold it.  There are enough cells for a cell to hold
-    some thousand sets."""
+    A set goes to a cell once, however many of the cell's pairs hold it.  A
+    cell holds some thousand sets, however many pairs one set is in: only that
+    set itself is repeated in each of its cells."""
     spark = docs.sparkSession
     pairs = stored(pairs.select("a", "b"), f"{name}-pairs")
-    cells = max(16, pairs.count() // CELL_PAIRS)
-    pairs = pairs.withColumn("cell", F.expr(f"pmod(xxhash64(a), {cells})"))
+    pairs = stored(_dealt(pairs, CELL_PAIRS), f"{name}-dealt")
     nodes = pairs.select("cell", F.explode(F.array("a", "b")).alias("k")).distinct().selectExpr("cell + 0 as cell", "k")
     wanted = spark.sparkContext.broadcast(bit_filter(nodes, "k"))
     sets = docs.select("text").mapInArrow(_wanted_sets(n, wanted), "set_key long, tokens binary")

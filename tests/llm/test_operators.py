@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
-from lakestrata.llm import pieces  # noqa: E402
+from lakestrata.llm import ngram_jaccard, pieces  # noqa: E402
 from lakestrata.llm.bpe import bpe_encode_decode, encode_long  # noqa: E402
 from lakestrata.llm.decontaminate import find_leaks  # noqa: E402
 from lakestrata.llm.importance import importance_resample, kth_largest  # noqa: E402
@@ -74,6 +74,32 @@ def test_jaccard_empty_table_and_one_of_each(spark, docs, empty):
     assert sorted(one_of_each(twice).collect(), key=str) == sorted([(1, "a b c d e f"), (None, "q")], key=str)
 
 
+def test_jaccard_cells_of_one_large_family(spark, monkeypatch):
+    r = random.Random(9)
+    base = [str(r.random()) for _ in range(60)]
+    texts = []
+    for _ in range(300):  # distinct sets, one least set for nearly all
+        w = list(base)
+        w[r.randrange(50, 60)] = str(r.random())
+        texts.append(" ".join(w))
+    sizes = spark.sparkContext.accumulator(0)
+    similar = ngram_jaccard._similar
+
+    def watched(num, den):
+        def run(sets, pairs):
+            if sets.num_rows > 60:
+                sizes.add(1)
+            return similar(num, den)(sets, pairs)
+
+        return run
+
+    monkeypatch.setattr(ngram_jaccard, "_similar", watched)
+    monkeypatch.setattr(ngram_jaccard, "CELL_PAIRS", 20)
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_join(_docs(spark, texts)).collect()}
+    assert [got[i] for i in range(300)] == [c for _, c in brute.jaccard_components(texts)]
+    assert sizes.value == 0
+
+
 def test_bpe_tree_concatenation_is_exact():
     tok, r = Tokenizer.from_file(WORD_BPE), random.Random(5)
     for _ in range(120):
