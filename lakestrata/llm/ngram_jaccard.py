@@ -83,7 +83,11 @@ def _members(n: int, num: int, den: int):
 
 
 def _index(n: int, num: int, den: int, todo, common):
-    """Index entries of each distinct set: (token, set_key, size << 1 | whether a combination)."""
+    """Index entries of each distinct set: (token, set_key, meta).
+
+    ``meta`` is flagged << 32 | size << 1 | whether a combination; flagged
+    counts the tokens up to the set's last cut that the filter ``common``
+    keeps from the single entries, rightly or not."""
     todo_v = todo.value if todo is not None else None
     common_v = common.value if common is not None else None
 
@@ -112,18 +116,21 @@ def _index(n: int, num: int, den: int, todo, common):
                     else:
                         f = flag[b[r] : b[r + 1]]
                         q = min(size, p + 1)
+                        cut = int(np.searchsorted(CUTS, h[p - 1], "right"))
+                        flagged = int(f[: np.searchsorted(h, CUTS[cut - 1], "right")].sum()) if cut else 0
+                        about = (flagged << 32) + (size << 1)
                         rare = h[~f][:q]
                         toks.append(rare)
                         lens.append(len(rare))
                         rows.append(r)
-                        meta.append(np.full(len(rare), size << 1))
+                        meta.append(np.full(len(rare), about))
                         hot = h[f][: q - len(rare)]
                         x, y = np.triu_indices(len(hot), 1)
                         toks.append(K.mix(hot[x] * U64(K._LANES[20]) + hot[y] * U64(K._LANES[21])))
                     lens.append(len(toks[-1]))
                     rows.append(r)
                     if flag is not None:
-                        meta.append(np.full(len(toks[-1]), (size << 1) + 1))
+                        meta.append(np.full(len(toks[-1]), about + 1))
                 if not toks:
                     continue
                 yield pa.RecordBatch.from_arrays(
@@ -211,36 +218,37 @@ def _verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, name:
 
 
 def _candidates(
-    rare: DataFrame, often: DataFrame, held: DataFrame, stats: DataFrame, num: int, den: int, extended: int
+    rare: DataFrame, often: DataFrame, stats: DataFrame, num: int, den: int, extended: int
 ) -> DataFrame:
     """Pairs of sets of different components that share entries, as far as the whole sets may reach the threshold.
 
     Up to a hash value X inside both round-0 prefixes, two sets share only
-    what their entries show, but for tokens that were found frequent in any
-    round (``held``); beyond X at most the smaller number of tokens left.
+    what their single entries show, but for tokens found frequent in this round
+    (``often``) and those that the filter flagged, whether frequent or mere
+    collisions: of these at most the smaller number that a set has up to its
+    own last cut.  Beyond X at most the smaller number of tokens left.
     Likewise, the prefixes of this round share what the entries show, frequent
     tokens by their number of common combinations, but for those found
     frequent in this round (``often``), and at most the rest of a set besides."""
-    left, right = (rare.selectExpr("token", "combo as combo_" + x, "set_key as " + x, "comp as c" + x, "n as n" + x) for x in "ab")
+    left, right = (rare.selectExpr("token", "combo as combo_" + x, "set_key as " + x, "comp as c" + x, "n as n" + x, "flagged as f" + x) for x in "ab")
     pairs = (
         left.join(right, "token")
         .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb)")
         .groupBy("a", "b")
         .agg(
             F.count(F.when(~F.col("combo_a"), 1)).alias("c"), F.count(F.when(F.col("combo_a"), 1)).alias("cc"),
-            F.max("na").alias("na"), F.max("nb").alias("nb"),
+            F.max("na").alias("na"), F.max("nb").alias("nb"), F.max("fa").alias("fa"), F.max("fb").alias("fb"),
         )
     )
     for x in "ab":
         pairs = pairs.join(stats.selectExpr("set_key as " + x, "cut as cut_" + x, "ranks as ranks_" + x), x)
-        for name, df in (("f", held), ("g", often)):
-            pairs = pairs.join(df.groupBy("set_key").agg(F.count("*").alias(name + x)).withColumnRenamed("set_key", x), x, "left")
+        pairs = pairs.join(often.groupBy("set_key").agg(F.count("*").alias("g" + x)).withColumnRenamed("set_key", x), x, "left")
     at = "least(cut_a, cut_b)"
     by_rank = f"if({at} = 0, least(na, nb), least(na - element_at(ranks_a, {at}), nb - element_at(ranks_b, {at})))"
     hot = f"if(cc > 0, ceil((1 + sqrt(1 + 8 * cc)) / 2), {extended})"
     by_prefix = f"{hot} + ceil({num} * greatest(na, nb) / {den}) - {1 + extended}"
     return pairs.where(
-        f"c + least(least(coalesce(fa, 0), coalesce(fb, 0)) + {by_rank}, least(coalesce(ga, 0), coalesce(gb, 0)) + {by_prefix})"
+        f"c + least(coalesce(ga, 0), coalesce(gb, 0)) + least(least(fa, fb) + {by_rank}, {by_prefix})"
         f" >= ceil({num} * (na + nb) / {num + den})"
     )
 
@@ -269,7 +277,7 @@ def ngram_jaccard_join(
     )
 
     stats = members.where("n_shingles > 0").dropDuplicates(["set_key"]).select("set_key", "cut", "ranks")
-    todo, common, frequent, held = None, None, None, None
+    todo, common, frequent = None, None, None
     for level in range(max_rounds):
         rows = docs.select("text").mapInArrow(_index(n, num, den, todo, common), "token long, set_key long, meta long")
         # one shuffle by token; entries that only one set has end here
@@ -277,7 +285,7 @@ def ngram_jaccard_join(
             "*", "min(set_key) over (partition by token) as lo", "max(set_key) over (partition by token) as hi"
         )
         entries = span.where("lo < hi").drop("hi").distinct().selectExpr(
-            "token", "set_key", "lo", "meta >> 1 as n", "(meta & 1) = 1 as combo"
+            "token", "set_key", "lo", "(meta & 4294967295) >> 1 as n", "(meta & 1) = 1 as combo", "meta >> 32 as flagged"
         )
         entries = stored(entries, "op1-entries")
 
@@ -294,7 +302,7 @@ def ngram_jaccard_join(
         # the rest: entries that different components share
         comp = components(links, "op1-cc")
         e = entries.drop("lo").join(comp, entries["set_key"] == comp["node"], "left").select(
-            "token", "set_key", "n", "combo", F.coalesce("comp", "set_key").alias("comp")
+            "token", "set_key", "n", "combo", "flagged", F.coalesce("comp", "set_key").alias("comp")
         )
         by_token = (
             e.groupBy("token", "comp").agg(F.lit(1).alias("x")).groupBy("token").agg(F.count("*").alias("comps")).where("comps > 1")
@@ -305,11 +313,9 @@ def ngram_jaccard_join(
         cost = often.select("token", "comps").distinct().agg(F.coalesce(F.sum(F.expr("comps * comps / 2")), F.lit(0))).first()[0]
         last = level == max_rounds - 1 or 16 * cost <= entries.count()
         often = often.where(F.lit(False)) if last else often
-        seen = often.select("set_key", "token")
-        held = stored(seen if held is None else held.unionAll(seen).distinct(), "op1-held")
         if level > 0 or last:
             rare = e if last else e.where((F.col("comps") <= rare_limit) | F.col("combo"))
-            pairs = _candidates(rare, often, held, stats, num, den, int(common is not None))
+            pairs = _candidates(rare, often, stats, num, den, int(common is not None))
             links = stored(links.unionAll(_verify(docs, pairs, n, num, den, "op1-cross")), "op1-links")
         if last:
             break

@@ -66,6 +66,22 @@ def test_jaccard_components(docs, limit):
     assert [got[i] for i in range(len(want))] == want
 
 
+def test_jaccard_with_a_full_filter_of_frequent_tokens(spark, monkeypatch):
+    # nearly every token is flagged as frequent, whether it is or not
+    monkeypatch.setattr(ngram_jaccard, "COMMON_BITS", 64)
+    r = random.Random(13)
+    # passages in ten texts each: more frequent tokens than the filter has bits
+    passages = [" ".join(f"p{i}w{j}" for j in range(10)) for i in range(150)] * 10
+    r.shuffle(passages)
+    texts = [" ".join([*passages[i : i + 5], *(str(r.random()) for _ in range(20))]) for i in range(0, 1500, 5)]
+    for _ in range(8):  # each text reaches the threshold with its neighbours alone
+        stream = [str(r.random()) for _ in range(140)]
+        texts += [" ".join(stream[i : i + 39]) for i in range(0, 100, 5)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(_docs(spark, texts), rare_limit=8).collect()}
+    want = brute.jaccard_components(texts)
+    assert [got[i] for i in range(len(want))] == want
+
+
 def test_jaccard_empty_table_and_one_of_each(spark, docs, empty):
     assert ngram_jaccard_join(empty).count() == 0
     kept = sorted(r.doc_id for r in one_of_each(docs).collect())
