@@ -15,14 +15,23 @@ ones where words were put in or left out.  Slots and share are therefore
 judged three ways: over the windows of each distance, of each band of near
 distances, and over all of the pair.  One way that holds makes the pair a leak.
 
+The first word of a sentence counts as written, so where a window begins with
+one it is also indexed as if that word were a name, whose slot is then free:
+a copy may stand inside a sentence, or begin one.
+
+Besides, every item's case-folded words are indexed as they are, in windows
+or whole if it is short, whatever share of them are placeholders.  These
+literal windows need no slot check; a pair that has ``least_share`` of them is
+a leak, and the larger of the two shares is reported.
+
 The document side is thinned by a fixed-size bit filter of the benchmark's
 window hashes before the join; the join itself is exact on the hash.
 
 A leak needs ``least_share`` of the item's windows.
 
 Defined cases: null or wordless texts and items meet nothing; items shorter
-than the window count as one window if they have at least ``least_words``
-tokens; equal items are one row per item id; null ids are kept; an empty
+than the window count as one window, as a template only if they have at least
+``LEAST_WORDS`` tokens; equal items are one row per item id; null ids are kept; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -62,6 +71,7 @@ _KIND[128:] = 1
 _END = np.zeros(256, dtype=bool)  # what ends a sentence
 _END[[10, 13, 33, 46, 58, 63]] = True
 NUMBER, NAME, UNIT = (U64(x) for x in (0xA1, 0xA2, 0xA3))
+LITERAL = U64(0x94D049BB133111EB)
 
 
 def _unit_hashes() -> np.ndarray:
@@ -73,7 +83,7 @@ _UNIT_HASHES = _unit_hashes()
 
 
 def template(low: np.ndarray, low_off: np.ndarray, raw: np.ndarray, raw_off: np.ndarray):
-    """(template hash, literal hash, row) of every token; a placeholder's two hashes differ."""
+    """(template hash, literal hash, row, whether a word that begins a sentence) of every token; a placeholder's two hashes differ."""
 
     def tokens(data, off):
         kind = _KIND[data]
@@ -95,8 +105,9 @@ def template(low: np.ndarray, low_off: np.ndarray, raw: np.ndarray, raw_off: np.
     row = np.searchsorted(low_off, s, "right") - 1
     literal = K.span_hash(K.prefix_hash(low), s, e)
     form = literal.copy()
+    begins = np.zeros(len(s), dtype=bool)
     if not len(s):
-        return form, literal, row
+        return form, literal, row, begins
     number = kind[s] == 2
     at = np.minimum(np.searchsorted(_UNIT_HASHES, literal), len(_UNIT_HASHES) - 1)
     unit = ~number & (_UNIT_HASHES[at] == literal)
@@ -113,12 +124,23 @@ def template(low: np.ndarray, low_off: np.ndarray, raw: np.ndarray, raw_off: np.
         fresh = np.ones(len(s), dtype=bool)
         fresh[1:] = (row[1:] != row[:-1]) | (ends[rs[1:]] > ends[rs[:-1]])
         name &= ~fresh & ~number
+        begins = fresh & ~number & ~unit
     form[number], form[unit], form[name & ~unit] = NUMBER, UNIT, NAME
-    return form, literal, row
+    return form, literal, row, begins
+
+
+def _window_sums(h: np.ndarray, row: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, sum) of every window of w tokens of one row; mix() of a sum is its hash."""
+    m = max(0, len(h) - w + 1)
+    acc = np.zeros(m, dtype=U64)
+    for j in range(w):
+        acc += h[j : j + m] * U64(K._LANES[j])
+    at = np.flatnonzero(row[:m] == row[w - 1 :]) if m else np.zeros(0, np.int64)
+    return at, acc[at]
 
 
 def _windows(lengths: list[int], whole_below: int, filt):
-    """Windows of template tokens: id, window hash, place, tokens, slots (place, kind, value)."""
+    """Windows of tokens: id, hash to meet by, own hash, place, tokens, whether literal, whether its first slot is free, slots (place, kind, value)."""
 
     def run(batches):
         for batch in batches:
@@ -135,35 +157,54 @@ def _windows(lengths: list[int], whole_below: int, filt):
                 low, low_off = K.text_buffers(pc.utf8_lower(part))
                 raw, raw_off = raw[raw_off[0] : raw_off[-1]], raw_off - raw_off[0]
                 low, low_off = low[low_off[0] : low_off[-1]], low_off - low_off[0]
-                form, literal, row = template(low, low_off, raw, raw_off)
+                form, literal, row, begins = template(low, low_off, raw, raw_off)
                 slot = form != literal
                 per = np.bincount(row, minlength=end - pos)
                 first = np.concatenate([[0], np.cumsum(per)])
+                filled = np.concatenate([[0], np.cumsum(slot)])
                 out = []
+
+                def wanted(h, at, w, row=row, per=per):
+                    if filt is None:  # benchmark side: an item has windows of one length
+                        return per[row[at]] == w if w < whole_below else per[row[at]] >= whole_below
+                    return in_filter(filt.value, h)
+
                 for w in lengths:
-                    h, wrow = K.ngrams(form, row, w)
-                    if not len(h):
+                    at, acc = _window_sums(literal, row, w)
+                    if not len(at):
                         continue
-                    at = np.flatnonzero(row[: len(row) - w + 1] == row[w - 1 :])
-                    filled = np.concatenate([[0], np.cumsum(slot)])
-                    ok = (filled[at + w] - filled[at]) <= (1 - LEAST_LITERAL) * w
-                    if filt is None:  # benchmark side: an item has windows of one length
-                        ok &= (per[wrow] == w) if w < whole_below else (per[wrow] >= whole_below)
-                    else:
-                        ok &= in_filter(filt.value, h)
-                    h, wrow, at = h[ok], wrow[ok], at[ok]
-                    for x, r, a in zip(h.tolist(), wrow.tolist(), at.tolist(), strict=True):
-                        k = np.flatnonzero(slot[a : a + w])
-                        out.append((pos + r, x, a - int(first[r]), w, k.tolist(), form[a + k].tolist(), as_long(literal[a + k]).tolist()))
+                    h = K.mix(acc ^ LITERAL)
+                    ok = wanted(h, at, w)
+                    # each literal window once a row
+                    for x, r in set(zip(h[ok].tolist(), row[at[ok]].tolist(), strict=True)):
+                        out.append((pos + r, x, x, 0, w, True, False, [], [], []))
+                    if w < LEAST_WORDS:
+                        continue
+                    at, acc = _window_sums(form, row, w)
+                    dense = (filled[at + w] - filled[at]) > (1 - LEAST_LITERAL) * w
+                    own = K.mix(acc)
+                    for free in (False, True):
+                        h = K.mix(acc + (NAME - form[at]) * U64(K._LANES[0])) if free else own
+                        ok = ~dense & wanted(h, at, w)
+                        if free:
+                            ok &= begins[at]
+                        for x, i, r, a in zip(h[ok].tolist(), own[ok].tolist(), row[at[ok]].tolist(), at[ok].tolist(), strict=True):
+                            k = np.flatnonzero(slot[a : a + w])
+                            if free:
+                                k = np.concatenate([[0], k])
+                            kinds = form[a + k].tolist()
+                            values = as_long(literal[a + k]).tolist()
+                            out.append((pos + r, x, i, a - int(first[r]), w, False, free, k.tolist(), kinds, values))
                 if out:
-                    r, x, a, w, k, kinds, values = zip(*out, strict=True)
+                    r, x, i, a, w, lit, free, k, kinds, values = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            ids.take(pa.array(r)), pa.array(as_long(np.array(x, dtype=U64))), pa.array(a, pa.int64()), pa.array(w, pa.int32()),
-                            pa.array(k, pa.list_(pa.int32())), pa.array([[int(y) for y in z] for z in kinds], pa.list_(pa.int32())),
+                            ids.take(pa.array(r)), pa.array(as_long(np.array(x, dtype=U64))), pa.array(as_long(np.array(i, dtype=U64))),
+                            pa.array(a, pa.int64()), pa.array(w, pa.int32()), pa.array(lit), pa.array(free),
+                            pa.array(k, pa.list_(pa.int32())), pa.array([[y if y < 256 else 0 for y in z] for z in kinds], pa.list_(pa.int32())),
                             pa.array(values, pa.list_(pa.int64())),
                         ],
-                        names=["id", "h", "place", "tokens", "slots", "kinds", "filled"],
+                        names=["id", "h", "own", "place", "tokens", "literal", "free", "slots", "kinds", "filled"],
                     )
                 pos = end
 
@@ -193,20 +234,22 @@ def find_leaks(
 
     def schema(df):
         kind = df.schema["id"].dataType.simpleString()
-        return f"id {kind}, h long, place long, tokens int, slots array<int>, kinds array<int>, filled array<long>"
+        return f"id {kind}, h long, own long, place long, tokens int, literal boolean, free boolean, slots array<int>, kinds array<int>, filled array<long>"
 
-    short = list(range(LEAST_WORDS, window + 1))
+    short = list(range(1, window + 1))
     b = stored(items.mapInArrow(_windows(short, window, None), schema(items)), "op8-items")
     lengths = sorted(r[0] for r in b.select("tokens").distinct().collect())  # at most `window` rows
     b = b.select(
-        F.col("id").alias("item_id"), "h", F.col("place").alias("item_place"), F.col("filled").alias("item_filled"), "kinds"
+        F.col("id").alias("item_id"), "h", "literal", "own", F.col("free").alias("item_free"), F.col("place").alias("item_place"),
+        F.col("filled").alias("item_filled"), "kinds",
     )
-    totals = b.groupBy("item_id").agg(F.countDistinct("h").alias("item_windows"))
+    totals = b.groupBy("item_id", "literal").agg(F.countDistinct("own").alias("item_windows"))
     filt = spark.sparkContext.broadcast(bit_filter(b, "h"))
     d = docs.mapInArrow(_windows(lengths, window, filt), schema(docs)).select(
-        F.col("id").alias("doc_id"), "h", "place", "filled"
+        F.col("id").alias("doc_id"), "h", "free", "place", "filled"
     )
     met = stored(d.join(b, "h"), "op8-met")
+    literal, met = met.where("literal"), met.where("not literal")
     # the windows of one copy: of one distance, of a band of near distances, or all of the pair
     pair = ["doc_id", "item_id"]
     met = met.withColumn("shift", F.col("place") - F.col("item_place"))
@@ -216,7 +259,9 @@ def find_leaks(
     met = _joined(met, bands, [*pair, "shift"]).withColumn("copy", F.explode(F.expr("array('s' || shift, 'b' || band, 'all')")))
     copy = [*pair, "copy"]
     # consistent slots: one document value for an item's value of a kind, and the other way round
-    slots = met.where("size(filled) > 0").select(*copy, F.explode(F.arrays_zip("kinds", "item_filled", "filled")).alias("s")).select(
+    slots = met.where("size(filled) > 0").select(*copy, F.col("free") | F.col("item_free"), F.posexplode(F.arrays_zip("kinds", "item_filled", "filled"))).toDF(
+        *copy, "free", "at", "s"
+    ).where("at > 0 or not free").select(
         *copy, F.col("s.kinds").alias("kind"), F.col("s.item_filled").alias("x"), F.col("s.filled").alias("y")
     )
     slots = slots.distinct()
@@ -226,7 +271,7 @@ def find_leaks(
         .distinct().withColumn("clash", F.lit(True))
     )
     copies = (
-        met.groupBy(*copy, "h").agg(F.max(F.expr("filled = item_filled")).alias("same"))
+        met.groupBy(*copy, "own").agg(F.max(F.expr("filled = item_filled")).alias("same"))
         .groupBy(*copy).agg(
             F.count("*").alias("n_windows"), F.count(F.when(F.col("same"), 1)).alias("n_same"), F.min("same").alias("exact")
         )
@@ -235,8 +280,13 @@ def find_leaks(
     # windows that agree word for word need no slot check
     used = F.when(F.col("clash").isNull(), F.col("n_windows")).otherwise(F.col("n_same"))
     leaks = copies.groupBy(*pair).agg(F.max(used).alias("n_windows"), F.max(F.when(F.col("copy") == "all", F.col("exact"))).alias("exact"))
-    return (
-        _joined(leaks, totals, ["item_id"]).withColumn("share", F.col("n_windows") / F.col("item_windows"))
+    leaks = leaks.withColumn("literal", F.lit(False)).unionByName(
+        literal.groupBy(*pair).agg(F.countDistinct("own").alias("n_windows")).withColumn("exact", F.lit(True)).withColumn("literal", F.lit(True))
+    )
+    leaks = (
+        _joined(leaks, totals, ["item_id", "literal"]).withColumn("share", F.col("n_windows") / F.col("item_windows"))
         .where((F.col("n_windows") > 0) & (F.col("share") >= least_share))
-        .select("doc_id", "item_id", "n_windows", "item_windows", "share", "exact")
     )
+    # of the two kinds of windows the larger share, of equal ones the templates
+    found = F.struct("share", ~F.col("literal"), "n_windows", "item_windows", "exact")
+    return leaks.groupBy(*pair).agg(F.max(found).alias("f")).select(*pair, "f.n_windows", "f.item_windows", "f.share", "f.exact")

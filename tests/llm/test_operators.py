@@ -257,6 +257,27 @@ def test_decontaminate_copies_with_their_own_values(spark):
     assert got == {(0, 1): False, (1, 1): False, (2, 1): False, (3, 2): False}
 
 
+def test_decontaminate_literal_windows(spark):
+    dense, short, q = "What is 12 + 7 * 3 - 4?", "name the capital", "Which of the boys has the oldest blue bicycle at home today"
+    long = "The baker in Rome sells 24 rolls to Anna and Otto for 18 euros in a week and 30 more to Emma"
+    items = spark.createDataFrame(list(enumerate([dense, short, q, long])), "item_id long, text string")
+    pad = "Some filler words before it, "
+    texts = [pad + dense, pad + short + " of it", pad + q, pad + q.upper(), pad + long.upper(), long.lower(), "What is 13 + 8?", pad + "name a capital"]
+    got = {(r.doc_id, r.item_id): r.exact for r in find_leaks(_docs(spark, texts), items).collect()}
+    assert got == {k: True for k in [(0, 0), (1, 1), (2, 2), (3, 2), (4, 3), (5, 3)]}
+    # with other values, inside a sentence or at its beginning
+    two = spark.createDataFrame([(1, "Give Anna 24 rolls and 18 cakes for the long day"), (2, "Anna has 24 rolls and 18 cakes for the long day")], "item_id long, text string")
+    texts = ["They said Give Berta 37 rolls and 99 cakes for the long day", "Berta has 37 rolls and 99 cakes for the long day"]
+    got = {(r.doc_id, r.item_id): r.exact for r in find_leaks(_docs(spark, texts), two).collect()}
+    assert got == {(0, 1): False, (1, 2): False}
+
+
+def test_decontaminate_upper_case_copy(spark):
+    q = "If the baker sells 24 rolls to Anna for 18 euros then how many rolls does the baker sell to her in a whole week"
+    items = spark.createDataFrame([(1, q)], "item_id long, text string")
+    assert [r.exact for r in find_leaks(_docs(spark, ["some words. " + q.upper()]), items).collect()] == [True]
+
+
 def test_warc(spark, tmp_path):
     html = '<html lang="en"><head><title>A &amp; B</title><script>x</p></script></head><body><p>One<br>two <b>three</b></p><a href="/u">l</a><!-- c --></body>'
     assert plain_text(html) == "One\ntwo three\nl" and plain_text("<script>open") == "" and plain_text("1 < 2") == "1 < 2"
