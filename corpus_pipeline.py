@@ -34,10 +34,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
+    """Documents without passages of the benchmark; a row is its id and text."""
     items = spark.read.parquet(table_path(sf_dir, "benchmark"))
-    leaked = find_leaks(docs, items).select(F.col("doc_id").alias("leaked id")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked id"]), "left_anti")
+    leaked = find_leaks(docs, items).select(F.col("doc_id").alias("leaked id"), "text_hash").distinct()
+    same_text = F.xxhash64(docs["text"].cast("string")) == leaked["text_hash"]
+    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked id"]) & same_text, "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

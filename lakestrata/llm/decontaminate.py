@@ -29,6 +29,9 @@ window hashes before the join; the join itself is exact on the hash.
 
 A leak needs ``least_share`` of the item's windows.
 
+A row of documents is its id and the hash of its text: rows of one id, or
+without one, are judged each for itself; rows equal in both are one.
+
 Defined cases: null or wordless texts and items meet nothing; items shorter
 than the window count as one window, as a template only if they have at least
 ``LEAST_WORDS`` tokens; equal items are one row per item id; null ids are kept; an empty
@@ -144,7 +147,7 @@ def _windows(lengths: list[int], whole_below: int, filt):
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("id")
+            ids, text_hashes = batch.column("id"), batch.column("text_hash")
             col = batch.column("text")
             text = pc.fill_null(col.cast(pa.large_string()), "")
             pos = 0
@@ -199,12 +202,12 @@ def _windows(lengths: list[int], whole_below: int, filt):
                     r, x, i, a, w, lit, free, k, kinds, values = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            ids.take(pa.array(r)), pa.array(as_long(np.array(x, dtype=U64))), pa.array(as_long(np.array(i, dtype=U64))),
+                            ids.take(pa.array(r)), text_hashes.take(pa.array(r)), pa.array(as_long(np.array(x, dtype=U64))), pa.array(as_long(np.array(i, dtype=U64))),
                             pa.array(a, pa.int64()), pa.array(w, pa.int32()), pa.array(lit), pa.array(free),
                             pa.array(k, pa.list_(pa.int32())), pa.array([[y if y < 256 else 0 for y in z] for z in kinds], pa.list_(pa.int32())),
                             pa.array(values, pa.list_(pa.int64())),
                         ],
-                        names=["id", "h", "own", "place", "tokens", "literal", "free", "slots", "kinds", "filled"],
+                        names=["id", "text_hash", "h", "own", "place", "tokens", "literal", "free", "slots", "kinds", "filled"],
                     )
                 pos = end
 
@@ -228,13 +231,14 @@ def find_leaks(
     window: int = WINDOW,
     least_share: float = LEAST_SHARE,
 ) -> DataFrame:
-    """One row per leak: doc_id, item_id, n_windows, item_windows, share, exact."""
+    """One row per leak: doc_id, item_id, n_windows, item_windows, share, exact, text_hash (xxhash64 of the document's text)."""
     spark = ship(docs.sparkSession)
     docs, items = columns(docs, id=id_col, text=text_col), columns(items, id=item_col, text=item_text_col)
+    docs, items = (df.withColumn("text_hash", F.xxhash64(F.col("text").cast("string"))) for df in (docs, items))
 
     def schema(df):
         kind = df.schema["id"].dataType.simpleString()
-        return f"id {kind}, h long, own long, place long, tokens int, literal boolean, free boolean, slots array<int>, kinds array<int>, filled array<long>"
+        return f"id {kind}, text_hash long, h long, own long, place long, tokens int, literal boolean, free boolean, slots array<int>, kinds array<int>, filled array<long>"
 
     short = list(range(1, window + 1))
     b = stored(items.mapInArrow(_windows(short, window, None), schema(items)), "op8-items")
@@ -246,12 +250,12 @@ def find_leaks(
     totals = b.groupBy("item_id", "literal").agg(F.countDistinct("own").alias("item_windows"))
     filt = spark.sparkContext.broadcast(bit_filter(b, "h"))
     d = docs.mapInArrow(_windows(lengths, window, filt), schema(docs)).select(
-        F.col("id").alias("doc_id"), "h", "free", "place", "filled"
+        F.col("id").alias("doc_id"), "text_hash", "h", "free", "place", "filled"
     )
     met = stored(d.join(b, "h"), "op8-met")
     literal, met = met.where("literal"), met.where("not literal")
     # the windows of one copy: of one distance, of a band of near distances, or all of the pair
-    pair = ["doc_id", "item_id"]
+    pair = ["doc_id", "text_hash", "item_id"]
     met = met.withColumn("shift", F.col("place") - F.col("item_place"))
     by_shift = Window.partitionBy(*pair).orderBy("shift")
     bands = met.select(*pair, "shift").distinct().withColumn("apart", F.col("shift") - F.lag("shift").over(by_shift) > window)
@@ -289,4 +293,6 @@ def find_leaks(
     )
     # of the two kinds of windows the larger share, of equal ones the templates
     found = F.struct("share", ~F.col("literal"), "n_windows", "item_windows", "exact")
-    return leaks.groupBy(*pair).agg(F.max(found).alias("f")).select(*pair, "f.n_windows", "f.item_windows", "f.share", "f.exact")
+    return leaks.groupBy(*pair).agg(F.max(found).alias("f")).select(
+        "doc_id", "item_id", "f.n_windows", "f.item_windows", "f.share", "f.exact", "text_hash"
+    )

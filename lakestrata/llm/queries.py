@@ -59,7 +59,7 @@ def op6_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

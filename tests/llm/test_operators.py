@@ -278,6 +278,18 @@ def test_decontaminate_upper_case_copy(spark):
     assert [r.exact for r in find_leaks(_docs(spark, ["some words. " + q.upper()]), items).collect()] == [True]
 
 
+def test_leak_stage_keeps_clean_rows_of_a_leaked_id(spark, tmp_path):
+    import corpus_pipeline
+
+    q = "If the baker sells 24 rolls to Anna for 18 euros then how many rolls does the baker sell to her in a whole week"
+    spark.createDataFrame([(1, q)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    other = q.replace("24", "37").replace("18", "99")
+    rows = [(None, q), (None, "a clean text"), (None, None), (7, other), (7, "another clean text"), (7, q.replace("24", "55")), (8, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.benchmark_leaks(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept, key=str) == sorted([rows[1], rows[2], rows[4], rows[6]], key=str)
+
+
 def test_warc(spark, tmp_path):
     html = '<html lang="en"><head><title>A &amp; B</title><script>x</p></script></head><body><p>One<br>two <b>three</b></p><a href="/u">l</a><!-- c --></body>'
     assert plain_text(html) == "One\ntwo three\nl" and plain_text("<script>open") == "" and plain_text("1 < 2") == "1 < 2"
