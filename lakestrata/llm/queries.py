@@ -63,7 +63,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derivatives(_table(spark, sf_dir, "pages")).drop("block")
+    return derivatives(_table(spark, sf_dir, "pages"), types=("response", "metadata", "conversion"))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

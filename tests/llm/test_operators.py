@@ -307,6 +307,16 @@ def test_warc(spark, tmp_path):
     assert derivatives(pages.where("false")).count() == 0
 
 
+def test_warc_query_is_whole(spark, tmp_path):
+    from lakestrata.llm.queries import op9_warc_derivatives
+
+    spark.createDataFrame([(1, "http://a/", "<p>One</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows = op9_warc_derivatives(spark, str(tmp_path)).collect()
+    by = {r.record_type: r for r in rows}
+    assert set(by) == {"response", "metadata", "conversion"} and bytes(by["conversion"].block) == b"One"
+    assert {r.refers_to for r in rows} == {None, by["response"].record_id}
+
+
 def test_run_length_index():
     r = random.Random(4)
     for _ in range(150):
