@@ -344,7 +344,7 @@ def q_schema_merge_append(spark, sf_dir):
 @register("streaming_bronze_counts")
 def q_streaming_bronze_counts(spark, sf_dir):
     """Stream the landed events pages (several files each) into Bronze,
-    crash once after a commit, restart from the streaming checkpoint; rows,
+    crash once after the commit of the last page, restart from the streaming checkpoint; rows,
     distinct events and commits of every page as they stand in Bronze."""
     from pyspark.errors import StreamingQueryException
 
@@ -358,10 +358,11 @@ def q_streaming_bronze_counts(spark, sf_dir):
     ckpt = scratch_dir(spark, "stream-ckpt")
     write_pages(A.events_as_landing(spark, sf_dir, defects=False), landing)
     table = BronzeTable(spark, root)
+    last = A.read(spark, sf_dir, "events").agg(F.max(A.event_page()).alias("page")).first()["page"]
     crashed = []
 
     def crash_once(page, version):
-        if page == 7 and not crashed:
+        if page == last and not crashed:
             crashed.append(page)
             raise CheckpointWriteInterrupted("simulated crash after commit")
 
@@ -370,8 +371,8 @@ def q_streaming_bronze_counts(spark, sf_dir):
     except StreamingQueryException as exc:
         if "simulated crash after commit" not in str(exc):
             raise
-    if crashed != [7]:
-        raise RuntimeError("the stream did not stop after page 7")
+    if crashed != ([] if last is None else [last]):
+        raise RuntimeError(f"the stream did not stop after page {last}")
     run_to_completion(start_bronze_stream(spark, landing, table, A.RUN_ID, ckpt, max_files_per_trigger=64))
     return report(
         table.read().groupBy("source_page").agg(

@@ -363,7 +363,8 @@ FROM bronze GROUP BY commit_version"""
 SQL["streaming_bronze_counts"] = """
 SELECT source_page, COUNT(*) * commits AS rows, COUNT(*) AS events, commits, MIN(ts) AS first_update
 FROM (SELECT CAST(floor(event_id / 250) AS INTEGER) + 1 AS source_page, ts,
-             CASE WHEN CAST(floor(event_id / 250) AS INTEGER) + 1 = 7 THEN 2 ELSE 1 END AS commits FROM events)
+             CASE WHEN floor(event_id / 250) = (SELECT floor(MAX(event_id) / 250) FROM events) THEN 2 ELSE 1 END AS commits
+      FROM events)
 GROUP BY source_page, commits"""
 
 MANIFESTS = """page_done AS (SELECT CAST(MAX(ts) AS DATE) AS day FROM events GROUP BY CAST(floor(event_id / 250) AS INTEGER)),

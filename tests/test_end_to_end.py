@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from lakestrata.cli import main
 from lakestrata.operators import gold
 from lakestrata.plans.refresh import REFRESH_ORDER, refresh_gold
+from lakestrata.sources.landing import write_pages
 from lakestrata.sources.tables import VersionedTable
+from tools.source_fixture import source_records
 
 
 def test_pipeline_end_to_end(spark, workdir, run_id):
     common = ["--run-id", run_id, "--window-start", "2026-09-01T00:00:00Z", "--window-end", "2026-09-02T00:00:00Z"]
     for ds in ("orders", "customers"):
+        write_pages(source_records(spark, pages=10, page_size=100, dataset=ds), f"{workdir}/landing/{ds}")
         argv = common + ["--table-uri", f"{workdir}/bronze/{ds}", "--dataset", ds,
-                         "--prepare-silver", f"{workdir}/silver/{ds}"]
+                         "--landing-uri", f"{workdir}/landing/{ds}", "--prepare-silver", f"{workdir}/silver/{ds}"]
         assert main(argv, spark=spark) == 0
 
     t = {
