@@ -12,14 +12,18 @@ from ..session import scratch_dir, table_path
 from .bpe import bpe_encode_decode
 from .decontaminate import find_leaks
 from .importance import importance_resample
+from .line_dedup import line_dedup
 from .ngram_jaccard import ngram_jaccard_join
 from .pii import digest_spans, find_pii
+from .queries_sql import SQL
 from .run_length_index import drop_repeats
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
 from .topk_search import topk_search
 from .warc import derivatives
 
+__all__ = ["QUERIES", "SQL"]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -87,6 +91,11 @@ def op10_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = line_dedup(_table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bpe_encode_decode": op2_bpe_encode_decode,
@@ -98,5 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_run_length_dedup": op10_run_length_dedup,
+    "op13_line_dedup": op13_line_dedup,
 }
-SQL: dict[str, str] = {}
