@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir, table_path
 from .bpe import bpe_encode_decode
 from .decontaminate import find_leaks
+from .hard_negatives import hard_negatives
 from .importance import importance_resample
 from .line_dedup import line_dedup
 from .ngram_jaccard import ngram_jaccard_join
@@ -91,6 +92,11 @@ def op10_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return hard_negatives(vectors, "id % 100 = 0", positives=5, negatives=5, low=(80, 100), scale=256)
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = line_dedup(_table(spark, sf_dir, "documents"))
     return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -107,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_run_length_dedup": op10_run_length_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_line_dedup": op13_line_dedup,
 }
