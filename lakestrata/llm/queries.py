@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir, table_path
 from .bpe import bpe_encode_decode
+from .cross_align import CrossAlignment
 from .decontaminate import find_leaks
 from .hard_negatives import hard_negatives
 from .importance import importance_resample
@@ -97,6 +98,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors, "id % 100 = 0", positives=5, negatives=5, low=(80, 100), scale=256)
 
 
+def op12_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = CrossAlignment(_table(spark, sf_dir, "documents"), *paths)
+    docs = aligned.documents().withColumn("groups_sha256", F.expr("if(n_a = 0, '', sha2(groups, 256))")).drop("groups")
+    both = docs.join(aligned.link_sums(), "key")
+    return both.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = line_dedup(_table(spark, sf_dir, "documents"))
     return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -114,5 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_run_length_dedup": op10_run_length_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_cross_align": op12_cross_align,
     "op13_line_dedup": op13_line_dedup,
 }
