@@ -468,23 +468,52 @@ def q_image_pin_audit(spark, sf_dir):
     return report(runs.withColumn("pinned", RUNS.image_pinned("image")))
 
 
-@register("silver_orders_incremental")
-def q_silver_orders_incremental(spark, sf_dir):
+def two_commit_silver(spark, sf_dir, silver):
     """Silver built incrementally: first deliveries committed and folded in,
-    then the later updates committed and folded in; equals the full Silver."""
+    then the later updates committed and folded in."""
     from .plans.silver import prepare_incremental
     from .session import scratch_dir
     from .sources.bronze import BronzeTable
-    from .sources.tables import VersionedTable
 
     bronze = A.orders_as_bronze(spark, sf_dir)
     first_ingest = F.lit(A.FIRST_INGEST).cast("timestamp")
     table = BronzeTable(spark, scratch_dir(spark, "inc-silver-bronze"))
-    silver = VersionedTable(spark, scratch_dir(spark, "inc-silver"))
     table.append(bronze.where(F.col("ingested_at") == first_ingest).withColumn("commit_version", F.lit(0).cast("long")))
     prepare_incremental(spark, table, silver)
     table.append(bronze.where(F.col("ingested_at") > first_ingest).withColumn("commit_version", F.lit(1).cast("long")))
-    return report(prepare_incremental(spark, table, silver))
+    return prepare_incremental(spark, table, silver)
+
+
+def bucketed_silver(spark):
+    from .session import scratch_dir
+    from .sources.buckets import BucketedTable
+
+    return BucketedTable(spark, scratch_dir(spark, "bucket-silver"), ("source_event_id",), 16)
+
+
+@register("silver_orders_incremental")
+def q_silver_orders_incremental(spark, sf_dir):
+    """Incremental Silver in a plain versioned table; equals the full Silver."""
+    from .session import scratch_dir
+    from .sources.tables import VersionedTable
+
+    return report(two_commit_silver(spark, sf_dir, VersionedTable(spark, scratch_dir(spark, "inc-silver"))))
+
+
+@register("silver_orders_bucketed")
+def q_silver_orders_bucketed(spark, sf_dir):
+    """S5 + W1 on hash buckets of the event id; equals the full Silver."""
+    return report(two_commit_silver(spark, sf_dir, bucketed_silver(spark)))
+
+
+@register("silver_change_feed")
+def q_silver_change_feed(spark, sf_dir):
+    """V7: the feed written with the second Silver version; the oracle is the
+    difference of the two snapshots, both ways."""
+    silver = bucketed_silver(spark)
+    two_commit_silver(spark, sf_dir, silver)
+    names = ["source_event_id", "order_id", "order_status", "net_amount", "source_updated_at", "change_weight"]
+    return report(silver.changes(0, silver.version()).select(*names))
 
 
 @register("gold_refresh_incremental")
@@ -500,8 +529,53 @@ def q_gold_refresh_incremental(spark, sf_dir):
     t["silver.orders"].publish(old_o)
     t["silver.customers"].publish(A.customers_as_silver(spark, sf_dir))
     t["silver.calendar"].publish(gold.calendar_from(new_o, "order_date"))
-    R.refresh_gold(spark, t, as_of=GOLD_AS_OF)
-    t["silver.orders"].publish(new_o)
+    R.refresh_gold(spark, t, as_of=GOLD_AS_OF, incremental=True)
+    t["silver.orders"].publish(new_o, changes=True)
     out = R.refresh_gold(spark, t, as_of=GOLD_AS_OF, incremental=True)
     assert out[0].decision == "incremental", out
     return report(t["gold.customer_value"].read())
+
+
+def old_orders_with_returns(spark, sf_dir):
+    """The old snapshot, where some orders that are cancelled by now still
+    counted as completed: rows that leave the views, extremes among them."""
+    o = old_orders_snapshot(spark, sf_dir)
+    return o.withColumn("order_status", F.when(F.col("order_status") == "cancelled", F.lit("completed")).otherwise(F.col("order_status")))
+
+
+def counted_views(spark, sf_dir):
+    """V6 by counting over bucketed views: state from the old snapshot, then
+    one step along the change feeds (inserts, updates, leaving rows)."""
+    from .session import scratch_dir
+    from .sources.buckets import BucketedTable
+    from .sources.tables import VersionedTable
+
+    new_o = A.orders_as_silver(spark, sf_dir)
+    root = scratch_dir(spark, "counted-gold")
+    t = {n: VersionedTable(spark, f"{root}/{n}") for n in list(R.VIEW_INPUTS) + ["silver.orders", "silver.customers", "silver.calendar"]}
+    t["gold.customer_value"] = BucketedTable(spark, f"{root}/gold.customer_value", ("customer_id",), 16)
+    t["silver.orders"].publish(old_orders_with_returns(spark, sf_dir))
+    t["silver.customers"].publish(A.customers_as_silver(spark, sf_dir))
+    t["silver.calendar"].publish(gold.calendar_from(new_o, "order_date"))
+    state = R.CountedGold(spark, f"{root}/counts", 16)
+    R.refresh_gold(spark, t, as_of=GOLD_AS_OF, incremental=True, state=state)
+    t["silver.orders"].publish(new_o, changes=True)
+    t["silver.customers"].publish(A.customers_as_silver(spark, sf_dir), changes=True)
+    out = R.refresh_gold(spark, t, as_of=GOLD_AS_OF, incremental=True, state=state)
+    assert [o.decision for o in out] == ["incremental"] * 3, out
+    return t
+
+
+@register("gold_counted_customer_value")
+def q_gold_counted_customer_value(spark, sf_dir):
+    return report(counted_views(spark, sf_dir)["gold.customer_value"].read())
+
+
+@register("gold_counted_daily_revenue")
+def q_gold_counted_daily_revenue(spark, sf_dir):
+    return report(counted_views(spark, sf_dir)["gold.daily_revenue"].read())
+
+
+@register("gold_counted_summary")
+def q_gold_counted_summary(spark, sf_dir):
+    return report(counted_views(spark, sf_dir)["gold.commercial_summary"].read())

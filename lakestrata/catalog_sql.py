@@ -430,3 +430,19 @@ SELECT *, COALESCE(regexp_full_match(image, '[a-z0-9.\\-/:]+@sha256:[a-f0-9]{64}
 
 SQL["silver_orders_incremental"] = SQL["silver_orders"]
 SQL["gold_refresh_incremental"] = SQL["gold_customer_value"]
+SQL["silver_orders_bucketed"] = SQL["silver_orders"]
+
+# winners among the first deliveries and among all; a row in both is no change
+SQL["silver_change_feed"] = f"""
+WITH {_orders_bronze(False)},
+both_states AS (
+  SELECT 1 AS change_weight, * FROM okeep
+  UNION ALL
+  SELECT -1, * FROM ob WHERE ingested_at = TIMESTAMP '2024-02-01 00:00:00')
+SELECT source_event_id, order_id, lower(status_text) AS order_status, CAST(CAST(amount_text AS DECIMAL(18,2)) AS DOUBLE) AS net_amount,
+       source_updated_at, CAST(SUM(change_weight) AS BIGINT) AS change_weight
+FROM both_states GROUP BY ALL HAVING SUM(change_weight) <> 0"""
+
+SQL["gold_counted_customer_value"] = SQL["gold_customer_value"]
+SQL["gold_counted_daily_revenue"] = SQL["gold_daily_revenue"]
+SQL["gold_counted_summary"] = SQL["gold_commercial_summary"]

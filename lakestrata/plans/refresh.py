@@ -1,10 +1,12 @@
-"""Gold refresh: dependency order, skip when no input moved, incremental V1.
+"""Gold refresh: dependency order, skip when no input moved, incremental views.
 
 V4  refresh_gold          customer_value and daily_revenue, then commercial_summary
 V5  skip                  a view whose input versions equal those recorded at
                           its last publish is not recomputed
-V6  incremental_customer_value  recompute only affected customers
-V7  changed_rows          change set between two Silver snapshots (exceptAll both ways)
+V6  counting              views moved by the change feeds of their sources;
+                          incremental_customer_value recomputes affected customers
+V7  change feeds          written with each version (sources.tables); changed_rows
+                          compares two snapshots that have none
 Q5  daily_revenue is published only if ``gross_revenue >= 0`` holds
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold
 from ..sources.tables import VersionedTable
+from .counting import Advance, CountedGold
 
 # Fixed dependency graph of the gold views, in refresh order.
 VIEW_INPUTS = {
@@ -40,94 +43,68 @@ def refresh_gold(
     tables: dict[str, VersionedTable],
     as_of: date | str | None = None,
     incremental: bool = False,
+    state: CountedGold | None = None,
 ) -> list[RefreshOutcome]:
     """Refresh the three gold views in dependency order.
 
     ``tables`` maps every name in VIEW_INPUTS (sources and views) to its
-    VersionedTable.  With ``incremental``, customer_value and daily_revenue
-    recompute only the keys touched by the change set between the source
-    versions recorded at their last publish and the current ones (V6/V7);
-    a view without a previous version, or whose calendar moved, is
-    refreshed in full.  commercial_summary (one row per market) is always
-    full.  A ConstraintViolation from daily_revenue stops the run before
-    commercial_summary and leaves the old daily_revenue published."""
+    VersionedTable.  With ``incremental`` the views follow the change feeds of
+    their sources by counts (:mod:`.counting`): no snapshot of orders is read,
+    and a view that is a BucketedTable is written in its touched buckets only.
+    ``state`` holds the counts, by default below customer_value.  The first
+    incremental refresh, and one after a version without a change feed, builds
+    them from the snapshots ("refresh").  A ConstraintViolation from
+    daily_revenue stops the run before commercial_summary and leaves the old
+    daily_revenue published."""
     outcomes = []
     if as_of is None:
         spark_day = spark.range(1).select(F.current_date().alias("day")).first()
         as_of = spark_day["day"]
+    step = None
     for view in REFRESH_ORDER:
         inputs = {name: tables[name].version() for name in VIEW_INPUTS[view]}
         if view == "gold.commercial_summary":
             inputs["as_of"] = str(as_of)  # the view moves with its day, not only with its tables
-        current = tables[view].current()
+        table = tables[view]
+        current = table.current()
         if current is not None and current[1] == inputs:
             outcomes.append(RefreshOutcome(view, "skip", current[0]))
             continue
-        src = {name: tables[name].read() for name in VIEW_INPUTS[view]}
-        old = current[1] if current is not None else None
-        checks = None
-        decision = "refresh"
-        if view == "gold.customer_value":
-            if incremental and old is not None and None not in old.values():
-                affected = _affected_customers(tables, old)
-                df = incremental_customer_value(
-                    tables[view].read(current[0]), src["silver.orders"], src["silver.customers"], affected
-                )
-                decision = "incremental"
-            else:
-                df = gold.customer_value(src["silver.orders"], src["silver.customers"])
-        elif view == "gold.daily_revenue":
-            checks = {"non_negative_revenue": F.col("gross_revenue") >= 0}
-            if (
-                incremental
-                and old is not None
-                and old.get("silver.calendar") == inputs["silver.calendar"]
-                and old.get("silver.orders") is not None
-            ):
-                days = _affected_days(tables, old)
-                df = incremental_daily_revenue(
-                    tables[view].read(current[0]), src["silver.calendar"], src["silver.orders"], days
-                )
-                decision = "incremental"
-            else:
-                df = gold.daily_revenue(src["silver.calendar"], src["silver.orders"])
+        if incremental:
+            state = state or CountedGold(spark, f"{tables['gold.customer_value'].root}/_counts")
+            if step is None and view != "gold.commercial_summary":
+                step = state.advance(tables["silver.orders"], tables["silver.customers"])
+            decision = _publish_counted(view, tables, state, step, inputs, as_of)
         else:
-            df = gold.commercial_summary(src["gold.customer_value"], src["gold.daily_revenue"], str(as_of))
-        version = tables[view].publish(df, checks=checks, inputs=inputs)
-        outcomes.append(RefreshOutcome(view, decision, version))
+            _publish_full(view, tables, inputs, as_of)
+            decision = "refresh"
+        outcomes.append(RefreshOutcome(view, decision, table.version()))
     return outcomes
 
 
-def _orders_change_set(tables: dict[str, VersionedTable], old: dict) -> DataFrame:
-    t = tables["silver.orders"]
-    return order_changes(t.read(old["silver.orders"]), t.read())
+def _non_negative() -> dict:
+    return {"non_negative_revenue": F.col("gross_revenue") >= 0}
 
 
-def _affected_customers(tables: dict[str, VersionedTable], old: dict) -> DataFrame:
-    changed_orders = _orders_change_set(tables, old)
-    c = tables["silver.customers"]
-    before, after = c.read(old["silver.customers"]), c.read()
-    changed_customers = changed_rows(before, after).select("customer_id")
-    return affected_customers(changed_orders, changed_customers)
+def _publish_full(view: str, tables: dict[str, VersionedTable], inputs: dict, as_of) -> None:
+    src = [tables[name].read() for name in VIEW_INPUTS[view]]
+    if view == "gold.customer_value":
+        tables[view].publish(gold.customer_value(*src), inputs=inputs)
+    elif view == "gold.daily_revenue":
+        tables[view].publish(gold.daily_revenue(*src), checks=_non_negative(), inputs=inputs)
+    else:
+        tables[view].publish(gold.commercial_summary(*src, str(as_of)), inputs=inputs)
 
 
-def _affected_days(tables: dict[str, VersionedTable], old: dict) -> DataFrame:
-    """Order dates touched by a changed order row, old and new date alike."""
-    changes = _orders_change_set(tables, old)
-    return changes.select(F.col("order_date").alias("calendar_date")).where(F.col("calendar_date").isNotNull()).distinct()
-
-
-def incremental_daily_revenue(
-    old_view: DataFrame, calendar: DataFrame, new_orders: DataFrame, affected_days: DataFrame
-) -> DataFrame:
-    """V6 for daily_revenue: old rows of untouched days + recomputed touched days
-    (valid while the calendar itself is unchanged)."""
-    keep = old_view.join(affected_days, "calendar_date", "left_anti")
-    redo = gold.daily_revenue(
-        calendar.join(affected_days, "calendar_date", "left_semi"),
-        new_orders.join(affected_days.withColumnRenamed("calendar_date", "order_date"), "order_date", "left_semi"),
-    )
-    return keep.unionByName(redo)
+def _publish_counted(view: str, tables: dict[str, VersionedTable], state: CountedGold, step: Advance | None, inputs: dict, as_of) -> str:
+    if view == "gold.customer_value":
+        return state.refresh_customer_value(tables[view], step, inputs)
+    if view == "gold.daily_revenue":
+        tables[view].publish(state.daily_revenue(tables["silver.calendar"].read()), checks=_non_negative(), inputs=inputs)
+        return "refresh" if step.affected is None else "incremental"
+    rows, decision = state.commercial_summary(tables["gold.customer_value"], tables["gold.daily_revenue"].read(), str(as_of))
+    tables[view].publish(rows, inputs=inputs)
+    return decision
 
 
 def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:

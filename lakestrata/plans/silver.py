@@ -14,26 +14,32 @@ envelope columns the dedupe order needs (``ingested_at``, ``source_page``,
 ``payload``, ``source_event_id``; extra columns are "additive" under the
 contract), so every published row is the current winner of its event.  A
 run reads only the Bronze commits newer than the ones already folded in
-(partition-pruned on ``commit_version``), re-decides and re-parses just the
-touched event ids together with their previous winners, keeps every other
-row as is, and writes one new version.  The result equals a full rebuild
-because the winner over all deliveries is the winner over (previous winner,
-new deliveries).
+(partition-pruned on ``commit_version``), keeps the newest delivery of each
+touched event and decides it against the event's previous winner.  The result
+equals a full rebuild because the winner over all deliveries is the winner over
+(previous winner, winner of the new deliveries).
+
+The rows that win or lose their place are the version's change feed.  On a
+:class:`BucketedTable` only the buckets of touched events are read and only
+those of changed events are written; a plain :class:`VersionedTable` is
+rewritten whole.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import BRONZE_CUSTOMERS_RAW, BRONZE_ORDERS_RAW, SILVER_CUSTOMERS, SILVER_ORDERS, TableContract
 from ..operators import quality as Q
-from ..operators.dedupe import dedupe_by_source_event
+from ..operators.dedupe import dedupe_by_source_event, envelope_order
 from ..operators.silver import REJECT, parse_customers, parse_orders
+from ..session import scratch_dir
 from ..sources.bronze import BronzeTable
-from ..sources.tables import VersionedTable
+from ..sources.buckets import BucketedTable
+from ..sources.tables import WEIGHT, VersionedTable
 
 
 def _check_input(spark: SparkSession, contract: TableContract, bronze: DataFrame) -> None:
@@ -82,23 +88,51 @@ def prepare_incremental(
     current = silver.current()
     if current is not None and current[1].get("bronze") == bronze_version:
         return silver.read().select(*output_contract.names)
-    kept = None
+    inputs = {"bronze": bronze_version}
+    obs = Observation(f"silver_rejects_{uuid.uuid4().hex}")
+    rejects = F.count_if(F.col(REJECT).isNotNull()).alias("rejects")
     if current is None or current[1].get("bronze") is None:
         full = bronze.read()
         _check_input(spark, input_contract, full)
-        parsed = parse(dedupe_by_source_event(full.select(*ENVELOPE)))
+        parsed = parse(dedupe_by_source_event(full.select(*ENVELOPE))).observe(obs, rejects)
+        good = parsed.where(F.col(REJECT).isNull()).select(*stored)
+        silver.publish(good, gate=lambda: {"rejects": obs.get["rejects"]}, inputs=inputs)
+        return silver.read().select(*output_contract.names)
+
+    new = bronze.read_since(current[1]["bronze"])
+    _check_input(spark, input_contract, new)
+    new = dedupe_by_source_event(new.select(*ENVELOPE))
+    by_bucket = isinstance(silver, BucketedTable)
+    previous = silver.read(current[0], only=silver.touched(new)) if by_bucket else silver.read(current[0])
+    path = scratch_dir(spark, "silver-changes")
+    changed_winners(previous.select(*stored), parse(new)).observe(obs, rejects).write.parquet(path)
+    gate = {"rejects": obs.get["rejects"]}
+    changes = spark.read.parquet(path).drop(REJECT)
+    changed = changes.select("source_event_id").distinct()
+    if by_bucket:
+        touched = silver.touched(changed)
+        previous = silver.read(current[0], only=touched)
+    kept = previous.select(*stored).join(changed, "source_event_id", "left_anti")
+    out = kept.unionByName(changes.where(F.col(WEIGHT) > 0).select(*stored))
+    if by_bucket:
+        silver.replace(out, touched, inputs=inputs, changes=changes, gate=lambda: gate)
     else:
-        new = bronze.read_since(current[1]["bronze"])
-        _check_input(spark, input_contract, new)
-        new = new.select(*ENVELOPE)
-        touched = new.select("source_event_id").distinct()
-        previous = silver.read(current[0])
-        kept = previous.join(touched, "source_event_id", "left_anti").select(*stored)
-        contenders = previous.join(touched, "source_event_id", "left_semi").select(*ENVELOPE).unionByName(new)
-        parsed = parse(dedupe_by_source_event(contenders))
-    obs = Observation(f"silver_rejects_{uuid.uuid4().hex}")
-    checked = parsed.observe(obs, F.count_if(F.col(REJECT).isNotNull()).alias("rejects"))
-    good = checked.where(F.col(REJECT).isNull()).select(*stored)
-    out = good if kept is None else kept.unionByName(good)
-    silver.publish(out, gate=lambda: {"rejects": obs.get["rejects"]}, inputs={"bronze": bronze_version})
+        silver.publish(out, gate=lambda: gate, inputs=inputs, changes=changes)
     return silver.read().select(*output_contract.names)
+
+
+def changed_winners(previous: DataFrame, parsed: DataFrame) -> DataFrame:
+    """V7: rows of events whose winner changes, the old one (change_weight -1) and the new one (1).
+
+    ``previous`` has the current winners, ``parsed`` at most one new delivery
+    of an event (with its reject reason).  At most two rows of an event meet;
+    on a full tie the current winner stays."""
+    old = previous.withColumn(REJECT, F.lit(None).cast("string")).withColumn(WEIGHT, F.lit(-1).cast("long"))
+    new = parsed.select(*old.columns[:-1]).withColumn(WEIGHT, F.lit(1).cast("long"))
+    old = old.join(new.select("source_event_id"), "source_event_id", "left_semi").select(*old.columns)
+    event = Window.partitionBy("source_event_id")
+    place = F.row_number().over(event.orderBy(*envelope_order(), F.col(WEIGHT)))
+    both = old.unionByName(new).withColumn("_place", place)
+    moved = F.max((F.col("_place") == 1) & (F.col(WEIGHT) > 0)).over(event)
+    both = both.withColumn("_moved", moved)
+    return both.where("_moved").drop("_place", "_moved")

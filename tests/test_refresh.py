@@ -94,16 +94,17 @@ def test_incremental_refresh_equals_full_refresh(spark, workdir):
     results = {}
     for mode in ("incremental", "full"):
         t = _tables(spark, f"{workdir}/{mode}", old_o, customers, cal)
-        R.refresh_gold(spark, t, as_of="2001-08-01")
-        t["silver.orders"].publish(new_o)
+        R.refresh_gold(spark, t, as_of="2001-08-01", incremental=(mode == "incremental"))
+        t["silver.orders"].publish(new_o, changes=True)
         # one customer moves market: a customer-side change
         t["silver.customers"].publish(
             customers.withColumn(
                 "market", F.when(F.col("customer_id") == "7", F.lit("MOVED")).otherwise(F.col("market"))
-            )
+            ),
+            changes=True,
         )
         out = R.refresh_gold(spark, t, as_of="2001-08-01", incremental=(mode == "incremental"))
-        expected = ["incremental", "incremental", "refresh"] if mode == "incremental" else ["refresh"] * 3
+        expected = ["incremental"] * 3 if mode == "incremental" else ["refresh"] * 3
         assert [o.decision for o in out] == expected
         results[mode] = {v: t[v].read() for v in R.REFRESH_ORDER}
     for v in R.REFRESH_ORDER:
