@@ -579,3 +579,48 @@ def q_gold_counted_daily_revenue(spark, sf_dir):
 @register("gold_counted_summary")
 def q_gold_counted_summary(spark, sf_dir):
     return report(counted_views(spark, sf_dir)["gold.commercial_summary"].read())
+
+
+@register("external_count")
+def q_external_count(spark, sf_dir):
+    """Bronze as any Parquet reader finds it below its root, after a crash
+    just past the commit of the middle page; the pages behind it stay unseen."""
+    from .plans.ingest import CheckpointWriteInterrupted, IngestError, ingest
+    from .session import scratch_dir
+    from .sources.bronze import BronzeTable
+
+    landing = A.events_as_landing(spark, sf_dir, defects=False)
+    middle = A.read(spark, sf_dir, "events").agg(((F.max(A.event_page()) + 1) / 2).cast("int").alias("page")).first()["page"]
+    table = BronzeTable(spark, scratch_dir(spark, "external-bronze"))
+
+    def crash(page, version):
+        if page == middle:
+            raise CheckpointWriteInterrupted("simulated crash after commit")
+
+    try:
+        ingest(spark, landing, table, A.RUN_ID, after_commit=crash)
+    except IngestError as exc:
+        if not isinstance(exc.cause, CheckpointWriteInterrupted):
+            raise
+    plain = spark.read.parquet(table.root)
+    return report(plain.groupBy("source_page", "commit_version").agg(F.count(F.lit(1)).alias("rows"), F.max("source_updated_at").alias("last_update")))
+
+
+@register("idempotent_pages")
+def q_idempotent_pages(spark, sf_dir):
+    """I4: every events page delivered, then a third of them once more by the
+    same run and a third by another run."""
+    from .plans.ingest import ingest_replacing
+    from .session import scratch_dir
+    from .sources.pages import PageTable
+
+    landing = A.events_as_landing(spark, sf_dir, defects=False)
+    table = PageTable(spark, scratch_dir(spark, "page-table"))
+    ingest_replacing(spark, landing, table, "RUN-A")
+    ingest_replacing(spark, landing.where("source_page % 3 = 0"), table, "RUN-A")
+    ingest_replacing(spark, landing.where("source_page % 3 = 1"), table, "RUN-B")
+    return report(
+        table.read().groupBy("ingestion_run_id", "source_page").agg(
+            F.count(F.lit(1)).alias("rows"), F.countDistinct("source_event_id").alias("events"), F.max("source_updated_at").alias("last_update")
+        )
+    )

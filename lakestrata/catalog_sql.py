@@ -446,3 +446,17 @@ FROM both_states GROUP BY ALL HAVING SUM(change_weight) <> 0"""
 SQL["gold_counted_customer_value"] = SQL["gold_customer_value"]
 SQL["gold_counted_daily_revenue"] = SQL["gold_daily_revenue"]
 SQL["gold_counted_summary"] = SQL["gold_commercial_summary"]
+
+SQL["external_count"] = f"""
+WITH {EV}
+SELECT source_page, CAST(source_page - 1 AS BIGINT) AS commit_version, COUNT(*) AS rows, MAX(source_updated_at) AS last_update
+FROM ev WHERE source_page <= (SELECT floor((MAX(source_page) + 1) / 2) FROM ev) GROUP BY source_page"""
+
+SQL["idempotent_pages"] = f"""
+WITH {EV},
+delivered AS (
+  SELECT 'RUN-A' AS run, * FROM ev
+  UNION ALL
+  SELECT 'RUN-B', * FROM ev WHERE source_page % 3 = 1)
+SELECT run AS ingestion_run_id, source_page, COUNT(*) AS rows, COUNT(DISTINCT source_event_id) AS events, MAX(source_updated_at) AS last_update
+FROM delivered GROUP BY run, source_page"""

@@ -2,19 +2,25 @@
 
 Layout::
 
-    <root>/batch=<b>/commit_version=<v>/part-*.parquet   one dir per write job
-    <root>/batch=<b>/_pages/                             (version, page, run, rows) of the batch
-    <root>/batch=<b>/_COMMITTED                          written by the driver last
-    <root>/_progress/                                    (run_id, page) progress rows
+    <root>/_staging/batch=<b>/commit_version=<v>/part-*.parquet   written, not yet committed
+    <root>/batch=<b>/commit_version=<v>/part-*.parquet            committed
+    <root>/batch=<b>/_pages/                                      (version, page, run, rows) of the batch
+    <root>/batch=<b>/_visible/<v>                                 newest committed version of the batch
+    <root>/_progress/                                             (run_id, page) progress rows
 
 A write job appends any number of pages; each page becomes its own commit
 version, so the commit identity travels with the rows and history is an
-aggregation over the data.  Readers only see batches whose ``_COMMITTED``
-marker exists: a batch whose job died, or whose checks failed, is ignored.
-Between the write and the marker the ingest may drop version directories
-(pages at or after the first invalid page).  The next batch and version
-numbers are max + 1 over what is on storage, chosen when the write starts.
-One writer per table is assumed: this is not a transaction log.
+aggregation over the data.  A job writes below ``_staging``, which Spark's
+and other Parquet readers skip as they skip every name with an underscore;
+committing a version moves its directory into sight.  So any reader of the
+root sees the committed versions and nothing else, after a crash too (readers
+that open underscore names read ``batch=*/commit_version=*/*.parquet``).  (The
+move is one rename on HDFS and local disks; an object store copies, and a
+reader may meet a version while it is being copied.)  Between the write and the
+commit the ingest may drop version directories (pages at or after the first
+invalid page).  The next batch and version numbers are max + 1 over what is on
+storage, chosen when the write starts.  One writer per table is assumed: this
+is not a transaction log.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ from ..contracts import BRONZE_ORDERS_RAW
 from . import fs
 
 VISIBLE = "_visible"
+STAGING = "_staging"
 
 PROGRESS_SCHEMA = T.StructType(
     [
@@ -66,8 +73,9 @@ class BronzeTable:
     root: str
 
     # ----------------------------------------------------------- layout
-    def _batches(self) -> list[int]:
-        return sorted(b for b in (_num(n, "batch") for n in fs.list_dirs(self.spark, self.root)) if b is not None)
+    def _batches(self, below: str = "") -> list[int]:
+        names = fs.list_dirs(self.spark, f"{self.root}{below}")
+        return sorted(b for b in (_num(n, "batch") for n in names) if b is not None)
 
     def committed_batches(self) -> list[int]:
         return [b for b in self._batches() if self.last_visible(b) is not None]
@@ -75,8 +83,11 @@ class BronzeTable:
     def batch_path(self, batch: int) -> str:
         return f"{self.root}/batch={batch}"
 
-    def versions_in(self, batch: int) -> list[int]:
-        names = fs.list_dirs(self.spark, self.batch_path(batch))
+    def staged_path(self, batch: int) -> str:
+        return f"{self.root}/{STAGING}/batch={batch}"
+
+    def versions_in(self, batch: int, staged: bool = False) -> list[int]:
+        names = fs.list_dirs(self.spark, self.staged_path(batch) if staged else self.batch_path(batch))
         return sorted(v for v in (_num(n, "commit_version") for n in names) if v is not None)
 
     def committed_versions(self) -> list[int]:
@@ -95,32 +106,25 @@ class BronzeTable:
         return None
 
     def last_visible(self, batch: int) -> int | None:
-        """Newest visible version of a batch: the highest of its pointer files.
+        """Newest committed version of a batch.
 
-        A pointer ``_visible/<version>`` makes all of the batch's versions up
-        to it visible; versions above it (written by the same job, but not
-        reached before a crash) are never read."""
+        The version of an empty page has a marker ``_visible/<version>`` but
+        no directory; after a crash between the two, a directory may lack its
+        marker."""
         vs = [int(n) for n in fs.list_files(self.spark, f"{self.batch_path(batch)}/{VISIBLE}") if n.isdigit()]
-        return max(vs) if vs else None
+        return max(vs + self.versions_in(batch), default=None)
 
     def next_batch(self) -> int:
-        bs = self._batches()
-        return (bs[-1] + 1) if bs else 0
+        return max(self._batches() + self._batches(f"/{STAGING}"), default=-1) + 1
 
     # ------------------------------------------------------------- read
     def read(self) -> DataFrame:
         """Full snapshot, contract columns + ``batch`` and ``commit_version``."""
-        visible = {b: v for b in self._batches() if (v := self.last_visible(b)) is not None}
-        paths = [f"{self.root}/batch={b}" for b in visible]
+        paths = [self.batch_path(b) for b in self._batches() if self.versions_in(b)]
         if not paths:
             schema = BRONZE_ORDERS_RAW.schema().add("batch", T.IntegerType()).add("commit_version", T.LongType())
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(*paths)
-        # versions a crash left above the pointer; a batch that was reached whole needs no condition
-        for b, last in visible.items():
-            if any(v > last for v in self.versions_in(b)):
-                rows = rows.where(~((F.col("batch") == b) & (F.col("commit_version") > last)))
-        return rows
+        return self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(*paths)
 
     def read_since(self, version: int) -> DataFrame:
         """V7 for Bronze: rows committed after ``version`` (partition-pruned)."""
@@ -129,18 +133,18 @@ class BronzeTable:
     # ------------------------------------------------------------ write
     def write_batch(self, rows: DataFrame) -> int:
         """S3, first half: write rows that already carry ``commit_version`` into
-        a new, not yet visible batch directory; returns the batch number.
+        a new batch below the staging folder; returns the batch number.
 
         No shuffle: landed files already hold whole pages, so each task
         writes one file per page it read."""
         batch = self.next_batch()
-        rows.write.mode("error").partitionBy("commit_version").parquet(self.batch_path(batch))
+        rows.write.mode("error").partitionBy("commit_version").parquet(self.staged_path(batch))
         return batch
 
     def drop_versions(self, batch: int, versions: list[int]) -> None:
         """Remove version directories of an uncommitted batch."""
         for v in versions:
-            fs.delete(self.spark, f"{self.batch_path(batch)}/commit_version={v}")
+            fs.delete(self.spark, f"{self.staged_path(batch)}/commit_version={v}")
 
     def write_page_log(self, batch: int, rows: list[tuple[int, int, str, int]]) -> None:
         """Record (commit_version, source_page, ingestion_run_id, rows) of a batch
@@ -162,14 +166,20 @@ class BronzeTable:
         return reduce(DataFrame.unionAll, logs)
 
     def commit_batch(self, batch: int, last_version: int) -> None:
-        """S3, second half: make the batch visible up to a version (no Spark job).
+        """S3, second half: move the batch's versions up to this one into sight (no Spark job).
 
-        Called again with a later version it moves the pointer on."""
+        Called again with a later version it goes on from there."""
+        for v in self.versions_in(batch, staged=True):
+            if v <= last_version:
+                name = f"commit_version={v}"
+                fs.move(self.spark, f"{self.staged_path(batch)}/{name}", f"{self.batch_path(batch)}/{name}")
         fs.write_text_atomic(self.spark, f"{self.batch_path(batch)}/{VISIBLE}/{int(last_version)}", "")
 
     def rows_per_version(self, batch: int) -> dict[int, int]:
-        """Row count per commit version of one batch (Parquet footers; no column is read)."""
-        df = self.spark.read.parquet(self.batch_path(batch))
+        """Row count per commit version of one staged batch (Parquet footers; no column is read)."""
+        if not self.versions_in(batch, staged=True):
+            return {}
+        df = self.spark.read.parquet(self.staged_path(batch))
         return {int(r.commit_version): int(r["count"]) for r in df.groupBy("commit_version").count().collect()}
 
     def append(self, rows: DataFrame) -> int:
@@ -178,9 +188,9 @@ class BronzeTable:
         Its versions must lie above the table's: a version once visible never changes."""
         current = self.version()
         batch = self.write_batch(rows)
-        versions = self.versions_in(batch)
+        versions = self.versions_in(batch, staged=True)
         if versions and current is not None and versions[0] <= current:
-            fs.delete(self.spark, self.batch_path(batch))
+            fs.delete(self.spark, self.staged_path(batch))
             raise ValueError(f"version {versions[0]} is not above the table's version {current}")
         if versions:
             self.commit_batch(batch, versions[-1])

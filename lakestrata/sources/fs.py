@@ -31,6 +31,15 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a directory (parents of the target are made); the target must not exist."""
+    fs, src = _fs(spark, source)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
     """Create a small file; fails if it exists.
 

@@ -164,8 +164,8 @@ def test_incomplete_batch_is_invisible(spark, workdir, run_id):
     pages = _land(spark, workdir, pages=1, page_size=4, start_page=1)
     table = BronzeTable(spark, f"{workdir}/bronze")
     ingest(spark, pages, table, run_id)
-    # a second batch directory without the commit marker (a writer that died mid-job)
-    pages.limit(2).write.parquet(f"{workdir}/bronze/batch=1/commit_version=9")
+    # a second batch that a writer left staged when it died
+    pages.limit(2).write.parquet(f"{workdir}/bronze/_staging/batch=1/commit_version=9")
     assert table.version() == 0
     assert table.read().count() == 4
     assert table.next_batch() == 2
