@@ -1,8 +1,8 @@
 """Operator 2: BPE encoding and decoding by tree concatenation.
 
-The vocabulary drops white space and splits on it, so a text is encoded
-piece by piece.  A piece without white space has no such safe cut.  A long
-one is cut into leaves at any character, the leaves are encoded together,
+The vocabulary drops white space and splits on it and between letters and
+signs, so a text is encoded unit by unit (:mod:`.pieces`).  A unit has no such
+safe cut.  A long one is cut into leaves at any character, the leaves are encoded together,
 and neighbours are joined pairwise up a tree.  At each join a window around
 the cut is encoded anew.  The window grows until it holds a token that is
 also in the left part and, further right, one that is also in the right part
@@ -19,16 +19,20 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .pieces import Memo, space_free, tokenizer
+from . import kernels as K
+from .pieces import space_free_memo, space_free_split, tokenizer
 from .shared import columns, ship
 
 LEAF = 512
 WINDOW = 64
-SLICE_CHARS = 1 << 20
+SLICE_BYTES = 1 << 20
 
 
 class Part:
@@ -90,46 +94,34 @@ def encode_long(tok, text: str, leaf: int = LEAF) -> list[int]:
     return parts[0].ids
 
 
-def _pieces(path: str, leaf: int):
-    tok = tokenizer(path)
-
-    def make(pieces):
-        short = [p for p in pieces if len(p) <= leaf]
-        ids = {p: e.ids for p, e in zip(short, tok.encode_batch_fast(short, add_special_tokens=False), strict=True)}
-        for p in pieces:
-            x = ids[p] if p in ids else encode_long(tok, p, leaf)
-            # without a decoder of its own, the vocabulary's decode joins tokens by a space
-            yield np.array(x, dtype="<u4").tobytes(), tok.decode(x, skip_special_tokens=False)
-
-    return make
-
-
 def _encode(path: str, leaf: int):
     def run(batches):
-        memo = Memo(_pieces(path, leaf))
+        cut, memo = space_free_split(path), space_free_memo(path, leaf, encode_long)
+        names = token_names(path)
         for batch in batches:
-            ids, texts, i = batch.column("doc_id"), batch.column("text").to_pylist(), 0
-            while i < len(texts):
-                j, chars, split = i, 0, []
-                while j < len(texts) and (j == i or chars + len(texts[j] or "") <= SLICE_CHARS):
-                    chars += len(texts[j] or "")
-                    split.append(space_free(texts[j] or ""))
-                    j += 1
-                values = memo.of(p for s in split for p in s)
-                rows = [[values[p] for p in s] for s in split]
+            ids = batch.column("doc_id")
+            for i, j, data, off in K.slices(batch.column("text"), SLICE_BYTES):
+                raw = data.tobytes()
+                split = [cut(raw[a:b].decode()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                get = memo.of(chain.from_iterable(split)).__getitem__
+                rows = [b"".join(map(get, s)) for s in split]
+                # without a decoder of its own, the vocabulary's decode joins tokens by a space
+                decoded = [" ".join(map(names.__getitem__, np.frombuffer(r, "<u4").tolist())) for r in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(i, j - i),
-                        pa.array([b"".join([v[0] for v in r]) for r in rows], pa.binary()),
-                        pa.array([" ".join([v[1] for v in r if v[0]]) for r in rows], pa.string()),
-                    ],
-                    names=["doc_id", "ids", "decoded"],
+                    [ids.slice(i, j - i), pa.array(rows, pa.binary()), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"]
                 )
-                i = j
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
+@lru_cache(maxsize=4)
+def token_names(path: str) -> list[str]:
+    """Token of each id."""
+    by_id = {i: t for t, i in tokenizer(path).get_vocab(with_added_tokens=True).items()}
+    return [by_id.get(i, "") for i in range(max(by_id) + 1)]
+
+
 def bpe_encode_decode(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF
 ) -> DataFrame:

@@ -1,8 +1,16 @@
 """Piecewise tokenizer calls with a bounded memo.
 
-Both vocabularies of ``public_tokenizers`` split a text into pieces that are
-encoded independently of each other, and pieces repeat.  A task encodes each
-distinct piece once with the tokenizers library and joins the results.
+Both vocabularies of ``public_tokenizers`` cut a text, from left to right, into
+pieces that are encoded independently of each other, and pieces repeat.  A
+text is cut here into *units*, each of which ends where a piece surely ends:
+
+* a run of Latin letters before an ASCII character (which then is no letter);
+* a run of ASCII signs and digits without apostrophes before a Latin letter,
+  white space or the end (signs and digits inside it are cut by the library);
+* anything else up to the next white space that parts two words.
+
+A worker encodes each distinct unit once with the tokenizers library and joins
+the results.  Special strings of the vocabulary are cut out of a text first.
 """
 
 from __future__ import annotations
@@ -12,18 +20,22 @@ from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
-from tokenizers import Tokenizer, models, pre_tokenizers
+from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
 
 # Unicode white space as the tokenizers' patterns read \s (fixed values)
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_split = re.compile(f"[{SPACES}]+").split
-_odd_space = re.compile(f" (?=[{SPACES}]|$)").search
-_chunks = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+").findall
-_controls = re.compile("[\x1c-\x1f]").search
-# letters, and ASCII signs and digits that never stand in one token with them; an apostrophe may ('s)
-LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
-_runs = re.compile(f" ?[{LETTERS}]+| ?[!-&(-@\\[-`{{-~]+|\n").findall
-_word = re.compile(f" ?[{LETTERS}]+").fullmatch
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f"  # without the dotted capital I, whose lower case is two characters
+SIGNS = "!-&(-@\\[-`{-~"
+_led_units = re.compile(
+    f" ?[{LETTERS}]++(?=[\\x00-\\x7f]|\\Z)| ?[{SIGNS}]++(?=[{LETTERS} \\n]|\\Z)|\\n(?=[^{SPACES}])"
+    f"|[\\s\\S]+?(?=(?<=[^{SPACES}]) (?=[^{SPACES}])|\\Z)"
+).findall
+_free_units = re.compile(
+    f"[{LETTERS}]++(?=[\\x00-\\x7f]|\\Z)|[{SIGNS}]++(?=[{LETTERS}{SPACES}]|\\Z)|[^{SPACES}]+"
+).findall
+_led_word = re.compile(f" ?[{LETTERS}]+").fullmatch
+_ascii_word = re.compile("[A-Za-z]+").fullmatch
+LONG = 256
 
 
 @lru_cache(maxsize=4)
@@ -36,19 +48,24 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class Memo:
-    """piece -> value of at most about twice ``limit`` recently used pieces."""
+    """unit -> value of at most about twice ``limit`` recently used units; long ones are not kept."""
 
     def __init__(self, make: Callable[[list[str]], Iterable], limit: int = 200_000):
         self.make, self.limit = make, limit
         self.new: dict = {}
         self.old: dict = {}
-
-    def of(self, pieces: Iterable[str]) -> dict:
-        """A mapping that holds every given piece, valid until the next call."""
-        if len(self.new) > self.limit:
-            self.old, self.new = self.new, {}
-        new, old, missing = self.new, self.old, []
-        for p in set(pieces).difference(new):
+        self.long: list[str] = []
+
+    def of(self, units: Iterable[str]) -> dict:
+        """A mapping that holds every given unit, valid until the next call."""
+        new = self.new
+        for p in self.long:
+            del new[p]
+        if len(new) > self.limit:
+            self.old, self.new = new, {}
+            new = self.new
+        old, missing = self.old, []
+        for p in {p for p in units if p not in new}:
             v = old.get(p)
             if v is None:
                 missing.append(p)
@@ -56,51 +73,38 @@ class Memo:
                 new[p] = v
         if missing:
             new.update(zip(missing, self.make(missing), strict=True))
+        self.long = [p for p in missing if len(p) > LONG]
         return new
 
 
-def space_free(text: str) -> list[str]:
-    """Pieces between white space (for vocabularies that drop it)."""
-    if _controls(text):  # str.split would drop them
-        return [p for p in _split(text) if p]
-    return text.split()
-
-
-def space_led(text: str) -> list[str]:
-    """Pieces that each keep the one space before them (byte-level vocabularies).
-
-    A run of white space stays in one piece, but for its last space, which
-    leads the next word, as the byte-level pattern has it."""
-    if _odd_space(text):
-        return _chunks(text)
-    first, *rest = text.split(" ")
-    out = [" " + p for p in rest]
-    return [first, *out] if first else out
-
-
-@lru_cache(maxsize=4)
-def byte_level_split(path: str) -> Callable[[str], list[str]]:
-    """space_led between the special strings of the vocabulary, which end a text as its end does."""
+@lru_cache(maxsize=8)
+def _splitter(path: str, spaces_lead: bool) -> Callable[[str], list[str]]:
+    units = _led_units if spaces_lead else _free_units
     special = sorted((t.content for t in tokenizer(path).get_added_tokens_decoder().values()), key=len, reverse=True)
     if not special:
-        return space_led
-    cut = re.compile(f"({'|'.join(map(re.escape, special))})").split
+        return units
+    pattern = re.compile(f"({'|'.join(map(re.escape, special))})")
+    cut, found = pattern.split, pattern.search
 
     def split(text):
-        parts = cut(text)
-        return space_led(text) if len(parts) == 1 else [p for s in parts for p in space_led(s)]
+        if not found(text):
+            return units(text)
+        out = []
+        for i, part in enumerate(cut(text)):  # every other part is a special string
+            out += [part] if i % 2 else units(part)
+        return out
 
     return split
 
 
-def runs(piece: str) -> list[str]:
-    """Parts of a space-led piece that the byte-level pattern never joins, or the piece itself.
+def byte_level_split(path: str) -> Callable[[str], list[str]]:
+    """Units that keep the space before them (byte-level vocabularies)."""
+    return _splitter(path, True)
+
 
-    Doubled line ends (one token) and what may be a special string stay whole."""
-    parts = _runs(piece)
-    if sum(map(len, parts)) != len(piece) or "\n\n" in piece or "<|" in piece:
-        return [piece]
-    return parts
+def space_free_split(path: str) -> Callable[[str], list[str]]:
+    """Units between white space (vocabularies that drop it)."""
+    return _splitter(path, False)
 
 
 def _byte_chars() -> dict[int, str]:
@@ -110,32 +114,47 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-@lru_cache(maxsize=4)
-def byte_level_memo(path: str) -> Memo:
-    """space-led piece -> its ids as little-endian unsigned 32-bit integers.
+def _ids(x: Iterable[int]) -> bytes:
+    return array("I", x).tobytes()
 
-    One memo per Python worker, which its later tasks go on using.  A word
-    is one run of letters, hence one token of the pattern, and goes straight
-    to the vocabulary's model; all else is encoded whole."""
-    tok = tokenizer(path)
-    model, chars = tok.model, _byte_chars()
-    by_model = isinstance(model, models.BPE) and tok.normalizer is None and isinstance(tok.pre_tokenizer, pre_tokenizers.ByteLevel)
 
-    def ids(words):
-        other = [w for w in words if not (by_model and _word(w))]
+def _by_model(tok: Tokenizer, is_word, to_model: Callable[[str], str]) -> Callable[[list[str]], Iterable[bytes]]:
+    """Words (one piece each) go straight to the vocabulary's model, other units through the library whole."""
+    model = tok.model
+
+    def make(units):
+        other = [w for w in units if not is_word(w)]
         encoded = {w: e.ids for w, e in zip(other, tok.encode_batch_fast(other, add_special_tokens=False), strict=True)}
-        for w in words:
+        for w in units:
             x = encoded.get(w)
-            if x is None:
-                x = [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(chars))]
-            yield array("I", x).tobytes()
+            yield _ids(x) if x is not None else _ids([t.id for t in model.tokenize(to_model(w))])
+
+    return make
+
+
+@lru_cache(maxsize=4)
+def byte_level_memo(path: str) -> Memo:
+    """Unit of :func:`byte_level_split` -> its ids as little-endian unsigned 32-bit integers.
+
+    One memo per Python worker, which its later tasks go on using."""
+    tok, chars = tokenizer(path), _byte_chars()
+    plain = isinstance(tok.model, models.BPE) and tok.normalizer is None and isinstance(tok.pre_tokenizer, pre_tokenizers.ByteLevel)
+    is_word = _led_word if plain else (lambda w: None)
+    return Memo(_by_model(tok, is_word, lambda w: w.encode().decode("latin-1").translate(chars)), 400_000)
 
-    words = Memo(ids, 400_000)
 
-    def make(pieces):
-        split = [runs(p) for p in pieces] if by_model else [[p] for p in pieces]
-        of = words.of(w for s in split for w in s)
-        for s in split:
-            yield of[s[0]] if len(s) == 1 else b"".join([of[w] for w in s])
+@lru_cache(maxsize=4)
+def space_free_memo(path: str, leaf: int, encode_long: Callable[[Tokenizer, str, int], list[int]]) -> Memo:
+    """Unit of :func:`space_free_split` -> its ids; units longer than ``leaf`` go to ``encode_long``."""
+    tok = tokenizer(path)
+    # an ASCII word in lower case is one piece that normalisation and byte characters leave as it is
+    plain = isinstance(tok.model, models.BPE) and isinstance(tok.normalizer, normalizers.Sequence) and tok.normalizer.normalize_str("Ab") == "ab"
+    short = _by_model(tok, _ascii_word if plain else (lambda w: None), str.lower)
+
+    def make(units):
+        few = [w for w in units if len(w) <= leaf]
+        ids = dict(zip(few, short(few), strict=True))
+        for w in units:
+            yield ids[w] if w in ids else _ids(encode_long(tok, w, leaf))
 
-    return Memo(make)
+    return Memo(make, 200_000)

@@ -31,6 +31,7 @@ import hashlib
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .pieces import byte_level_memo, byte_level_split, tokenizer
 from .shared import columns, ship, stored
 
@@ -49,21 +51,17 @@ DICTIONARY_DOCS = 2000
 DICTIONARY_IDS = 4096
 
 
-def _encoded(batches, path: str, end_id: int, slice_chars: int = 1 << 20):
+def _encoded(batches, path: str, end_id: int, slice_bytes: int = K.SLICE_BYTES):
     """(doc_id, ids with the end id) of every row."""
     memo, cut, end = byte_level_memo(path), byte_level_split(path), np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
-        ids, texts, i = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), 0
-        while i < len(texts):
-            j, chars, split = i, 0, []
-            while j < len(texts) and (j == i or chars + len(texts[j] or "") <= slice_chars):
-                chars += len(texts[j] or "")
-                split.append(cut(texts[j] or ""))
-                j += 1
-            get = memo.of(p for s in split for p in s).__getitem__
+        ids = batch.column("doc_id").to_pylist()
+        for i, j, data, off in K.slices(batch.column("text"), slice_bytes):
+            raw = data.tobytes()
+            split = [cut(raw[a:b].decode()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            get = memo.of(chain.from_iterable(split)).__getitem__
             for doc_id, s in zip(ids[i:j], split, strict=True):
                 yield doc_id, np.frombuffer(b"".join(map(get, s)) + end, dtype="<u4")
-            i = j
 
 
 def _sample(path: str, end_id: int, width: int, most: int):
@@ -133,7 +131,9 @@ def write_token_files(
     spark = ship(docs.sparkSession)
     docs = columns(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     width = 2 if tokenizer(tokenizer_path).get_vocab_size() <= 1 << 16 else 4
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(dictionary_docs)
+    # chosen by ids alone, so that no text is sorted; rows of one id come along up to the same number
+    chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(dictionary_docs).distinct()
+    sample = docs.join(F.broadcast(chosen.withColumnRenamed("doc_id", "s_id")), F.col("doc_id").eqNullSafe(F.col("s_id")), "left_semi").limit(dictionary_docs)
     samples = [bytes(r["ids"]) for r in sample.mapInArrow(_sample(tokenizer_path, end_id, width, dictionary_ids), "ids binary").collect()]
     dictionary = _dictionary(samples)
     store, root = pafs.FileSystem.from_uri(folder)
