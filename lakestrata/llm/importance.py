@@ -8,9 +8,9 @@ Gumbel noise``, with noise that depends on the id and a seed alone.
 
 Features are counted once per document: lower-cased words, their first four
 bytes, shapes of neighbouring words (case, digits, the last three bytes'
-punctuation), and runs of one repeated word.  A feature's ratio is smoothed,
-and left out when it is within a factor of two of 1: features that both
-texts use alike would otherwise add up to a bonus for length.
+punctuation), and runs of one repeated word.  A feature's ratio is smoothed;
+the weight of one within a factor of two of 1 is zero by definition, as
+features that both texts use alike would add up to a bonus for length.
 
 The raw model counts every document.  The target model uses a bounded sample
 of the labels: the ``label_limit`` labels with the least hash of their id.
@@ -18,8 +18,12 @@ One half of it trains, the other half sets the cut: the log weight that
 separates target from other labelled documents best.  k is the number of
 documents at or above the cut, so the draw keeps as many as pass it.
 
-Bounds: at most ``label_limit`` label rows and ``feature_limit`` informative
-features (by |log ratio| and count) reach the driver and are broadcast.
+Bounds: at most ``label_limit`` label rows reach the driver.  All features are
+counted over all documents; those with a weight are broadcast.  With the
+smoothing, a weight needs more than PSEUDO target documents, or more than
+PSEUDO expected ones, so their number is at most 2 / PSEUDO times the target
+documents (half of ``label_limit``) times the mean features of a document,
+however large the corpus is: no limit on features is set.
 
 Defined cases: a null or wordless text has log weight 0; null ids share one noise value; equal
 ids get equal noise, and rows that tie with the k-th stay; repeated labels
@@ -40,7 +44,6 @@ from .shared import as_long, columns, ship, stored
 
 U64 = np.uint64
 LABEL_LIMIT = 20_000
-FEATURE_LIMIT = 200_000
 PSEUDO = 10.0
 LEAST_RATIO = float(np.log(2))
 SHARPNESS = 8.0
@@ -205,7 +208,6 @@ def importance_model(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_limit: int = LABEL_LIMIT,
-    feature_limit: int = FEATURE_LIMIT,
 ):
     """(feature keys, log ratios, cut, good ids) fitted on all documents and a bounded sample of labels."""
     spark = ship(docs.sparkSession)
@@ -222,7 +224,7 @@ def importance_model(
     target = spark.sparkContext.broadcast(np.sort(ids[train & good]))
     texts = columns(docs, doc_id=id_col, text=text_col).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
     counts = texts.mapInArrow(_counts(target), "feature long, docs long, good long")
-    counts = stored(counts.groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("good").alias("good")).where("docs > 10"), "op6-counts")
+    counts = stored(counts.groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("good").alias("good")), "op6-counts")
     total = counts.where("feature = 0").first()
     empty = (np.zeros(0, U64), np.zeros(0)), None
     if total is None or not total["good"] or good.all():
@@ -231,8 +233,8 @@ def importance_model(
     ratio = F.log((F.col("good") + PSEUDO) / (F.col("docs") * share + PSEUDO))
     told = (
         counts.where("feature <> 0").withColumn("ratio", ratio).where(F.abs("ratio") > LEAST_RATIO)
-        .orderBy(F.desc(F.abs("ratio") * F.col("docs")), "feature").limit(feature_limit).select("feature", "ratio").toPandas()
-    )
+        .select("feature", "ratio").toPandas()
+    )  # bounded by the label sample, see the module
     keys = told["feature"].to_numpy(dtype=np.int64).view(U64)
     order = np.argsort(keys)
     model = keys[order], told["ratio"].to_numpy(dtype=float)[order]
