@@ -624,3 +624,23 @@ def q_idempotent_pages(spark, sf_dir):
             F.count(F.lit(1)).alias("rows"), F.countDistinct("source_event_id").alias("events"), F.max("source_updated_at").alias("last_update")
         )
     )
+
+
+@register("null_audit_stored")
+def q_null_audit_stored(spark, sf_dir):
+    """Q4 of the stored table from Parquet footers."""
+    from .session import scratch_dir
+
+    path = scratch_dir(spark, "null-audit")
+    _bronze_with_null_payloads(spark, sf_dir).write.parquet(path)
+    return report(Q.stored_null_counts(spark, path, "orders_raw"))
+
+
+@register("pending_pages_bitmap")
+def q_pending_pages_bitmap(spark, sf_dir):
+    """P6 / J4 by bitmaps of completed pages; the same oracle as the anti join."""
+    pages = A.events_as_landing(spark, sf_dir).select("source_page").distinct()
+    bitmaps = V.page_bitmaps(_progress_from_events(spark, sf_dir).where("complete"))
+    return report(
+        V.pending_by_bitmap(pages, bitmaps, "RUN-A").unionByName(V.pending_by_bitmap(pages, bitmaps, "RUN-B"))
+    )

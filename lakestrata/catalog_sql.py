@@ -460,3 +460,5 @@ delivered AS (
   SELECT 'RUN-B', * FROM ev WHERE source_page % 3 = 1)
 SELECT run AS ingestion_run_id, source_page, COUNT(*) AS rows, COUNT(DISTINCT source_event_id) AS events, MAX(source_updated_at) AS last_update
 FROM delivered GROUP BY run, source_page"""
+SQL["null_audit_stored"] = SQL["null_audit"]
+SQL["pending_pages_bitmap"] = SQL["pending_pages"]

@@ -5,6 +5,7 @@ Q1 classify            expected vs observed column metadata of many tables
                        then one row per table with its severity
 Q2 breaking_columns, raise_if_breaking   offending columns as rows; raise from them
 Q4 null_counts         one pass, count_if(col IS NULL) for every column
+   stored_null_counts  the same of a stored table from its Parquet footers
 Q5 constraint_violations  rows failing a CHECK (NULL passes, as in SQL CHECK)
 Q6 grain_violations    keys of a declared grain that occur more than once
 
@@ -15,7 +16,8 @@ NULL) unless the caller asks for the schema flag.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,3 +177,39 @@ def grain_violations(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFr
 def constraint_violations(df: DataFrame, condition: Column) -> DataFrame:
     """Rows for which a CHECK condition is FALSE (NULL passes)."""
     return df.where(~F.coalesce(condition, F.lit(True)))
+
+
+FOOTER_READ = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+@contextmanager
+def footer_reads(spark: SparkSession) -> Iterator[None]:
+    """Parquet through the V2 reader with aggregates pushed into the scan, for plans made and run inside."""
+    before = {k: spark.conf.get(k) for k in FOOTER_READ}
+    try:
+        for k, v in FOOTER_READ.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def footer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """COUNT(*) and COUNT(column) of a stored table; use inside :func:`footer_reads`."""
+    stored = spark.read.parquet(path)
+    return stored.agg(F.count(F.lit(1)).alias("_rows"), *(F.count(c).alias(c) for c in stored.columns))
+
+
+def stored_null_counts(spark: SparkSession, path: str, table_name: str) -> DataFrame:
+    """Q4 of a stored Parquet table from its footers alone: no column is read.
+
+    The counts (one number per column) are found at once, as the pushed plan
+    needs its settings while it runs.  Columns of nested types can't be pushed
+    by Spark; a table that has any is counted by a scan."""
+    with footer_reads(spark):
+        row = {c: n or 0 for c, n in footer_counts(spark, path).first().asDict().items()}  # null without any file
+    rows = row.pop("_rows")
+    return spark.createDataFrame(
+        [(table_name, c, rows - n, rows) for c, n in row.items()], "table_name string, column_name string, null_count long, rows long"
+    )
