@@ -22,6 +22,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM decided GROUP BY doc_id"""
 
+SQL["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+                                    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS shingles
+  FROM words),
+members AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reached r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.shingles"""
+
 # floor(256 * x) of every component, without rows that take no part
 _VECTORS = """
 vectors AS (
