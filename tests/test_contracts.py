@@ -1,70 +1,61 @@
 """Contract classification (Q1/Q2) and audits (Q4/Q6)."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.contracts import BRONZE_ORDERS_RAW, SILVER_ORDERS, SchemaContractViolation
+from lakestrata.contracts import BRONZE_ORDERS_RAW, GOLD_CUSTOMER_VALUE, SILVER_CUSTOMERS, SILVER_ORDERS, SchemaContractViolation
 from lakestrata.operators import quality as Q
 
 
-def _empty(spark, schema):
-    return spark.createDataFrame([], schema)
-
-
-def _classify(spark, schema):
-    return Q.check_schema(spark, BRONZE_ORDERS_RAW, _empty(spark, schema)).collect()[0]
-
-
-def test_identical_schema_is_no_change(spark):
-    assert _classify(spark, BRONZE_ORDERS_RAW.schema()).kind == "none"
-
-
-def test_extra_column_is_additive(spark):
-    r = _classify(spark, BRONZE_ORDERS_RAW.schema().add("source_region", T.StringType()))
-    assert (r.kind, r.added) == ("additive", "source_region")
+CONTRACTS = [BRONZE_ORDERS_RAW, SILVER_ORDERS, SILVER_CUSTOMERS, GOLD_CUSTOMER_VALUE]
+OTHER_TYPE = {T.StringType(): T.BinaryType(), T.IntegerType(): T.LongType(), T.LongType(): T.IntegerType(), T.TimestampType(): T.StringType()}
 
 
-def test_missing_column_is_breaking(spark):
-    schema = T.StructType([f for f in BRONZE_ORDERS_RAW.schema() if f.name != "payload"])
-    r = _classify(spark, schema)
-    assert (r.kind, r.removed) == ("breaking", "payload")
-
-
-def test_retyped_column_is_breaking(spark):
-    schema = T.StructType(
-        [T.StructField("source_page", T.LongType(), False) if f.name == "source_page" else f for f in BRONZE_ORDERS_RAW.schema()]
-    )
-    r = _classify(spark, schema)
-    assert (r.kind, r.retyped) == ("breaking", "source_page:int>bigint")
-
-
-def test_loosened_nullability_is_breaking_and_tightening_is_not(spark):
-    loose = T.StructType([T.StructField(f.name, f.dataType, True) if f.name == "payload" else f for f in BRONZE_ORDERS_RAW.schema()])
-    r = _classify(spark, loose)
-    assert (r.kind, r.loosened) == ("breaking", "payload")
-    tight = T.StructType([T.StructField(f.name, f.dataType, False) for f in SILVER_ORDERS.schema()])
-    assert Q.check_schema(spark, SILVER_ORDERS, _empty(spark, tight)).collect()[0].kind == "none"
-
-
-def test_legacy_inferred_schema_is_breaking(spark):
-    """The legacy script kept timestamps as strings and an int64 page."""
-    legacy = T.StructType(
-        [
-            T.StructField("source_event_id", T.StringType(), False),
-            T.StructField("source_updated_at", T.StringType(), False),
-            T.StructField("ingested_at", T.StringType(), False),
-            T.StructField("ingestion_run_id", T.StringType(), False),
-            T.StructField("source_page", T.LongType(), False),
-            T.StructField("payload", T.StringType(), False),
-        ]
-    )
-    r = _classify(spark, legacy)
-    assert r.kind == "breaking" and "source_page:int>bigint" in r.retyped
+def _empty(spark, schema):
+    return spark.createDataFrame([], schema)
 
 
-def test_silver_has_the_columns_gold_needs():
-    assert {"order_id", "customer_id", "order_date", "order_status", "net_amount"} <= set(SILVER_ORDERS.names)
+def _edited(contract, r):
+    """A schema some random edits away from the contract, and the finding that they must give."""
+    found = {"added": [], "removed": [], "retyped": [], "loosened": []}
+    fields = []
+    for f in contract.schema():
+        edit = r.choice(["keep"] * 5 + ["drop", "retype", "loosen", "tighten"])
+        if edit == "drop":
+            found["removed"].append(f.name)
+            continue
+        kind, nullable = f.dataType, f.nullable
+        if edit == "retype":
+            kind = OTHER_TYPE.get(kind, T.StringType())
+            found["retyped"].append(f"{f.name}:{f.dataType.simpleString()}>{kind.simpleString()}")
+        elif edit == "loosen" and not nullable:
+            nullable = True
+            found["loosened"].append(f.name)
+        elif edit == "tighten":
+            nullable = False
+        fields.append(T.StructField(f.name, kind, nullable))
+    for k in range(r.choice([0, 0, 1, 3])):
+        found["added"].append(f"extra_{k}")
+        fields.append(T.StructField(f"extra_{k}", T.DoubleType()))
+    r.shuffle(fields)  # the order of columns is no part of a contract
+    broken = found["removed"] or found["retyped"] or found["loosened"]
+    kind = "breaking" if broken else "additive" if found["added"] else "none"
+    return T.StructType(fields), kind, {k: ",".join(sorted(v)) for k, v in found.items()}
+
+
+def test_random_edits_are_classified_by_what_they_do(spark):
+    r, kinds = random.Random(31), set()
+    for n in range(24):
+        contract = CONTRACTS[n % len(CONTRACTS)]
+        schema, kind, found = _edited(contract, r) if n >= 4 else (contract.schema(), "none", dict.fromkeys(("added", "removed", "retyped", "loosened"), ""))
+        row = Q.check_schema(spark, contract, _empty(spark, schema)).collect()[0]
+        assert (row.table_name, row.kind) == (contract.name, kind), found
+        assert {k: row[k] or "" for k in found} == found
+        kinds.add(kind)
+    assert kinds == {"none", "additive", "breaking"}
 
 
 def test_breaking_columns_are_rows_and_the_error_lists_them(spark):

@@ -1,4 +1,6 @@
-"""Batch ingest: the ghost-retry scenario, history, dedupe, validation cut-off."""
+"""Batch ingest: crashes and retries, history, dedupe, validation cut-off."""
+
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from tools.source_fixture import source_records
 def crash_on(page_to_kill):
     def hook(page, version):
         if page == page_to_kill:
-            raise CheckpointWriteInterrupted(f"simulated crash after commit v{version}, before progress for {page}")
+            raise CheckpointWriteInterrupted(f"stopped behind page {page}")
 
     return hook
 
@@ -25,65 +27,42 @@ def _land(spark, workdir, **kw):
     return read_pages(spark, landing)
 
 
-def _crash_then_retry(spark, workdir, run_id, per_batch=1):
-    pages = _land(spark, workdir, pages=3, page_size=5, start_page=41)
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_random_crashes_follow_the_model(spark, workdir, seed):
+    """Attempts of random chunk sizes that break off behind random pages, against a list of commits kept by hand."""
+    r = random.Random(seed)
+    first, n, size = r.randint(1, 50), r.randint(3, 5), r.randint(2, 4)
+    pages = list(range(first, first + n))
+    landed = _land(spark, workdir, pages=n, page_size=size, start_page=first)
     table = BronzeTable(spark, f"{workdir}/bronze")
-    with pytest.raises(IngestError) as err:
-        ingest(spark, pages, table, run_id, after_commit=crash_on(42), max_pages_per_batch=per_batch)
-    assert isinstance(err.value.cause, CheckpointWriteInterrupted)
-    return pages, table
-
-
-def test_ghost_retry_duplicates_page_42(spark, workdir, run_id):
-    pages, table = _crash_then_retry(spark, workdir, run_id)
-    assert table.version() == 1
-    done = {r.source_page for r in table.progress().where("complete").collect()}
-    assert 41 in done and 42 not in done
-
-    result = ingest(spark, pages, table, run_id, max_pages_per_batch=1)
-    assert result.pages_skipped == [41]
-    assert result.pages_appended == [42, 43]
-    assert (result.first_version, result.last_version, result.rows_appended) == (2, 3, 10)
-
-    rows = table.read()
-    assert rows.count() == 20
-    assert rows.select("source_event_id").distinct().count() == 15
-    assert rows.where(F.col("source_page") == 42).count() == 10
-
-
-def test_ghost_retry_visible_in_history(spark, workdir, run_id):
-    pages, table = _crash_then_retry(spark, workdir, run_id)
-    ingest(spark, pages, table, run_id, max_pages_per_batch=1)
-    h = commit_history(table.read()).where(F.col("source_page") == 42).collect()
-    assert len(h) == 2
-    assert all(r.ingestion_run_id == run_id for r in h)
-    assert sorted(r.commit_version for r in h) == [1, 2]
-
-
-def test_silver_resolves_the_replay(spark, workdir, run_id):
-    pages, table = _crash_then_retry(spark, workdir, run_id)
-    ingest(spark, pages, table, run_id, max_pages_per_batch=1)
-    assert table.read().count() == 20
+    commits, done = [], set()
+    for attempt in range(3):
+        left = [p for p in pages if p not in done]
+        stop = r.choice(left) if attempt < 2 and left else None
+        hook = crash_on(stop) if stop is not None else None
+        chunk = r.choice([1, 2, 100])
+        if stop is None:
+            result = ingest(spark, landed, table, "RUN-M", after_commit=hook, max_pages_per_batch=chunk)
+        else:
+            with pytest.raises(IngestError) as err:
+                ingest(spark, landed, table, "RUN-M", after_commit=hook, max_pages_per_batch=chunk)
+            assert isinstance(err.value.cause, CheckpointWriteInterrupted)
+            result = err.value.result
+        reached = left if stop is None else left[: left.index(stop) + 1]  # the page it stops behind is committed
+        assert result.pages_skipped == sorted(done) and result.pages_appended == reached
+        assert result.rows_appended == size * len(reached)
+        base = len(commits)
+        assert (result.first_version, result.last_version) == ((base, base + len(reached) - 1) if reached else (None, None))
+        commits += reached
+        done |= set(reached) - {stop}
+        # the table is the list of commits, whatever the chunks were
+        history = {x.commit_version: (x.source_page, x.rows, x.ingestion_run_id) for x in commit_history(table.read()).collect()}
+        assert history == {v: (p, size, "RUN-M") for v, p in enumerate(commits)}
+        assert [x.source_page for x in table.commit_log().orderBy("commit_version").collect()] == commits
+        assert {x.source_page for x in table.progress().where("complete").collect()} == done
+    assert len(commits) > n  # pages came again
     silver = silver_orders(table.read())
-    assert silver.count() == 15
-    assert silver.select("order_id").distinct().count() == 15
-
-
-@pytest.mark.parametrize("per_batch", [1, 2, 100])
-def test_chunk_size_does_not_show_in_the_table(spark, workdir, run_id, per_batch):
-    """However many pages one write job holds, the crash at 42 shows 41 and 42 only."""
-    pages, table = _crash_then_retry(spark, workdir, run_id, per_batch=per_batch)
-    assert table.version() == 1
-    assert sorted(r.source_page for r in table.read().select("source_page").distinct().collect()) == [41, 42]
-    assert [r.source_page for r in table.commit_log().orderBy("commit_version").collect()] == [41, 42]
-    result = ingest(spark, pages, table, run_id, max_pages_per_batch=per_batch)
-    assert result.pages_skipped == [41]
-    assert result.pages_appended == [42, 43]
-    rows = table.read()
-    assert rows.count() == 20
-    assert rows.select("source_event_id").distinct().count() == 15
-    assert rows.where(F.col("source_page") == 42).count() == 10
-    assert table.version() == 3
+    assert silver.count() == n * size == silver.select("order_id").distinct().count()
 
 
 def test_append_below_the_current_version_is_refused(spark, workdir, run_id):
