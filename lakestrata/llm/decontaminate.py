@@ -22,7 +22,9 @@ a copy may stand inside a sentence, or begin one.
 Besides, every item's case-folded words are indexed as they are, in windows
 or whole if it is short, whatever share of them are placeholders.  These
 literal windows need no slot check; a pair that has ``least_share`` of them is
-a leak, and the larger of the two shares is reported.
+a leak, and the larger of the two shares is reported.  An item of fewer than
+``TELLING_WORDS`` words ("Yes", "42") says nothing about a document that holds it
+among others: it is a leak only where it is the whole document.
 
 The document side is thinned by a fixed-size bit filter of the benchmark's
 window hashes before the join; the join itself is exact on the hash.
@@ -55,6 +57,7 @@ from .shared import as_long, bit_filter, columns, in_filter, ship, stored
 U64 = np.uint64
 WINDOW = 12
 LEAST_WORDS = 5
+TELLING_WORDS = 3
 LEAST_LITERAL = 0.5
 LEAST_SHARE = 0.25
 
@@ -178,6 +181,8 @@ def _windows(lengths: list[int], whole_below: int, filt):
                         continue
                     h = K.mix(acc ^ LITERAL)
                     ok = wanted(h, at, w)
+                    if w < TELLING_WORDS:  # too short to tell anything but as a whole document
+                        ok &= per[row[at]] == w
                     # each literal window once a row
                     for x, r in set(zip(h[ok].tolist(), row[at[ok]].tolist(), strict=True)):
                         out.append((pos + r, x, x, 0, w, True, False, [], [], []))
@@ -211,7 +216,7 @@ def _windows(lengths: list[int], whole_below: int, filt):
                     )
                 pos = end
 
-    return run
+    return K.trimmed(run)
 
 
 def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
