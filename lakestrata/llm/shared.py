@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 FILTER_BITS = 1 << 24
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the executors this package (once per application), as ``--py-files`` would."""
+    """Give the executors this package (once per application), as ``--py-files`` would.
+
+    Arrow batches of whole texts are kept small: Spark's default of 10,000
+    rows is lowered, a value of the user's own is left alone."""
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, "2000")
     if sc.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="package-")) / "lakestrata_package.zip"

@@ -234,8 +234,12 @@ def test_decontaminate(spark, empty):
     ]
     docs = _docs(spark, texts)
     got = {(r.doc_id, r.item_id): r.exact for r in find_leaks(docs, items).collect()}
-    assert set(got) == {(0, 1), (1, 1), (2, 1), (6, 2)} or set(got) == {(0, 1), (1, 1), (6, 2)}
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (6, 2)}
     assert got[(0, 1)] and not got[(1, 1)]
+    # short items: leaks as whole documents only
+    brief = spark.createDataFrame([(1, "Yes"), (2, "42"), (3, "the answer is 42"), (4, "it is in the sea")], "item_id long, text string")
+    answers = _docs(spark, ["yes", "42", "the Answer is  42", "well yes it is 42 and the answer is 42 too", "they say it is in the sea now", None])
+    assert {(r.doc_id, r.item_id) for r in find_leaks(answers, brief).collect()} == {(0, 1), (1, 2), (2, 3), (3, 3), (4, 4)}
     # 24 stands for two numbers: another text, not the item with other values
     clash = q.replace("how many rolls", "how many 24 rolls")
     two = spark.createDataFrame([(1, clash)], "item_id long, text string")
@@ -349,12 +353,17 @@ def test_hashes_are_of_whole_texts(docs):
     assert ids.h == hashlib.sha256(bytes(ids.ids)).hexdigest()
 
 
-def test_byte_level_pieces_keep_the_pattern():
-    tok, memo, rng = pieces.tokenizer(BYTE_BPE), pieces.byte_level_memo(BYTE_BPE), random.Random(5)
-    atoms = ["a", "Word", "é", "ß", "Ω", "²", "7", "'", "'s", ".", ",", "!", "\n", " ", "\t", "\xa0", "<|endoftext|>", "_", "字", "x\u0301", "\x1c"]
-    for _ in range(4000):
-        text = "".join(rng.choices(atoms, k=rng.randint(0, 9)))
-        parts = pieces.byte_level_split(BYTE_BPE)(text)
-        of = memo.of(parts)
-        got = np.frombuffer(b"".join(of[p] for p in parts), "<u4").tolist()
-        assert got == tok.encode(text, add_special_tokens=False).ids, repr(text)
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_units_are_encoded_as_whole_texts(path):
+    tok, r = pieces.tokenizer(path), random.Random(5)
+    cut = pieces.byte_level_split(path) if path == BYTE_BPE else pieces.space_free_split(path)
+    memo = pieces.byte_level_memo(path) if path == BYTE_BPE else pieces.space_free_memo(path, 64, encode_long)
+    atoms = ["a", "Word", "\xe9", "\xdf", "\u03a9", "\u03c2", "\xb2", "7", "'", "'s", "'ll", "don't", ".", ",", "!", "=\u0338", "\n", "\r", " ", "  ", "\t", "\xa0", "\u3000",
+             "<|endoftext|>", "<|startoftext|>", "<|", "_", "\u5b57", "x\u0301", "\x1c", "\x85", "\u0130", "\u017f", "\u212a", "\u01c5", "\U0001f600", "x" * 70]
+    texts = ["".join(r.choices(atoms, k=r.randint(0, 12))) for _ in range(6000)]
+    texts += [f"a{chr(c)}b {chr(c)} 1{chr(c)}!" for c in range(1, 0x3100)]
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    for text, ids in zip(texts, want, strict=True):
+        units = cut(text)
+        of = memo.of(units)
+        assert np.frombuffer(b"".join(of[u] for u in units), "<u4").tolist() == ids, repr(text)
