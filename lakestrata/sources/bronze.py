@@ -5,7 +5,7 @@ Layout::
     <root>/_staging/batch=<b>/commit_version=<v>/part-*.parquet   written, not yet committed
     <root>/batch=<b>/commit_version=<v>/part-*.parquet            committed
     <root>/batch=<b>/_pages/                                      (version, page, run, rows) of the batch
-    <root>/batch=<b>/_visible/<v>                                 newest committed version of the batch
+    <root>/batch=<b>/_visible/<v>                                 committed up to this version (pages committed one by one: empty ones only)
     <root>/_progress/                                             (run_id, page) progress rows
 
 A write job appends any number of pages; each page becomes its own commit
@@ -109,8 +109,8 @@ class BronzeTable:
         """Newest committed version of a batch.
 
         The version of an empty page has a marker ``_visible/<version>`` but
-        no directory; after a crash between the two, a directory may lack its
-        marker."""
+        no directory; a directory may lack its marker, as those of pages committed
+        one by one do."""
         vs = [int(n) for n in fs.list_files(self.spark, f"{self.batch_path(batch)}/{VISIBLE}") if n.isdigit()]
         return max(vs + self.versions_in(batch), default=None)
 
@@ -171,9 +171,24 @@ class BronzeTable:
         Called again with a later version it goes on from there."""
         for v in self.versions_in(batch, staged=True):
             if v <= last_version:
-                name = f"commit_version={v}"
-                fs.move(self.spark, f"{self.staged_path(batch)}/{name}", f"{self.batch_path(batch)}/{name}")
-        fs.write_text_atomic(self.spark, f"{self.batch_path(batch)}/{VISIBLE}/{int(last_version)}", "")
+                self._move_version(batch, v)
+        self._mark_visible(batch, last_version)
+
+    def commit_version(self, batch: int, version: int) -> None:
+        """:meth:`commit_batch` for the version after the last committed one: it lists nothing.
+
+        The version's directory in sight is its own marker; an empty page has none."""
+        if fs.exists(self.spark, f"{self.staged_path(batch)}/commit_version={version}"):
+            self._move_version(batch, version)
+        else:
+            self._mark_visible(batch, version)
+
+    def _move_version(self, batch: int, version: int) -> None:
+        name = f"commit_version={version}"
+        fs.move(self.spark, f"{self.staged_path(batch)}/{name}", f"{self.batch_path(batch)}/{name}")
+
+    def _mark_visible(self, batch: int, version: int) -> None:
+        fs.write_text_atomic(self.spark, f"{self.batch_path(batch)}/{VISIBLE}/{int(version)}", "")
 
     def rows_per_version(self, batch: int) -> dict[int, int]:
         """Row count per commit version of one staged batch (Parquet footers; no column is read)."""

@@ -3,12 +3,19 @@ so the same code works on a local disk, HDFS or an object store URI."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import SparkSession
 
 
+@lru_cache(maxsize=1)
+def _path_class(jvm):
+    """Hadoop's Path; each step of its name would be a call to the JVM."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = _path_class(spark.sparkContext._jvm)(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
@@ -34,7 +41,7 @@ def delete(spark: SparkSession, path: str) -> None:
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a directory (parents of the target are made); the target must not exist."""
     fs, src = _fs(spark, source)
-    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    dst = _path_class(spark.sparkContext._jvm)(target)
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
         raise OSError(f"could not move {source} to {target}")

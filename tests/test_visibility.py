@@ -86,3 +86,21 @@ def test_replacing_stops_at_the_first_invalid_page(spark, workdir):
     out = {r.source_page: r.committable for r in ingest_replacing(spark, broken, table, "RUN-1").collect()}
     assert out == {1: True, 2: True, 3: False, 4: False}
     assert sorted(r[0] for r in table.read().select("source_page").distinct().collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("hook", [None, lambda page, version: None])
+def test_listings_do_not_grow_with_pages(spark, workdir, monkeypatch, hook):
+    from lakestrata.sources import bronze as B
+
+    listed, real = [], B.fs.list_dirs
+    monkeypatch.setattr(B.fs, "list_dirs", lambda *a: listed.append(a) or real(*a))
+    calls = []
+    for pages in (2, 9):
+        landed = _landed(spark, f"{workdir}/landing{pages}", pages=pages, page_size=3)
+        table = BronzeTable(spark, f"{workdir}/bronze{pages}")
+        listed.clear()
+        assert ingest(spark, landed, table, "RUN-1", after_commit=hook).last_version == pages - 1
+        calls.append(len(listed))
+        assert table.version() == pages - 1 and table.read().count() == 3 * pages
+        assert table.commit_log().count() == table.progress().count() == pages
+    assert calls[0] == calls[1]
