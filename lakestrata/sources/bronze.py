@@ -165,13 +165,20 @@ class BronzeTable:
             return self.spark.createDataFrame([], PAGE_LOG_SCHEMA)
         return reduce(DataFrame.unionAll, logs)
 
-    def commit_batch(self, batch: int, last_version: int) -> None:
+    def commit_batch(self, batch: int, last_version: int, staged: list[int] | None = None) -> None:
         """S3, second half: move the batch's versions up to this one into sight (no Spark job).
 
-        Called again with a later version it goes on from there."""
-        for v in self.versions_in(batch, staged=True):
-            if v <= last_version:
-                self._move_version(batch, v)
+        Called again with a later version it goes on from there.  A batch that
+        is committed whole, with nothing of it in sight yet, moves in one rename.
+        ``staged`` saves the listing where the caller has just made it."""
+        if staged is None:
+            staged = self.versions_in(batch, staged=True)
+        if staged and staged[-1] <= last_version and not fs.exists(self.spark, self.batch_path(batch)):
+            fs.move(self.spark, self.staged_path(batch), self.batch_path(batch))
+        else:
+            for v in staged:
+                if v <= last_version:
+                    self._move_version(batch, v)
         self._mark_visible(batch, last_version)
 
     def commit_version(self, batch: int, version: int) -> None:
@@ -208,7 +215,7 @@ class BronzeTable:
             fs.delete(self.spark, self.staged_path(batch))
             raise ValueError(f"version {versions[0]} is not above the table's version {current}")
         if versions:
-            self.commit_batch(batch, versions[-1])
+            self.commit_batch(batch, versions[-1], versions)
         return batch
 
     # --------------------------------------------------------- progress

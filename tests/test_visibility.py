@@ -104,3 +104,15 @@ def test_listings_do_not_grow_with_pages(spark, workdir, monkeypatch, hook):
         assert table.version() == pages - 1 and table.read().count() == 3 * pages
         assert table.commit_log().count() == table.progress().count() == pages
     assert calls[0] == calls[1]
+
+
+def test_append_comes_into_sight_by_one_move(spark, workdir, monkeypatch):
+    from lakestrata.sources import bronze as B
+
+    moved, real = [], B.fs.move
+    monkeypatch.setattr(B.fs, "move", lambda *a: moved.append(a) or real(*a))
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    for first in (0, 5):
+        table.append(spark.range(20).selectExpr("id", f"id % 5 + {first} as commit_version"))
+    assert len(moved) == 2 and table.committed_versions() == list(range(10))
+    assert table.read().count() == spark.read.parquet(table.root).count() == 40
