@@ -28,6 +28,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +59,16 @@ PAGE_LOG_SCHEMA = T.StructType(
 )
 
 
+ARROW_TYPES = {T.StringType(): pa.string(), T.IntegerType(): pa.int32(), T.LongType(): pa.int64(), T.BooleanType(): pa.bool_()}
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Some rows of the driver as a DataFrame that no Python worker has to read."""
+    names = schema.names
+    fields = [pa.field(f.name, ARROW_TYPES[f.dataType], f.nullable) for f in schema.fields]
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=pa.schema(fields)))
+
+
 def _num(name: str, key: str) -> int | None:
     if name.startswith(key + "="):
         try:
@@ -149,7 +160,7 @@ class BronzeTable:
     def write_page_log(self, batch: int, rows: list[tuple[int, int, str, int]]) -> None:
         """Record (commit_version, source_page, ingestion_run_id, rows) of a batch
         before it is committed: a tiny commit log read instead of the data."""
-        self.spark.createDataFrame(rows, PAGE_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        local_table(self.spark, rows, PAGE_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             f"{self.batch_path(batch)}/_pages"
         )
 

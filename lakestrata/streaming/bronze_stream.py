@@ -94,6 +94,7 @@ def start_bronze_stream(
                 max_pages_per_batch=max_pages_per_batch,
                 pages=pending,
                 idempotent=idempotent,
+                done=done,
             )
 
     writer = landing_stream(spark, landing, max_files_per_trigger).writeStream.foreachBatch(each_batch).option(

@@ -116,3 +116,16 @@ def test_append_comes_into_sight_by_one_move(spark, workdir, monkeypatch):
         table.append(spark.range(20).selectExpr("id", f"id % 5 + {first} as commit_version"))
     assert len(moved) == 2 and table.committed_versions() == list(range(10))
     assert table.read().count() == spark.read.parquet(table.root).count() == 40
+
+
+def test_stream_reads_progress_once_a_batch(spark, workdir, monkeypatch):
+    from lakestrata.plans import ingest as I
+    from lakestrata.streaming import bronze_stream as S
+
+    asked, real = [], I.completed_pages
+    for module in (I, S):
+        monkeypatch.setattr(module, "completed_pages", lambda *a: asked.append(a) or real(*a))
+    _landed(spark, f"{workdir}/landing", pages=4, page_size=3)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    S.run_to_completion(S.start_bronze_stream(spark, f"{workdir}/landing", table, "RUN-1", f"{workdir}/ckpt"))
+    assert len(asked) == 1 and table.read().count() == 12
