@@ -19,6 +19,8 @@ import re
 from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
 
@@ -58,14 +60,31 @@ class Memo:
 
     def of(self, units: Iterable[str]) -> dict:
         """A mapping that holds every given unit, valid until the next call."""
-        new = self.new
+        new = self._next()
+        self._add({p for p in units if p not in new})
+        return new
+
+    def values(self, units: list[str]) -> list:
+        """The value of every given unit, in order; a unit that is kept is looked up once."""
+        new = self._next()
+        out = list(map(new.get, units))
+        gaps = list(compress(range(len(out)), map(not_, out)))
+        self._add({units[i] for i in gaps})
+        for i in gaps:
+            out[i] = new[units[i]]
+        return out
+
+    def _next(self) -> dict:
         for p in self.long:
-            del new[p]
-        if len(new) > self.limit:
-            self.old, self.new = new, {}
-            new = self.new
-        old, missing = self.old, []
-        for p in {p for p in units if p not in new}:
+            del self.new[p]
+        self.long = []
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
+        return self.new
+
+    def _add(self, units: set[str]) -> None:
+        new, old, missing = self.new, self.old, []
+        for p in units:
             v = old.get(p)
             if v is None:
                 missing.append(p)
@@ -74,7 +93,6 @@ class Memo:
         if missing:
             new.update(zip(missing, self.make(missing), strict=True))
         self.long = [p for p in missing if len(p) > LONG]
-        return new
 
 
 @lru_cache(maxsize=8)

@@ -59,9 +59,11 @@ def _encoded(batches, path: str, end_id: int, slice_bytes: int = K.SLICE_BYTES):
         for i, j, data, off in K.slices(batch.column("text"), slice_bytes):
             raw = data.tobytes()
             split = [cut(raw[a:b].decode()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            get = memo.of(chain.from_iterable(split)).__getitem__
+            values = memo.values(list(chain.from_iterable(split)))
+            b = 0
             for doc_id, s in zip(ids[i:j], split, strict=True):
-                yield doc_id, np.frombuffer(b"".join(map(get, s)) + end, dtype="<u4")
+                a, b = b, b + len(s)
+                yield doc_id, np.frombuffer(b"".join(values[a:b]) + end, dtype="<u4")
 
 
 def _sample(path: str, end_id: int, width: int, most: int):

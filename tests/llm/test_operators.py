@@ -116,6 +116,20 @@ def test_jaccard_cells_of_one_large_family(spark, monkeypatch):
     assert sizes.value == 0
 
 
+def test_memo_values_are_those_of_the_mapping():
+    made = []
+
+    def make(units):
+        made.extend(units)
+        return [u.encode() for u in units]
+
+    memo = pieces.Memo(make, limit=4)
+    long = "x" * (pieces.LONG + 1)
+    for units in (["a", "b", "a", long, long], [], [long, "c", "a"], list("defgh"), ["a", "d", "z"]):
+        assert memo.values(units) == [u.encode() for u in units]
+    assert long not in memo.values(["a"]) and sorted(made) == sorted([*"abcdefghz", long, long])
+
+
 def test_bpe_tree_concatenation_is_exact():
     tok, r = Tokenizer.from_file(WORD_BPE), random.Random(5)
     for _ in range(120):
