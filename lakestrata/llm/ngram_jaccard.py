@@ -25,7 +25,11 @@ last round pairs whatever is left, so nothing is dropped.
 Groups of copies: equal sets are one set from the start.  In every round each
 set is first checked against the least set of its index entries (one row per
 set and entry, never all pairs); sets already in one component are not paired
-again, which loses no component.
+again, which loses no component.  While frequent entries remain and it finds
+links, each set is also checked against a few sets drawn for each of its
+frequent entries, so a large group of near copies is one component before its
+sets are paired.  Pairs that share several of the commonest entries are made
+once, not once for each.
 
 Defined cases: null or wordless text has n_shingles 0 and is its own
 component; a text of fewer than n words is one shingle; equal ids are
@@ -49,6 +53,9 @@ COMMON_BITS = 1 << 25
 RARE_LIMIT = 24
 MAX_ROUNDS = 3
 CELL_PAIRS = 1000
+PIVOTS = 4
+PIVOT_TURNS = 4
+SLOT_BITS, SLOT_WORDS = 63, 4
 #: hash values at which every set's number of smaller tokens is kept, up to 20/64 of all values
 CUTS = np.arange(1, 21, dtype=U64) << U64(58)
 
@@ -82,8 +89,13 @@ def _members(n: int, num: int, den: int):
     return K.trimmed(run)
 
 
+def _chosen(batch: pa.RecordBatch, filt: np.ndarray) -> pa.RecordBatch:
+    """The rows whose text hash the filter may hold."""
+    return batch.filter(pa.array(in_filter(filt, batch.column("text_hash").to_numpy().view(U64))))
+
+
 def _index(n: int, num: int, den: int, todo, common):
-    """Index entries of each distinct set: (token, set_key, meta).
+    """Index entries of each distinct set: (token, set_key, meta); of the texts that ``todo`` holds, if given.
 
     ``meta`` is flagged << 32 | size << 1 | whether a combination; flagged
     counts the tokens up to the set's last cut that the filter ``common``
@@ -94,15 +106,14 @@ def _index(n: int, num: int, den: int, todo, common):
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
+            if todo_v is not None:
+                batch = _chosen(batch, todo_v)
             for _, _, data, off in K.slices(batch.column("text")):
                 sets, b = K.shingle_sets(data, off, n)
                 keys = K.set_keys(sets, b)
-                want = np.diff(b) > 0
-                if todo_v is not None:
-                    want &= in_filter(todo_v, keys)
                 toks, lens, rows, meta = [], [], [], []
                 flag = in_filter(common_v, sets) if common_v is not None else None
-                for r in np.flatnonzero(want).tolist():
+                for r in np.flatnonzero(np.diff(b)).tolist():
                     key = int(keys[r])
                     if key in seen:
                         continue
@@ -151,11 +162,11 @@ def _wanted_sets(n: int, wanted):
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            for _, _, data, off in K.slices(batch.column("text")):
+            for _, _, data, off in K.slices(_chosen(batch, wanted_v).column("text")):
                 sets, b = K.shingle_sets(data, off, n)
                 keys = K.set_keys(sets, b)
                 out_k, out_s = [], []
-                for r in np.flatnonzero((np.diff(b) > 0) & in_filter(wanted_v, keys)).tolist():
+                for r in np.flatnonzero(np.diff(b)).tolist():
                     if int(keys[r]) not in seen:
                         seen.add(int(keys[r]))
                         out_k.append(keys[r])
@@ -188,6 +199,11 @@ def _similar(num: int, den: int):
     return run
 
 
+def _texts(sets: DataFrame, key: str, stats: DataFrame) -> DataFrame:
+    """The hash of one text of each set."""
+    return sets.join(stats.select("set_key", "text_hash"), sets[key] == stats["set_key"]).select("text_hash")
+
+
 def _dealt(pairs: DataFrame, cell_pairs: int) -> DataFrame:
     """Pairs (a, b) with the cell they are verified in.
 
@@ -200,23 +216,64 @@ def _dealt(pairs: DataFrame, cell_pairs: int) -> DataFrame:
     return pairs.join(many, pairs["a"] == many["many a"], "left").select("a", "b", F.expr(cell).alias("cell"))
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, name: str) -> DataFrame:
+def _verify(docs: DataFrame, stats: DataFrame, pairs: DataFrame, n: int, num: int, den: int, name: str) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold.
 
-    A set goes to a cell once, however many of the cell's pairs hold it.  A
+    Only texts of these sets, one of each, are cut into shingles.  A set goes to a cell once, however many of the cell's pairs hold it.  A
     cell holds some thousand sets, however many pairs one set is in: only that
     set itself is repeated in each of its cells."""
     spark = docs.sparkSession
     pairs = stored(pairs.select("a", "b"), f"{name}-pairs")
     pairs = stored(_dealt(pairs, CELL_PAIRS), f"{name}-dealt")
     nodes = pairs.select("cell", F.explode(F.array("a", "b")).alias("k")).distinct().selectExpr("cell + 0 as cell", "k")
-    wanted = spark.sparkContext.broadcast(bit_filter(nodes, "k"))
-    sets = docs.select("text").mapInArrow(_wanted_sets(n, wanted), "set_key long, tokens binary")
+    wanted = spark.sparkContext.broadcast(bit_filter(_texts(nodes.select("k").distinct(), "k", stats), "text_hash"))
+    sets = docs.select("text", "text_hash").mapInArrow(_wanted_sets(n, wanted), "set_key long, tokens binary")
     sets = sets.dropDuplicates(["set_key"]).join(nodes, F.col("set_key") == F.col("k")).select("cell", "set_key", "tokens")
     similar = sets.groupBy("cell").cogroup(pairs.groupBy("cell")).applyInArrow(_similar(num, den), "a long, b long")
     return stored(similar, f"{name}-links")
 
 
+def _slotted(entries: DataFrame) -> tuple[DataFrame, dict[bool, list[int]]]:
+    """Entries with a slot for those of the commonest tokens, and the words of slots of (False) single tokens and (True) combinations.
+
+    ``m0``.. are the slots that the entry's set holds, ``earlier0``.. those
+    before the entry's own; both are 0 for the other entries.  Two sets share
+    the slots that both hold, and meet in the first of them."""
+    top = entries.groupBy("token").agg(F.max("comps").alias("comps"), F.max("combo").alias("combo"))
+    top = top.orderBy(F.desc("comps"), "token").limit(SLOT_WORDS * SLOT_BITS).collect()
+    words = {kind: [sum(1 << i for i, r in enumerate(top[w * SLOT_BITS : (w + 1) * SLOT_BITS]) if r["combo"] == kind) for w in range(SLOT_WORDS)] for kind in (False, True)}
+    slots = entries.sparkSession.createDataFrame([(r["token"], i) for i, r in enumerate(top)], "token long, slot int")
+    entries = entries.join(F.broadcast(slots), "token", "left")
+    held = [F.expr(f"bit_or(if(slot div {SLOT_BITS} = {w}, shiftleft(1L, slot % {SLOT_BITS}), 0L)) as m{w}") for w in range(SLOT_WORDS)]
+    held = entries.where("slot is not null").groupBy(F.col("set_key").alias("holder")).agg(*held)
+    entries = entries.join(held, F.expr("slot is not null and set_key = holder"), "left")
+    before = [f"if(slot div {SLOT_BITS} > {w}, -1L, if(slot div {SLOT_BITS} = {w}, shiftleft(1L, slot % {SLOT_BITS}) - 1, 0L))" for w in range(SLOT_WORDS)]
+    marks = [x for w in range(SLOT_WORDS) for x in (f"coalesce(m{w}, 0L) as m{w}", f"coalesce(m{w} & {before[w]}, 0L) as earlier{w}")]
+    return entries.selectExpr("token", "set_key", "comp", "n", "combo", "flagged", "slot", *marks), words
+
+
+def _pivoted(often: DataFrame, num: int, den: int, turn: int) -> DataFrame:
+    """Pairs (a, b) of a set and one of the PIVOTS sets drawn for each of its frequent entries.
+
+    They share three tenths of a prefix, so a set has at most 3.4 * PIVOTS
+    such pairs by its own entries, however many sets hold these."""
+    drawn = [
+        F.min(F.struct(F.xxhash64("set_key", F.lit(PIVOTS * turn + i)).alias("by"), "set_key", "comp", "n")) for i in range(PIVOTS)
+    ]
+    pivots = often.groupBy("token").agg(F.array_distinct(F.array(*drawn)).alias("pivots"))
+    p = F.expr(f"n - ceil({num} * n / {den}) + 1")
+    fits = f"x -> x.comp <> comp and {den} * least(n, x.n) >= {num} * greatest(n, x.n)"
+    return (
+        often.join(pivots, "token")
+        .select("set_key", p.alias("p"), F.explode(F.expr(f"filter(pivots, {fits})")).alias("x"))
+        .groupBy(F.least("set_key", "x.set_key").alias("a"), F.greatest("set_key", "x.set_key").alias("b"), F.col("set_key").alias("of"))
+        .agg(F.count("*").alias("c"), F.max("p").alias("p"))
+        .where("10 * c >= 3 * p")
+        .select("a", "b")
+        .distinct()
+    )
+
+
 def _candidates(
     rare: DataFrame, often: DataFrame, stats: DataFrame, num: int, den: int, extended: int
 ) -> DataFrame:
@@ -229,14 +286,23 @@ def _candidates(
     own last cut.  Beyond X at most the smaller number of tokens left.
     Likewise, the prefixes of this round share what the entries show, frequent
     tokens by their number of common combinations, but for those found
-    frequent in this round (``often``), and at most the rest of a set besides."""
-    left, right = (rare.selectExpr("token", "combo as combo_" + x, "set_key as " + x, "comp as c" + x, "n as n" + x, "flagged as f" + x) for x in "ab")
+    frequent in this round (``often``), and at most the rest of a set besides.
+
+    A pair that shares many of the commonest entries is one row, not one of each: see :func:`_slotted`."""
+    rare, combos = _slotted(rare)
+    bits = range(SLOT_WORDS)
+    cols = ["token", "set_key as {0}", "comp as c{0}", "n as n{0}", "flagged as f{0}", *(f"m{w} as m{w}{{0}}" for w in bits)]
+    left = rare.selectExpr("combo", "slot", *(x.format("a") for x in cols), *(f"earlier{w}" for w in bits))
+    right = rare.selectExpr(*(x.format("b") for x in cols))
+    first = " | ".join(f"(earlier{w} & m{w}b)" for w in bits)
+    shared = {k: " + ".join(f"bit_count(m{w}a & m{w}b & {m[w]}L)" for w in bits) for k, m in combos.items()}
     pairs = (
         left.join(right, "token")
-        .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb)")
+        .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb) and ({first}) = 0")
         .groupBy("a", "b")
         .agg(
-            F.count(F.when(~F.col("combo_a"), 1)).alias("c"), F.count(F.when(F.col("combo_a"), 1)).alias("cc"),
+            F.sum(F.expr(f"if(slot is null, if(combo, 0, 1), {shared[False]})")).alias("c"),
+            F.sum(F.expr(f"if(slot is null, if(combo, 1, 0), {shared[True]})")).alias("cc"),
             F.max("na").alias("na"), F.max("nb").alias("nb"), F.max("fa").alias("fa"), F.max("fb").alias("fb"),
         )
     )
@@ -267,19 +333,19 @@ def ngram_jaccard_join(
     ``class`` names the component also where ids are null; it is null without words."""
     num, den = threshold
     spark = ship(docs.sparkSession)
-    docs = columns(docs, doc_id=id_col, text=text_col)
+    docs = columns(docs, doc_id=id_col, text=text_col).withColumn("text_hash", F.xxhash64("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     members = stored(
-        docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        docs.mapInArrow(
             _members(n, num, den), f"doc_id {id_type}, text_hash long, n_shingles long, set_key long, cut int, ranks array<int>"
         ),
         "op1-members",
     )
 
-    stats = members.where("n_shingles > 0").dropDuplicates(["set_key"]).select("set_key", "cut", "ranks")
-    todo, common, frequent = None, None, None
+    stats = members.where("n_shingles > 0").dropDuplicates(["set_key"]).select("set_key", "text_hash", "cut", "ranks")
+    todo, common, frequent, turn = None, None, None, 0
     for level in range(max_rounds):
-        rows = docs.select("text").mapInArrow(_index(n, num, den, todo, common), "token long, set_key long, meta long")
+        rows = docs.select("text", "text_hash").mapInArrow(_index(n, num, den, todo, common), "token long, set_key long, meta long")
         # one shuffle by token; entries that only one set has end here
         span = rows.repartition("token").selectExpr(
             "*", "min(set_key) over (partition by token) as lo", "max(set_key) over (partition by token) as hi"
@@ -297,32 +363,46 @@ def ngram_jaccard_join(
                 .agg(F.count("*").alias("c"), F.max(p).alias("p"))
                 .where("10 * c >= 3 * p")
             )
-            links = _verify(docs, star, n, num, den, "op1-star")
+            links = _verify(docs, stats, star, n, num, den, "op1-star")
 
-        # the rest: entries that different components share
-        comp = components(links, "op1-cc")
-        e = entries.drop("lo").join(comp, entries["set_key"] == comp["node"], "left").select(
-            "token", "set_key", "n", "combo", "flagged", F.coalesce("comp", "set_key").alias("comp")
-        )
-        by_token = (
-            e.groupBy("token", "comp").agg(F.lit(1).alias("x")).groupBy("token").agg(F.count("*").alias("comps")).where("comps > 1")
-        )
-        e = stored(e.join(by_token, "token"), "op1-shared")
-        often = e.where((F.col("comps") > rare_limit) & ~F.col("combo"))
-        # frequent entries are paired at once if that makes few rows, else demoted
-        cost = often.select("token", "comps").distinct().agg(F.coalesce(F.sum(F.expr("comps * comps / 2")), F.lit(0))).first()[0]
-        last = level == max_rounds - 1 or 16 * cost <= entries.count()
+        while True:
+            # the rest: entries that different components share
+            comp = components(links, "op1-cc")
+            e = entries.drop("lo").join(comp, entries["set_key"] == comp["node"], "left").select(
+                "token", "set_key", "n", "combo", "flagged", F.coalesce("comp", "set_key").alias("comp")
+            )
+            by_token = (
+                e.groupBy("token", "comp").agg(F.lit(1).alias("x")).groupBy("token").agg(F.count("*").alias("comps")).where("comps > 1")
+            )
+            e = stored(e.join(by_token, "token"), "op1-shared")
+            often = e.where((F.col("comps") > rare_limit) & ~F.col("combo"))
+            # frequent entries are paired at once if that makes few rows, else demoted
+            cost = often.select("token", "comps").distinct().agg(F.coalesce(F.sum(F.expr("comps * comps / 2")), F.lit(0))).first()[0]
+            few = 16 * cost <= entries.count()
+            if few or turn == PIVOT_TURNS:
+                break
+            # large groups of near copies: each set against few sets of its frequent entries
+            near = stored(_pivoted(often, num, den, turn), "op1-near")
+            found = _verify(docs, stats, near, n, num, den, "op1-pivot")
+            tried, hits = near.count(), found.count()
+            if hits:
+                links = stored(links.unionAll(found), "op1-links")
+            turn = turn + 1
+            if 20 * hits <= tried:  # no such groups are left
+                turn = PIVOT_TURNS
+                break
+        last = level == max_rounds - 1 or few
         often = often.where(F.lit(False)) if last else often
         if level > 0 or last:
             rare = e if last else e.where((F.col("comps") <= rare_limit) | F.col("combo"))
             pairs = _candidates(rare, often, stats, num, den, int(common is not None))
-            links = stored(links.unionAll(_verify(docs, pairs, n, num, den, "op1-cross")), "op1-links")
+            links = stored(links.unionAll(_verify(docs, stats, pairs, n, num, den, "op1-cross")), "op1-links")
         if last:
             break
         tokens = often.select("token").distinct()
         frequent = stored(tokens if frequent is None else frequent.unionAll(tokens), "op1-frequent")
         if level > 0:  # round 1 indexes every set, later ones those that met a new frequent token
-            todo = spark.sparkContext.broadcast(bit_filter(often.select("set_key").distinct(), "set_key"))
+            todo = spark.sparkContext.broadcast(bit_filter(_texts(often.select("set_key").distinct(), "set_key", stats), "text_hash"))
         common = spark.sparkContext.broadcast(bit_filter(frequent, "token", COMMON_BITS))
 
     comp = components(links, "op1-cc")

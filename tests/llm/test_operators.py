@@ -116,6 +116,46 @@ def test_jaccard_cells_of_one_large_family(spark, monkeypatch):
     assert sizes.value == 0
 
 
+def test_jaccard_pairs_of_a_large_group_of_near_copies(spark, monkeypatch):
+    r = random.Random(31)
+    stream = [str(r.random()) for _ in range(260)]
+    texts = [" ".join(stream[i : i + 160]) for i in range(100)]  # each text is similar to its neighbours alone
+    for i in range(100):
+        w = texts[i].split()
+        w[3 + i % 150] = str(r.random())
+        texts.append(" ".join(w))
+    made = []
+    verify = ngram_jaccard._verify
+
+    def watched(docs, *how):
+        if how[-1] == "op1-cross":
+            made.append(how[-5].count())
+        return verify(docs, *how)
+
+    monkeypatch.setattr(ngram_jaccard, "_verify", watched)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(_docs(spark, texts)).collect()}
+    want = brute.jaccard_components(texts)
+    assert [got[i] for i in range(len(want))] == want
+    assert sum(made) < 1000
+
+
+def test_jaccard_pairs_meet_in_one_of_the_commonest_entries(spark):
+    # 30 sets hold all of 300 tokens, more than there are slots, and some of 20 combinations
+    rows = [(t, s, s, 400, t >= 280, 0, 30) for s in range(30) for t in range(300) if t < 280 or (s + t) % 2]
+    entries = spark.createDataFrame(rows, "token long, set_key long, comp long, n long, combo boolean, flagged long, comps long")
+    slotted, _ = ngram_jaccard._slotted(entries)
+    words = range(ngram_jaccard.SLOT_WORDS)
+    slots = ngram_jaccard.SLOT_BITS * ngram_jaccard.SLOT_WORDS
+    a, b = (slotted.select("token", *(F.col(c).alias(c + x) for c in slotted.columns if c != "token")) for x in "ab")
+    first = " | ".join(f"(earlier{w}a & m{w}b)" for w in words)
+    rows = a.join(b, "token").where(f"set_keya < set_keyb and ({first}) = 0")
+    assert rows.where("slota is not null").count() == 435  # one for each pair
+    assert slotted.where("slot is not null").select("token").distinct().count() == slots
+    stats = spark.createDataFrame([(s, 0, [0] * 20) for s in range(30)], "set_key long, cut int, ranks array<int>")
+    pairs = ngram_jaccard._candidates(entries, entries.where("false"), stats, 75, 100, 1)
+    assert pairs.agg(F.min("c"), F.max("c"), F.min("cc"), F.max("cc")).first() == (280, 280, 0, 10)
+
+
 def test_memo_values_are_those_of_the_mapping():
     made = []
 
