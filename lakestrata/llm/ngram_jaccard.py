@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import as_long, bit_filter, columns, components, in_filter, ship, stored
+from .shared import as_long, bit_filter, columns, components, few_tasks, in_filter, ship, stored
 
 U64 = np.uint64
 COMMON_BITS = 1 << 25
@@ -100,10 +100,10 @@ def _index(n: int, num: int, den: int, todo, common):
     ``meta`` is flagged << 32 | size << 1 | whether a combination; flagged
     counts the tokens up to the set's last cut that the filter ``common``
     keeps from the single entries, rightly or not."""
-    todo_v = todo.value if todo is not None else None
-    common_v = common.value if common is not None else None
 
     def run(batches):
+        todo_v = todo.value if todo is not None else None
+        common_v = common.value if common is not None else None
         seen: set[int] = set()
         for batch in batches:
             if todo_v is not None:
@@ -157,9 +157,8 @@ def _index(n: int, num: int, den: int, todo, common):
 
 
 def _wanted_sets(n: int, wanted):
-    wanted_v = wanted.value
-
     def run(batches):
+        wanted_v = wanted.value
         seen: set[int] = set()
         for batch in batches:
             for _, _, data, off in K.slices(_chosen(batch, wanted_v).column("text")):
@@ -224,13 +223,18 @@ def _verify(docs: DataFrame, stats: DataFrame, pairs: DataFrame, n: int, num: in
     set itself is repeated in each of its cells."""
     spark = docs.sparkSession
     pairs = stored(pairs.select("a", "b"), f"{name}-pairs")
-    pairs = stored(_dealt(pairs, CELL_PAIRS), f"{name}-dealt")
-    nodes = pairs.select("cell", F.explode(F.array("a", "b")).alias("k")).distinct().selectExpr("cell + 0 as cell", "k")
-    wanted = spark.sparkContext.broadcast(bit_filter(_texts(nodes.select("k").distinct(), "k", stats), "text_hash"))
+    rows = 2 * pairs.count()
+    pairs = stored(few_tasks(_dealt(pairs, CELL_PAIRS), rows), f"{name}-dealt")
+    nodes = few_tasks(pairs.select("cell", F.explode(F.array("a", "b")).alias("k")).distinct().selectExpr("cell + 0 as cell", "k"), rows)
+    wanted = few_tasks(_texts(nodes.select("k").distinct(), "k", stats), rows)
+    wanted = spark.sparkContext.broadcast(bit_filter(wanted, "text_hash"))
     sets = docs.select("text", "text_hash").mapInArrow(_wanted_sets(n, wanted), "set_key long, tokens binary")
     sets = sets.dropDuplicates(["set_key"]).join(nodes, F.col("set_key") == F.col("k")).select("cell", "set_key", "tokens")
+    sets = few_tasks(sets, rows)
     similar = sets.groupBy("cell").cogroup(pairs.groupBy("cell")).applyInArrow(_similar(num, den), "a long, b long")
-    return stored(similar, f"{name}-links")
+    similar = stored(few_tasks(similar, rows), f"{name}-links")
+    wanted.destroy()
+    return similar
 
 
 def _slotted(entries: DataFrame) -> tuple[DataFrame, dict[bool, list[int]]]:
@@ -239,6 +243,7 @@ def _slotted(entries: DataFrame) -> tuple[DataFrame, dict[bool, list[int]]]:
     ``m0``.. are the slots that the entry's set holds, ``earlier0``.. those
     before the entry's own; both are 0 for the other entries.  Two sets share
     the slots that both hold, and meet in the first of them."""
+    rows = entries.count()
     top = entries.groupBy("token").agg(F.max("comps").alias("comps"), F.max("combo").alias("combo"))
     top = top.orderBy(F.desc("comps"), "token").limit(SLOT_WORDS * SLOT_BITS).collect()
     words = {kind: [sum(1 << i for i, r in enumerate(top[w * SLOT_BITS : (w + 1) * SLOT_BITS]) if r["combo"] == kind) for w in range(SLOT_WORDS)] for kind in (False, True)}
@@ -246,7 +251,7 @@ def _slotted(entries: DataFrame) -> tuple[DataFrame, dict[bool, list[int]]]:
     entries = entries.join(F.broadcast(slots), "token", "left")
     held = [F.expr(f"bit_or(if(slot div {SLOT_BITS} = {w}, shiftleft(1L, slot % {SLOT_BITS}), 0L)) as m{w}") for w in range(SLOT_WORDS)]
     held = entries.where("slot is not null").groupBy(F.col("set_key").alias("holder")).agg(*held)
-    entries = entries.join(held, F.expr("slot is not null and set_key = holder"), "left")
+    entries = few_tasks(entries.join(held, F.expr("slot is not null and set_key = holder"), "left"), rows)
     before = [f"if(slot div {SLOT_BITS} > {w}, -1L, if(slot div {SLOT_BITS} = {w}, shiftleft(1L, slot % {SLOT_BITS}) - 1, 0L))" for w in range(SLOT_WORDS)]
     marks = [x for w in range(SLOT_WORDS) for x in (f"coalesce(m{w}, 0L) as m{w}", f"coalesce(m{w} & {before[w]}, 0L) as earlier{w}")]
     return entries.selectExpr("token", "set_key", "comp", "n", "combo", "flagged", "slot", *marks), words
@@ -261,17 +266,17 @@ def _pivoted(often: DataFrame, num: int, den: int, turn: int) -> DataFrame:
         F.min(F.struct(F.xxhash64("set_key", F.lit(PIVOTS * turn + i)).alias("by"), "set_key", "comp", "n")) for i in range(PIVOTS)
     ]
     pivots = often.groupBy("token").agg(F.array_distinct(F.array(*drawn)).alias("pivots"))
-    p = F.expr(f"n - ceil({num} * n / {den}) + 1")
+    p, rows = F.expr(f"n - ceil({num} * n / {den}) + 1"), PIVOTS * often.count()
     fits = f"x -> x.comp <> comp and {den} * least(n, x.n) >= {num} * greatest(n, x.n)"
-    return (
-        often.join(pivots, "token")
+    near = (
+        few_tasks(often.join(pivots, "token"), rows)
         .select("set_key", p.alias("p"), F.explode(F.expr(f"filter(pivots, {fits})")).alias("x"))
         .groupBy(F.least("set_key", "x.set_key").alias("a"), F.greatest("set_key", "x.set_key").alias("b"), F.col("set_key").alias("of"))
         .agg(F.count("*").alias("c"), F.max("p").alias("p"))
         .where("10 * c >= 3 * p")
         .select("a", "b")
-        .distinct()
     )
+    return few_tasks(few_tasks(near, rows).distinct(), rows)
 
 
 def _candidates(
@@ -290,12 +295,17 @@ def _candidates(
 
     A pair that shares many of the commonest entries is one row, not one of each: see :func:`_slotted`."""
     rare, combos = _slotted(rare)
+    found = often.groupBy(F.col("set_key").alias("finder")).agg(F.count("*").alias("g"))
+    rare = rare.join(found, rare["set_key"] == found["finder"], "left").withColumn("g", F.expr("coalesce(g, 0L)"))
     bits = range(SLOT_WORDS)
-    cols = ["token", "set_key as {0}", "comp as c{0}", "n as n{0}", "flagged as f{0}", *(f"m{w} as m{w}{{0}}" for w in bits)]
+    cols = ["token", "set_key as {0}", "comp as c{0}", "n as n{0}", "flagged as f{0}", "g as g{0}", *(f"m{w} as m{w}{{0}}" for w in bits)]
     left = rare.selectExpr("combo", "slot", *(x.format("a") for x in cols), *(f"earlier{w}" for w in bits))
     right = rare.selectExpr(*(x.format("b") for x in cols))
     first = " | ".join(f"(earlier{w} & m{w}b)" for w in bits)
     shared = {k: " + ".join(f"bit_count(m{w}a & m{w}b & {m[w]}L)" for w in bits) for k, m in combos.items()}
+    hot = f"if(cc > 0, ceil((1 + sqrt(1 + 8 * cc)) / 2), {extended})"
+    by_prefix = f"{hot} + ceil({num} * greatest(na, nb) / {den}) - {1 + extended}"
+    enough = f"ceil({num} * (na + nb) / {num + den})"
     pairs = (
         left.join(right, "token")
         .where(f"a < b and ca <> cb and {den} * least(na, nb) >= {num} * greatest(na, nb) and ({first}) = 0")
@@ -303,20 +313,16 @@ def _candidates(
         .agg(
             F.sum(F.expr(f"if(slot is null, if(combo, 0, 1), {shared[False]})")).alias("c"),
             F.sum(F.expr(f"if(slot is null, if(combo, 1, 0), {shared[True]})")).alias("cc"),
-            F.max("na").alias("na"), F.max("nb").alias("nb"), F.max("fa").alias("fa"), F.max("fb").alias("fb"),
+            F.max("na").alias("na"), F.max("nb").alias("nb"),
+            F.max(F.expr("least(fa, fb)")).alias("f"), F.max(F.expr("least(ga, gb)")).alias("g"),
         )
+        .where(f"c + g + {by_prefix} >= {enough}")  # the pairs left meet their sets' ranks
     )
     for x in "ab":
         pairs = pairs.join(stats.selectExpr("set_key as " + x, "cut as cut_" + x, "ranks as ranks_" + x), x)
-        pairs = pairs.join(often.groupBy("set_key").agg(F.count("*").alias("g" + x)).withColumnRenamed("set_key", x), x, "left")
     at = "least(cut_a, cut_b)"
     by_rank = f"if({at} = 0, least(na, nb), least(na - element_at(ranks_a, {at}), nb - element_at(ranks_b, {at})))"
-    hot = f"if(cc > 0, ceil((1 + sqrt(1 + 8 * cc)) / 2), {extended})"
-    by_prefix = f"{hot} + ceil({num} * greatest(na, nb) / {den}) - {1 + extended}"
-    return pairs.where(
-        f"c + least(coalesce(ga, 0), coalesce(gb, 0)) + least(least(fa, fb) + {by_rank}, {by_prefix})"
-        f" >= ceil({num} * (na + nb) / {num + den})"
-    )
+    return pairs.where(f"c + g + f + {by_rank} >= {enough}")
 
 
 def ngram_jaccard_join(
@@ -354,6 +360,10 @@ def ngram_jaccard_join(
             "token", "set_key", "lo", "(meta & 4294967295) >> 1 as n", "(meta & 1) = 1 as combo", "meta >> 32 as flagged"
         )
         entries = stored(entries, "op1-entries")
+        n_entries = entries.count()
+        for filt in (todo, common):
+            if filt is not None:
+                filt.destroy()
 
         if level == 0:  # each set against the least set of its entries
             p = F.expr(f"n - ceil({num} * n / {den}) + 1")
@@ -368,17 +378,16 @@ def ngram_jaccard_join(
         while True:
             # the rest: entries that different components share
             comp = components(links, "op1-cc")
-            e = entries.drop("lo").join(comp, entries["set_key"] == comp["node"], "left").select(
+            e = few_tasks(entries.drop("lo").join(comp, entries["set_key"] == comp["node"], "left"), n_entries).select(
                 "token", "set_key", "n", "combo", "flagged", F.coalesce("comp", "set_key").alias("comp")
             )
-            by_token = (
-                e.groupBy("token", "comp").agg(F.lit(1).alias("x")).groupBy("token").agg(F.count("*").alias("comps")).where("comps > 1")
-            )
-            e = stored(e.join(by_token, "token"), "op1-shared")
+            by_token = few_tasks(e.groupBy("token", "comp").agg(F.lit(1).alias("x")), n_entries)
+            by_token = by_token.groupBy("token").agg(F.count("*").alias("comps")).where("comps > 1")
+            e = stored(few_tasks(e.join(by_token, "token"), n_entries), "op1-shared")
             often = e.where((F.col("comps") > rare_limit) & ~F.col("combo"))
             # frequent entries are paired at once if that makes few rows, else demoted
             cost = often.select("token", "comps").distinct().agg(F.coalesce(F.sum(F.expr("comps * comps / 2")), F.lit(0))).first()[0]
-            few = 16 * cost <= entries.count()
+            few = 16 * cost <= n_entries
             if few or turn == PIVOT_TURNS:
                 break
             # large groups of near copies: each set against few sets of its frequent entries
@@ -399,7 +408,7 @@ def ngram_jaccard_join(
             links = stored(links.unionAll(_verify(docs, stats, pairs, n, num, den, "op1-cross")), "op1-links")
         if last:
             break
-        tokens = often.select("token").distinct()
+        tokens = few_tasks(often.select("token").distinct(), n_entries)
         frequent = stored(tokens if frequent is None else frequent.unionAll(tokens), "op1-frequent")
         if level > 0:  # round 1 indexes every set, later ones those that met a new frequent token
             todo = spark.sparkContext.broadcast(bit_filter(_texts(often.select("set_key").distinct(), "set_key", stats), "text_hash"))

@@ -22,6 +22,7 @@ from lakestrata.llm.importance import importance_resample, kth_largest  # noqa:
 from lakestrata.llm.ngram_jaccard import ngram_jaccard_join, one_of_each  # noqa: E402
 from lakestrata.llm.pii import digest_spans, find_pii, redacted  # noqa: E402
 from lakestrata.llm.run_length_index import RunLengthIndex, drop_repeats, mark_bucket  # noqa: E402
+from lakestrata.llm.shared import components  # noqa: E402
 from lakestrata.llm.token_counts import Automaton, read_pieces, token_counts  # noqa: E402
 from lakestrata.llm.token_files import read_token_files, write_token_files  # noqa: E402
 from lakestrata.llm.topk_search import topk_search  # noqa: E402
@@ -170,6 +171,27 @@ def test_memo_values_are_those_of_the_mapping():
     assert long not in memo.values(["a"]) and sorted(made) == sorted([*"abcdefghz", long, long])
 
 
+def test_components_of_few_links_take_few_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    conf = {"shuffle.partitions": str(10 * cores), "adaptive.coalescePartitions.enabled": "false", "autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+    spark.sparkContext.setJobGroup("few links", "")
+    try:
+        links = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i % 10], "a long, b long")
+        got = sorted(components(links).collect())
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+    assert got == [(i, i - (i - 1) % 10) for i in range(1, 41)]
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few links") for s in tracker.getJobInfo(j).stageIds}
+    tasks = [x.numTasks for x in map(tracker.getStageInfo, stages) if x and x.numCompletedTasks]
+    assert max(tasks) <= 4 * cores
+
+
 def test_bpe_tree_concatenation_is_exact():
     tok, r = Tokenizer.from_file(WORD_BPE), random.Random(5)
     for _ in range(120):
