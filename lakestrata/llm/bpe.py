@@ -32,7 +32,7 @@ from .shared import columns, ship
 
 LEAF = 512
 WINDOW = 64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 class Part:
@@ -98,18 +98,21 @@ def _encode(path: str, leaf: int):
     def run(batches):
         cut, memo = space_free_split(path), space_free_memo(path, leaf, encode_long)
         names = token_names(path)
-        for batch in batches:
-            ids = batch.column("doc_id")
-            for i, j, data, off in K.slices(batch.column("text"), SLICE_BYTES):
-                raw = data.tobytes()
-                split = [cut(raw[a:b].decode()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-                get = memo.of(chain.from_iterable(split)).__getitem__
-                rows = [b"".join(map(get, s)) for s in split]
-                # without a decoder of its own, the vocabulary's decode joins tokens by a space
-                decoded = [" ".join(map(names.__getitem__, np.frombuffer(r, "<u4").tolist())) for r in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(rows, pa.binary()), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"]
-                )
+        try:
+            for batch in batches:
+                ids = batch.column("doc_id")
+                for i, j, data, off in K.slices(batch.column("text"), SLICE_BYTES):
+                    raw = data.tobytes()
+                    split = [cut(raw[a:b].decode()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                    get = memo.of(chain.from_iterable(split)).__getitem__
+                    rows = [b"".join(map(get, s)) for s in split]
+                    # without a decoder of its own, the vocabulary's decode joins tokens by a space
+                    decoded = [" ".join(map(names.__getitem__, np.frombuffer(r, "<u4").tolist())) for r in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.slice(i, j - i), pa.array(rows, pa.binary()), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"]
+                    )
+        finally:
+            memo.rest()
 
     return K.trimmed(run)
 

@@ -19,7 +19,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
-from itertools import compress
+from itertools import compress, islice
 from operator import not_
 
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
@@ -74,6 +74,14 @@ class Memo:
             out[i] = new[units[i]]
         return out
 
+    def rest(self, keep: int = 20_000) -> None:
+        """Give up all but ``keep`` units, those that came first and so tend to be common ones.
+
+        For the end of a task: an executor keeps more workers than it has
+        cores and uses them in turn, so each would hold a full memo."""
+        self._next()
+        self.old, self.new = {}, dict(islice(self.new.items() if self.new else self.old.items(), keep))
+
     def _next(self) -> dict:
         for p in self.long:
             del self.new[p]
@@ -175,4 +183,4 @@ def space_free_memo(path: str, leaf: int, encode_long: Callable[[Tokenizer, str,
         for w in units:
             yield ids[w] if w in ids else _ids(encode_long(tok, w, leaf))
 
-    return Memo(make, 200_000)
+    return Memo(make, 100_000)

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
-from lakestrata.llm import ngram_jaccard, pieces  # noqa: E402
+from lakestrata.llm import bpe, ngram_jaccard, pieces  # noqa: E402
 from lakestrata.llm.bpe import bpe_encode_decode, encode_long  # noqa: E402
 from lakestrata.llm.decontaminate import find_leaks  # noqa: E402
 from lakestrata.llm.importance import importance_resample, kth_largest  # noqa: E402
@@ -171,6 +172,28 @@ def test_memo_values_are_those_of_the_mapping():
     assert long not in memo.values(["a"]) and sorted(made) == sorted([*"abcdefghz", long, long])
 
 
+def test_a_worker_between_tasks_keeps_few_units():
+    words = [f"w{i}x" for i in range(30_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [" ".join(words), "a " + " ".join(reversed(words))]})
+    run = bpe._encode(WORD_BPE, 64)
+    first = [r for b in run(iter([batch])) for r in b.to_pylist()]
+    memo = pieces.space_free_memo(WORD_BPE, 64, encode_long)
+    assert 0 < len(memo.new) + len(memo.old) <= 20_000
+    assert [r for b in run(iter([batch])) for r in b.to_pylist()] == first
+    ids = Tokenizer.from_file(WORD_BPE).encode(" ".join(words), add_special_tokens=False).ids
+    assert np.frombuffer(first[0]["ids"], "<u4").tolist() == ids
+
+
+def test_memo_at_rest():
+    memo = pieces.Memo(lambda units: [u.encode() for u in units], limit=4)
+    long = "x" * (pieces.LONG + 1)
+    for units in (["a", long, "b", "c", "d", "e"], [], ["a", long]):
+        memo.of(units)
+        memo.rest(2)
+        assert len(memo.new) + len(memo.old) <= 2 and long not in memo.new
+        assert memo.values(["e", long, "a"]) == [b"e", long.encode(), b"a"]
+
+
 def test_components_of_few_links_take_few_tasks(spark):
     cores = spark.sparkContext.defaultParallelism
     conf = {"shuffle.partitions": str(10 * cores), "adaptive.coalescePartitions.enabled": "false", "autoBroadcastJoinThreshold": "-1"}
