@@ -349,7 +349,7 @@ def q_streaming_bronze_counts(spark, sf_dir):
     from pyspark.errors import StreamingQueryException
 
     from .plans.ingest import CheckpointWriteInterrupted
-    from .session import scratch_dir
+    from .session import few_listing_tasks, scratch_dir
     from .sources.bronze import BronzeTable
     from .sources.landing import write_pages
     from .streaming.bronze_stream import run_to_completion, start_bronze_stream
@@ -367,13 +367,15 @@ def q_streaming_bronze_counts(spark, sf_dir):
             raise CheckpointWriteInterrupted("simulated crash after commit")
 
     try:
-        run_to_completion(start_bronze_stream(spark, landing, table, A.RUN_ID, ckpt, crash_once, max_files_per_trigger=64))
+        with few_listing_tasks(spark):
+            run_to_completion(start_bronze_stream(spark, landing, table, A.RUN_ID, ckpt, crash_once, max_files_per_trigger=64))
     except StreamingQueryException as exc:
         if "simulated crash after commit" not in str(exc):
             raise
     if crashed != ([] if last is None else [last]):
         raise RuntimeError(f"the stream did not stop after page {last}")
-    run_to_completion(start_bronze_stream(spark, landing, table, A.RUN_ID, ckpt, max_files_per_trigger=64))
+    with few_listing_tasks(spark):
+        run_to_completion(start_bronze_stream(spark, landing, table, A.RUN_ID, ckpt, max_files_per_trigger=64))
     return report(
         table.read().groupBy("source_page").agg(
             F.count(F.lit(1)).alias("rows"),

@@ -11,15 +11,34 @@ P6  pending_pages     pages not yet complete for this run (left anti join)
 from __future__ import annotations
 
 from datetime import datetime
+from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import ENVELOPE_FIELDS, iso_timestamp, json_struct, present
 
 
-def _envelope_fields(landing: DataFrame) -> DataFrame:
-    return landing.select("source_page", "value", json_struct("value", ENVELOPE_FIELDS).alias("_r"))
+@lru_cache(maxsize=1)
+def _record(jvm) -> Column:
+    return json_struct("value", ENVELOPE_FIELDS).alias("_r")
+
+
+def _envelope_fields(landing: DataFrame, *more: str) -> DataFrame:
+    return landing.select("source_page", "value", *more, _record(landing.sparkSession.sparkContext._jvm))
+
+
+@lru_cache(maxsize=1)
+def _flags(jvm) -> dict[str, Column]:
+    """Columns of :func:`envelope_with_flags`, made once: a stream would spend
+    more on making them in each micro-batch than on the records."""
+    ts = iso_timestamp("_r.updated_at")
+    return {
+        "source_updated_at": ts.alias("source_updated_at"),
+        "_missing_id": (~present("_r.event_id")).alias("_missing_id"),
+        "_missing_ts": (~present("_r.updated_at")).alias("_missing_ts"),
+        "_bad_ts": (present("_r.updated_at") & ts.isNull()).alias("_bad_ts"),
+    }
 
 
 def page_validation(landing: DataFrame) -> DataFrame:
@@ -67,21 +86,24 @@ def envelope(landing: DataFrame, run_id: str, ingested_at: datetime | str) -> Da
     )
 
 
-def envelope_with_flags(landing: DataFrame, run_id: str, ingested_at: datetime | str) -> DataFrame:
+def envelope_with_flags(landing: DataFrame, run_id: str, ingested_at: datetime | str | Column, *more: str) -> DataFrame:
     """P3 plus the P1 flags of each record, from ONE parse of the record text:
-    ``_missing_id``, ``_missing_ts`` and ``_bad_ts`` (present but unparsable)."""
-    r = _envelope_fields(landing)
-    ts = iso_timestamp("_r.updated_at")
+    ``_missing_id``, ``_missing_ts`` and ``_bad_ts`` (present but unparsable).
+
+    ``more`` names columns of ``landing`` to keep; ``ingested_at`` may be one of them."""
+    r = _envelope_fields(landing, *more)
+    flags = _flags(landing.sparkSession.sparkContext._jvm)
     return r.select(
         F.col("_r.event_id").alias("source_event_id"),
-        ts.alias("source_updated_at"),
+        flags["source_updated_at"],
         F.lit(ingested_at).cast("timestamp").alias("ingested_at"),
         F.lit(run_id).alias("ingestion_run_id"),
         F.col("source_page").cast("int").alias("source_page"),
         F.col("value").alias("payload"),
-        (~present("_r.event_id")).alias("_missing_id"),
-        (~present("_r.updated_at")).alias("_missing_ts"),
-        (present("_r.updated_at") & ts.isNull()).alias("_bad_ts"),
+        flags["_missing_id"],
+        flags["_missing_ts"],
+        flags["_bad_ts"],
+        *more,
     )
 
 
@@ -120,9 +142,17 @@ class PageSet:
     """Membership test over collected bitmaps of one run: one bit per page on the driver."""
 
     def __init__(self, bitmaps: DataFrame):
-        self.bits = {r["bucket"]: bytes(r["pages"]) for r in bitmaps.select("bucket", "pages").collect()}
+        self.bits = {r["bucket"]: bytearray(r["pages"]) for r in bitmaps.select("bucket", "pages").collect()}
+
+    @staticmethod
+    def _place(page: int) -> tuple[int, int]:
+        return (1 + (page - 1) // BITMAP_BITS, (page - 1) % BITMAP_BITS) if page > 0 else (-(-page // BITMAP_BITS), -page % BITMAP_BITS)
 
     def __contains__(self, page: int) -> bool:
-        bucket, place = (1 + (page - 1) // BITMAP_BITS, (page - 1) % BITMAP_BITS) if page > 0 else (-(-page // BITMAP_BITS), -page % BITMAP_BITS)
+        bucket, place = self._place(page)
         bits = self.bits.get(bucket)
         return bits is not None and bool(bits[place // 8] >> place % 8 & 1)
+
+    def add(self, page: int) -> None:
+        bucket, place = self._place(page)
+        self.bits.setdefault(bucket, bytearray(BITMAP_BITS // 8))[place // 8] |= 1 << place % 8

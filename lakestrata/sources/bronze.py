@@ -4,7 +4,7 @@ Layout::
 
     <root>/_staging/batch=<b>/commit_version=<v>/part-*.parquet   written, not yet committed
     <root>/batch=<b>/commit_version=<v>/part-*.parquet            committed
-    <root>/batch=<b>/_pages/                                      (version, page, run, rows) of the batch
+    <root>/batch=<b>/_pages/*.parquet                             (version, page, run, rows) of the batch
     <root>/batch=<b>/_visible/<v>                                 committed up to this version (pages committed one by one: empty ones only)
     <root>/_progress/                                             (run_id, page) progress rows
 
@@ -25,15 +25,17 @@ is not a transaction log.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
-from functools import reduce
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import BRONZE_ORDERS_RAW
+from ..session import few_listing_tasks
 from . import fs
 
 VISIBLE = "_visible"
@@ -59,14 +61,27 @@ PAGE_LOG_SCHEMA = T.StructType(
 )
 
 
+VISIBLE_SCHEMA = T.StructType([T.StructField("batch", T.IntegerType(), False), T.StructField("last", T.LongType(), False)])
+
+
 ARROW_TYPES = {T.StringType(): pa.string(), T.IntegerType(): pa.int32(), T.LongType(): pa.int64(), T.BooleanType(): pa.bool_()}
 
 
+def arrow_table(rows: list[tuple], schema: T.StructType) -> pa.Table:
+    fields = [pa.field(f.name, ARROW_TYPES[f.dataType], f.nullable) for f in schema.fields]
+    return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=pa.schema(fields))
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """Some rows of the driver as a DataFrame that no Python worker has to read."""
-    names = schema.names
-    fields = [pa.field(f.name, ARROW_TYPES[f.dataType], f.nullable) for f in schema.fields]
-    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=pa.schema(fields)))
+    return spark.createDataFrame(arrow_table(rows, schema))
+
+
+def write_rows(spark: SparkSession, folder: str, rows: list[tuple], schema: T.StructType) -> None:
+    """Add some rows of the driver to a Parquet folder as one file, without a Spark job."""
+    out = pa.BufferOutputStream()
+    pq.write_table(arrow_table(rows, schema), out, compression="snappy")
+    fs.write_bytes_atomic(spark, f"{folder}/part-{uuid.uuid4()}.snappy.parquet", out.getvalue().to_pybytes())
 
 
 def _num(name: str, key: str) -> int | None:
@@ -131,11 +146,16 @@ class BronzeTable:
     # ------------------------------------------------------------- read
     def read(self) -> DataFrame:
         """Full snapshot, contract columns + ``batch`` and ``commit_version``."""
-        paths = [self.batch_path(b) for b in self._batches() if self.versions_in(b)]
-        if not paths:
+        newest = {b: vs[-1] for b in self._batches() if (vs := self.versions_in(b))}
+        if not newest:
             schema = BRONZE_ORDERS_RAW.schema().add("batch", T.IntegerType()).add("commit_version", T.LongType())
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(*paths)
+        reader = self.spark.read.option("basePath", self.root)
+        with few_listing_tasks(self.spark):
+            # one write made all files of a batch: the footers of one of its versions have the columns of all
+            one_each = [f"{self.batch_path(b)}/commit_version={v}" for b, v in newest.items()]
+            schema = reader.option("mergeSchema", "true").parquet(*one_each).schema
+            return reader.schema(schema).parquet(*map(self.batch_path, newest))
 
     def read_since(self, version: int) -> DataFrame:
         """V7 for Bronze: rows committed after ``version`` (partition-pruned)."""
@@ -157,24 +177,30 @@ class BronzeTable:
         for v in versions:
             fs.delete(self.spark, f"{self.staged_path(batch)}/commit_version={v}")
 
-    def write_page_log(self, batch: int, rows: list[tuple[int, int, str, int]]) -> None:
+    def write_page_log(self, batch: int, rows: list[tuple[int, int, str, int]], staged: bool = False) -> None:
         """Record (commit_version, source_page, ingestion_run_id, rows) of a batch
-        before it is committed: a tiny commit log read instead of the data."""
-        local_table(self.spark, rows, PAGE_LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.batch_path(batch)}/_pages"
-        )
+        before it is committed: a tiny commit log read instead of the data.
+
+        ``staged``: with the data, for a batch that will be committed whole."""
+        folder = f"{self.staged_path(batch) if staged else self.batch_path(batch)}/_pages"
+        fs.delete(self.spark, folder)
+        write_rows(self.spark, folder, rows, PAGE_LOG_SCHEMA)
 
     def commit_log(self) -> DataFrame:
         """S8 without scanning data: one row per commit of committed batches
         written by the ingest (batches written by plain ``append`` have none)."""
-        logs = [
-            self.spark.read.schema(PAGE_LOG_SCHEMA).parquet(f"{self.batch_path(b)}/_pages").where(F.col("commit_version") <= last)
+        visible = {
+            b: last
             for b in self._batches()
             if (last := self.last_visible(b)) is not None and fs.exists(self.spark, f"{self.batch_path(b)}/_pages")
-        ]
-        if not logs:
+        }
+        if not visible:
             return self.spark.createDataFrame([], PAGE_LOG_SCHEMA)
-        return reduce(DataFrame.unionAll, logs)
+        reader = self.spark.read.option("basePath", self.root).schema(T.StructType([*PAGE_LOG_SCHEMA, T.StructField("batch", T.IntegerType())]))
+        with few_listing_tasks(self.spark):
+            logs = reader.parquet(*[f"{self.batch_path(b)}/_pages" for b in visible])
+        ends = local_table(self.spark, list(visible.items()), VISIBLE_SCHEMA)
+        return logs.join(F.broadcast(ends), "batch").where("commit_version <= last").select(*PAGE_LOG_SCHEMA.names)
 
     def commit_batch(self, batch: int, last_version: int, staged: list[int] | None = None) -> None:
         """S3, second half: move the batch's versions up to this one into sight (no Spark job).
@@ -192,11 +218,14 @@ class BronzeTable:
                     self._move_version(batch, v)
         self._mark_visible(batch, last_version)
 
-    def commit_version(self, batch: int, version: int) -> None:
+    def commit_version(self, batch: int, version: int, staged: bool | None = None) -> None:
         """:meth:`commit_batch` for the version after the last committed one: it lists nothing.
 
-        The version's directory in sight is its own marker; an empty page has none."""
-        if fs.exists(self.spark, f"{self.staged_path(batch)}/commit_version={version}"):
+        The version's directory in sight is its own marker; an empty page has none.
+        ``staged`` tells whether there is one, where the caller knows."""
+        if staged is None:
+            staged = fs.exists(self.spark, f"{self.staged_path(batch)}/commit_version={version}")
+        if staged:
             self._move_version(batch, version)
         else:
             self._mark_visible(batch, version)
@@ -210,9 +239,8 @@ class BronzeTable:
 
     def rows_per_version(self, batch: int) -> dict[int, int]:
         """Row count per commit version of one staged batch (Parquet footers; no column is read)."""
-        if not self.versions_in(batch, staged=True):
-            return {}
-        df = self.spark.read.parquet(self.staged_path(batch))
+        with few_listing_tasks(self.spark):
+            df = self.spark.read.schema("commit_version long").parquet(self.staged_path(batch))
         return {int(r.commit_version): int(r["count"]) for r in df.groupBy("commit_version").count().collect()}
 
     def append(self, rows: DataFrame) -> int:
@@ -259,3 +287,7 @@ class BronzeTable:
         rows.select(*[F.col(f.name).cast(f.dataType) for f in PROGRESS_SCHEMA.fields]).coalesce(1).write.mode(
             "append"
         ).parquet(self.progress_path)
+
+    def mark_pages(self, rows: list[tuple[str, int, bool, int | None]]) -> None:
+        """:meth:`mark_complete` for rows of the driver, without a Spark job."""
+        write_rows(self.spark, self.progress_path, rows, PROGRESS_SCHEMA)

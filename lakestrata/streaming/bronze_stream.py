@@ -24,11 +24,13 @@ instead of the progress rows, so a retry does not duplicate (I4).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.validation import PageSet
 from ..plans.ingest import completed_pages, ingest
 from ..sources.bronze import BronzeTable
 from ..sources.landing import read_page_dirs
@@ -75,20 +77,25 @@ def start_bronze_stream(
 ) -> StreamingQuery:
     checkpoint = checkpoint or f"{table.root}/_stream/{run_id}"  # the same on a restart
 
+    known: list[PageSet] = []  # the pages done, read in the first micro-batch; the stream is the table's one writer
+
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch only announces pages (at most maxFilesPerTrigger); each is read whole from its directory.
         session = batch.sparkSession
+        own = replace(table, spark=session)  # with the stream's settings
         pages = sorted(r.source_page for r in batch.select("source_page").distinct().collect())
         if not pages:
             return
-        done = completed_pages(table, run_id, idempotent)
+        if not known:
+            known.append(completed_pages(own, run_id, idempotent))
+        done = known[0]
         if again := [p for p in pages if p in done]:
-            refuse_late_records(session, landing, table, run_id, again)
+            refuse_late_records(session, landing, own, run_id, again)
         if pending := [p for p in pages if p not in done]:
             ingest(
                 session,
                 read_page_dirs(session, landing, pending),
-                table,
+                own,
                 run_id,
                 after_commit=after_commit,
                 max_pages_per_batch=max_pages_per_batch,
@@ -96,6 +103,8 @@ def start_bronze_stream(
                 idempotent=idempotent,
                 done=done,
             )
+            for p in pending:
+                done.add(p)
 
     writer = landing_stream(spark, landing, max_files_per_trigger).writeStream.foreachBatch(each_batch).option(
         "checkpointLocation", checkpoint

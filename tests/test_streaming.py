@@ -95,3 +95,29 @@ def test_late_file_of_a_completed_page_stops_the_stream(spark, workdir, run_id):
     with pytest.raises(Exception, match="landed after the ingest"):
         run_to_completion(start_bronze_stream(spark, landing, table, run_id))
     assert table.read().count() == 5
+
+
+def test_stream_reads_progress_once_and_one_log(spark, workdir, run_id, monkeypatch):
+    from lakestrata.streaming import bronze_stream as S
+
+    asked, real = [], S.completed_pages
+    monkeypatch.setattr(S, "completed_pages", lambda *a: asked.append(a) or real(*a))
+    landing, ckpt = f"{workdir}/landing", f"{workdir}/ckpt"
+    _land_one_file_per_page(spark, landing, pages=5, page_size=4, start_page=1)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+
+    def crash(page, version):
+        if page == 4:
+            raise CheckpointWriteInterrupted("crash")
+
+    with pytest.raises(Exception):
+        run_to_completion(start_bronze_stream(spark, landing, table, run_id, ckpt, crash, max_files_per_trigger=1))
+    assert len(asked) == 1  # not once a micro-batch
+    run_to_completion(start_bronze_stream(spark, landing, table, run_id, ckpt, max_files_per_trigger=1))
+    assert len(asked) == 2
+    log = table.commit_log()
+    assert "Union" not in log._jdf.queryExecution().analyzed().toString()  # one scan, however many batches
+    pages = [r.source_page for r in log.orderBy("commit_version").collect()]
+    assert sorted(pages) == [1, 2, 3, 4, 4, 5] and {r.rows for r in log.collect()} == {4}
+    assert sorted(r.source_page for r in table.progress().collect()) == [1, 2, 3, 4, 5]
+    assert {r.source_page: r["count"] for r in table.read().groupBy("source_page").count().collect()} == {1: 4, 2: 4, 3: 4, 4: 8, 5: 4}

@@ -129,3 +129,38 @@ def test_stream_reads_progress_once_a_batch(spark, workdir, monkeypatch):
     table = BronzeTable(spark, f"{workdir}/bronze")
     S.run_to_completion(S.start_bronze_stream(spark, f"{workdir}/landing", table, "RUN-1", f"{workdir}/ckpt"))
     assert len(asked) == 1 and table.read().count() == 12
+
+
+def test_listing_asks_the_jvm_in_pieces(spark, workdir, monkeypatch):
+    from py4j.clientserver import ClientServerConnection
+    from lakestrata.sources import fs
+
+    names = [f"commit_version={i}" for i in range(100)] + ["a b; isDirectory=false;x", "n\nm"]
+    for n in names:
+        os.makedirs(f"{workdir}/t/{n}")
+    open(f"{workdir}/t/c; isDirectory=true; d", "w").close()
+    assert fs.list_dirs(spark, f"{workdir}/t") == sorted(names) and fs.list_files(spark, f"{workdir}/t") == ["c; isDirectory=true; d"]
+    os.rmdir(f"{workdir}/t/n\nm")
+    calls, real = [], ClientServerConnection.send_command
+    monkeypatch.setattr(ClientServerConnection, "send_command", lambda self, command: calls.append(command) or real(self, command))
+    assert fs.list_dirs(spark, f"{workdir}/t") == sorted(names[:-1])
+    assert len(calls) < 100  # over 400 with calls for each entry
+
+
+def test_log_of_a_batch_that_moves_whole(spark, workdir):
+    landed = _landed(spark, f"{workdir}/landing", pages=3, page_size=4)
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    assert ingest(spark, landed, table, "RUN-1", pages=[1, 2, 3, 4]).last_version == 3  # page 4 is empty
+    assert ingest(spark, landed.where("false"), table, "RUN-1", pages=[5]).last_version == 4  # nothing but an empty page
+    assert {(r.commit_version, r.source_page, r.rows) for r in table.commit_log().collect()} == {(0, 1, 4), (1, 2, 4), (2, 3, 4), (3, 4, 0), (4, 5, 0)}
+    assert table.read().columns[:1] == ["source_page"] and table.read().count() == spark.read.parquet(table.root).count() == 12
+
+
+def test_read_has_the_columns_of_every_batch(spark, workdir):
+    table = BronzeTable(spark, f"{workdir}/bronze")
+    table.append(spark.range(6).selectExpr("id", "id % 3 as commit_version"))
+    table.append(spark.range(6).selectExpr("id", "cast(id as string) as extra", "id % 3 + 3 as commit_version"))
+    got = table.read()
+    assert got.schema == spark.read.option("mergeSchema", "true").parquet(table.root).schema
+    assert got.columns == ["id", "extra", "batch", "commit_version"]
+    assert got.where("extra is null").count() == 6 and got.where("commit_version = 4").count() == 2
